@@ -76,39 +76,36 @@ def norm_token(s: Column) -> Column:
     return F.regexp_replace(F.upper(s), r"[^\p{L}\p{N}]", "")
 
 
-def ratio_possible(token: Column, target: str, floor: float) -> Column:
-    """Necessary condition for a similarity of ``floor``: shared letters bound it from above."""
-    total = F.length(token) + len(target)
-    shared = F.lit(0)
-    for letter in sorted(set(target)):
-        shared = shared + F.least(count_of(token, letter), F.lit(target.count(letter)))
-    # the length test is cheap and goes first
-    return (2.0 * F.least(F.length(token), F.lit(len(target))) / total >= floor) & (2.0 * shared / total >= floor)
-
-
 @F.pandas_udf(T.DoubleType())
 def fuzzy_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block similarity; no built-in function computes it."""
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
 
 
-def best_ratio(words: tuple[str, ...]):
-    """Best similarity of a string to any of a few short words."""
+def best_ratio(words: tuple[str, ...], floor: float):
+    """Best similarity of a string to a few short words; 0 where no word can reach ``floor``.
+
+    Marked as non-deterministic so that the optimizer leaves it after the
+    de-duplication it is placed behind.
+    """
 
     @F.pandas_udf(T.DoubleType())
     def best(a: pd.Series) -> pd.Series:
-        matchers = [SequenceMatcher(None, "", w) for w in words]
+        matchers = [(SequenceMatcher(None, "", w), len(w)) for w in words]
 
         def top(x):
             score = 0.0
-            for m in matchers:
-                m.set_seq1(x)
-                score = max(score, m.ratio())
+            for m, n in matchers:
+                # the lengths and then the shared letters bound the similarity from above
+                if x and 2.0 * min(len(x), n) / (len(x) + n) >= floor:
+                    m.set_seq1(x)
+                    if m.quick_ratio() >= floor:
+                        score = max(score, m.ratio())
             return score
 
         return a.map(top)
 
-    return best
+    return best.asNondeterministic()
 
 
 def commit_type(subject: Column) -> Column:

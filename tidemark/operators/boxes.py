@@ -45,11 +45,12 @@ def faint_regions(boxes: DataFrame, key: str, w: Column, h: Column) -> DataFrame
     cols = ["x0", "y0", "x1", "y1"]
     faint = boxes.filter("kind = 'faint'").select(key, *cols).distinct()
     ocr = boxes.filter("kind = 'ocr'").select(key, *cols).distinct()
-    o, f = _tiles(ocr), _tiles(faint)
-    touch = (
-        (o[key] == f[key]) & (o["tx"] == f["tx"]) & (o["ty"] == f["ty"])
-        & (o["x0"] < f["x1"]) & (f["x0"] < o["x1"]) & (o["y0"] < f["y1"]) & (f["y0"] < o["y1"])
-    )
+    f = _tiles(faint).select(key, "tx", "ty", *[F.col(c).alias(f"f{c}") for c in cols])
+    o = _tiles(ocr)
+    touch = [
+        o[key] == f[key], o["tx"] == f["tx"], o["ty"] == f["ty"],
+        o["x0"] < f["fx1"], f["fx0"] < o["x1"], o["y0"] < f["fy1"], f["fy0"] < o["y1"],
+    ]
     owned = o.join(f, touch, "left_semi").select(key, *cols).distinct().withColumn("kind", F.lit("ocr"))
     both = faint.withColumn("kind", F.lit("faint")).unionByName(owned)
     g = both.groupBy(key).agg(
@@ -78,17 +79,33 @@ def residual(boxes: DataFrame, regions: DataFrame, key: str) -> DataFrame:
 def union_area(df: DataFrame, key: str) -> DataFrame:
     """Pixels covered by at least one whole-pixel box; overlaps count once.
 
-    Boxes are cut into pixel rows and pre-aggregated to one reach per left edge,
-    so a row of any asset holds at most one entry per pixel column.
+    Boxes are cut into bands of pixel rows. Inside a band the distinct edges
+    (at most one per pixel row) bound strips in which every box spans the full
+    height, and a strip keeps one reach per left edge: both are bounded by the
+    frame, however many boxes an asset has.
     """
     whole = df.select(key, *[F.col(c).cast("long").alias(c) for c in ("x0", "y0", "x1", "y1")])
-    solid = whole.filter("x1 > x0 and y1 > y0").groupBy(key, "x0", "y0", "y1").agg(F.max("x1").alias("x1"))
-    rows = solid.select(key, "x0", "x1", F.explode(F.sequence(F.col("y0"), F.col("y1") - 1)).alias("y"))
-    spans = rows.groupBy(key, "y", "x0").agg(F.max("x1").alias("x1"))
-    # a span only counts past the furthest right end seen so far in its row
-    past = Window.partitionBy(key, "y").orderBy("x0").rowsBetween(Window.unboundedPreceding, -1)
+    bands = whole.filter("x1 > x0 and y1 > y0").withColumn(
+        "band", F.explode(F.sequence(F.floor(F.col("y0") / TILE), F.floor((F.col("y1") - 1) / TILE)))
+    )
+    cut = bands.select(
+        key, "band", "x0", "x1",
+        F.greatest("y0", F.col("band") * TILE).alias("y0"), F.least("y1", (F.col("band") + 1) * TILE).alias("y1"),
+    ).groupBy(key, "band", "x0", "y0", "y1").agg(F.max("x1").alias("x1"))
+    edges = cut.groupBy(key, "band").agg(
+        F.array_sort(F.array_distinct(F.concat(F.collect_set("y0"), F.collect_set("y1")))).alias("e")
+    )
+    strips = edges.select(
+        key, "band", F.explode(F.arrays_zip(F.slice("e", F.lit(1), F.size("e") - 1).alias("ya"), F.slice("e", F.lit(2), F.size("e") - 1).alias("yb"))).alias("s")
+    ).select(key, "band", "s.ya", "s.yb")
+    spans = (
+        cut.join(strips, [key, "band"]).filter("y0 <= ya and y1 >= yb")
+        .groupBy(key, "band", "ya", "yb", "x0").agg(F.max("x1").alias("x1"))
+    )
+    # a span only counts past the furthest right end seen so far in its strip
+    past = Window.partitionBy(key, "band", "ya").orderBy("x0").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.greatest(F.col("x0"), F.coalesce(F.max("x1").over(past), F.col("x0")))
-    fresh = spans.withColumn("a", F.greatest(F.lit(0), F.col("x1") - reach))
+    fresh = spans.withColumn("a", F.greatest(F.lit(0), F.col("x1") - reach) * (F.col("yb") - F.col("ya")))
     return fresh.groupBy(key).agg(F.sum("a").alias("area"))
 
 

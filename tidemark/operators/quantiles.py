@@ -30,6 +30,7 @@ def exact_percentiles(
         F.percentile_approx("_v", lows, accuracy).alias("_lo"),
         F.percentile_approx("_v", highs, accuracy).alias("_hi"),
     )
+    small = F.col("_n") <= accuracy
     wanted = sketch.select(
         *keys,
         "_n",
@@ -39,9 +40,9 @@ def exact_percentiles(
                     F.struct(
                         F.lit(name).alias("_name"),
                         (F.lit(p) * (F.col("_n") - 1)).alias("_rank"),
-                        # the outermost ranks take the true ends of the data
-                        (F.col("_min") if p - slack <= 0 else F.col("_lo")[i]).alias("_lo"),
-                        (F.col("_max") if p + slack >= 1 else F.col("_hi")[i]).alias("_hi"),
+                        # small groups and outermost ranks take the true ends of the data
+                        (F.col("_min") if p - slack <= 0 else F.when(small, F.col("_min")).otherwise(F.col("_lo")[i])).alias("_lo"),
+                        (F.col("_max") if p + slack >= 1 else F.when(small, F.col("_max")).otherwise(F.col("_hi")[i])).alias("_hi"),
                     )
                     for i, (name, p) in enumerate(ps.items())
                 ]

@@ -12,38 +12,27 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as X
 
 
-def _possible(token, words, floor):
-    hit = None
-    for w in words:
-        p = X.ratio_possible(token, w, floor)
-        hit = p if hit is None else hit | p
-    return hit
-
-
-def _docs_with_token(tokens: DataFrame, key: str, words: tuple[str, ...], floor: float) -> DataFrame:
-    """Keys holding a token at least ``floor`` similar to one of ``words``."""
-    near = tokens.filter(_possible(F.col("token"), words, floor))
+def _docs_with_token(words: DataFrame, key: str, targets: tuple[str, ...], floor: float) -> DataFrame:
+    """Keys holding a word at least ``floor`` similar to one of ``targets``."""
     # few bytes but costly rows: keep every core busy instead of merging partitions
-    cores = tokens.sparkSession.sparkContext.defaultParallelism
-    vocab = near.select("token").distinct().repartition(cores)
-    good = vocab.filter(X.best_ratio(words)(F.col("token")) >= floor)
-    return near.join(good, "token", "left_semi").select(key).distinct()
+    cores = words.sparkSession.sparkContext.defaultParallelism
+    vocab = words.select("word").distinct().repartition(cores).withColumn("token", X.norm_token(F.col("word")))
+    good = vocab.filter(X.best_ratio(targets, floor)(F.col("token")) >= floor).select("word")
+    return words.join(good, "word", "left_semi").select(key).distinct()
 
 
-def _tokens(df: DataFrame, key: str, text: str, split: str) -> DataFrame:
-    return df.select(key, F.explode(F.split(text, split)).alias("token")).select(
-        key, X.norm_token(F.col("token")).alias("token")
-    ).filter("token <> ''")
+def _words(df: DataFrame, key: str, text: str, split: str) -> DataFrame:
+    return df.select(key, F.explode(F.split(text, split)).alias("word"))
 
 
 def keep_wordmark(df: DataFrame, key: str, text: str, split: str = r"\s+") -> DataFrame:
     """Key and whether its words read as the wordmark that must be kept."""
     joined = df.select(key, X.norm_token(F.col(text)).alias("_j"))
     # a whole text can only reach one half if it is at most three times the target
-    short = joined.filter(X.ratio_possible(F.col("_j"), X.KEEP_TARGET, 0.5) & (F.length("_j") > 0))
-    whole = short.filter(X.best_ratio((X.KEEP_TARGET,))(F.col("_j")) >= 0.5).select(key)
+    short = joined.filter(F.length("_j") <= 3 * len(X.KEEP_TARGET))
+    whole = short.filter(X.best_ratio((X.KEEP_TARGET,), 0.5)(F.col("_j")) >= 0.5).select(key)
     halves = joined.filter(F.contains("_j", F.lit("LEAGUE")) & F.contains("_j", F.lit("LEGENDS"))).select(key)
-    token = _docs_with_token(_tokens(df, key, text, split), key, X.KEEP_WORDS, 0.7)
+    token = _docs_with_token(_words(df, key, text, split), key, X.KEEP_WORDS, 0.7)
     hits = whole.unionByName(halves).unionByName(token).distinct().withColumn("keep", F.lit(True))
     return df.select(key).join(hits, key, "left").fillna(False, ["keep"])
 
@@ -51,6 +40,6 @@ def keep_wordmark(df: DataFrame, key: str, text: str, split: str = r"\s+") -> Da
 def fuzzy_credit(df: DataFrame, key: str, text: str, split: str = r"\s+") -> DataFrame:
     """Key and whether it names a credit host, exactly or through a garbled word."""
     exact = df.filter(X.credit_exact(F.array(F.col(text)))).select(key)
-    token = _docs_with_token(_tokens(df, key, text, split), key, X.CREDIT_HOSTS, 0.7)
+    token = _docs_with_token(_words(df, key, text, split), key, X.CREDIT_HOSTS, 0.7)
     hits = exact.unionByName(token).distinct().withColumn("credit", F.lit(True))
     return df.select(key).join(hits, key, "left").fillna(False, ["credit"])

@@ -178,7 +178,7 @@ def a33_area(t):
     f"""WITH d AS (SELECT asset, greatest(CAST(floor(x0) AS BIGINT), 400) AS x0, greatest(CAST(floor(y0) AS BIGINT), 300) AS y0,
       least(CAST(ceil(x1) AS BIGINT), 1400) AS x1, least(CAST(ceil(y1) AS BIGINT), 700) AS y1 FROM v_boxes), {ROWS_SQL},
     c AS (SELECT asset, CAST(sum(fresh) AS DOUBLE) / 400000 AS c FROM s GROUP BY asset)
-    SELECT asset, round(coalesce(least(1.0, c), 0.0), 6) AS coverage FROM (SELECT DISTINCT asset FROM v_boxes) a LEFT JOIN c USING (asset)""",
+    SELECT asset, round(least(1.0::DOUBLE, coalesce(c, 0.0::DOUBLE)), 6) AS coverage FROM (SELECT DISTINCT asset FROM v_boxes) a LEFT JOIN c USING (asset)""",
 )
 def a39(t):
     return B.coverage(views.v_boxes(t), "asset", (400, 300, 1400, 700)).select("asset", F.round("coverage", 6).alias("coverage"))
