@@ -8,8 +8,6 @@ positions, and the state handed from block to block is one small row per
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,14 +55,15 @@ def before(
         carried[f"_c_{n}"] = F.max(f"_c_{n}").over(outer)
         merged[n] = F.greatest(F.max(v).over(inner), F.col(f"_c_{n}"))
 
-    carry = staged.groupBy(*keys, "_blk").agg(*aggs).select(
-        *keys, "_blk", *[c.alias(n) for n, c in carried.items()]
+    on = [*keys, "_blk"]
+    carry = staged.groupBy(*on).agg(*aggs).select(
+        *[F.col(k).alias(f"_k_{k}") for k in on], *[c.alias(n) for n, c in carried.items()]
     )
-    same = reduce(lambda a, b: a & b, [staged[k].eqNullSafe(carry[k]) for k in [*keys, "_blk"]])
-    joined = staged.join(carry.hint("shuffle_hash"), same, "left").select(
-        *[staged[c] for c in staged.columns], *[carry[f"_c_{n}"] for n in names]
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in on]
+    joined = staged.join(carry.hint("shuffle_hash"), same, "left")
+    return joined.withColumns(merged).drop(
+        *[f"_k_{k}" for k in on], "_blk", *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names]
     )
-    return joined.withColumns(merged).drop("_blk", *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names])
 
 
 def previous(df: DataFrame, keys: list[str], seq: str, cols: dict[str, Column], block: int = BLOCK) -> DataFrame:

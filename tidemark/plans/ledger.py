@@ -119,9 +119,9 @@ OPENED, CLOSED = "op = 'INTAKE'", "op = 'REJECT'"
 
 @query(
     "w07_pair_windows",
-    """WITH m AS (SELECT slug, seq, op, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS at FROM v_transitions WHERE op IN ('INTAKE', 'REJECT')),
-    l AS (SELECT *, lag(op) OVER w AS po, lag(at) OVER w AS pa FROM m WINDOW w AS (PARTITION BY slug ORDER BY seq))
-    SELECT slug, pa AS s, at AS e FROM l WHERE op = 'REJECT' AND po = 'INTAKE'""",
+    """WITH m AS (SELECT slug, seq, op, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS "at" FROM v_transitions WHERE op IN ('INTAKE', 'REJECT')),
+    l AS (SELECT *, lag(op) OVER w AS po, lag("at") OVER w AS pa FROM m WINDOW w AS (PARTITION BY slug ORDER BY seq))
+    SELECT slug, pa AS s, "at" AS e FROM l WHERE op = 'REJECT' AND po = 'INTAKE'""",
 )
 def w07(t):
     return L.pair_windows(locks(t), ["slug"], "seq", F.expr(OPENED), F.expr(CLOSED), "at")
@@ -137,9 +137,9 @@ def w07_unpaired(t):
 
 @query(
     "w08_max_wait",
-    """WITH m AS (SELECT slug, seq, op, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS at FROM v_transitions WHERE op IN ('SUBMIT', 'SAVE_WORKING')),
-    l AS (SELECT *, lag(op) OVER w AS po, lag(at) OVER w AS pa FROM m WINDOW w AS (PARTITION BY slug ORDER BY seq))
-    SELECT slug, max(at - pa) AS max_wait FROM l WHERE op = 'SAVE_WORKING' AND po = 'SUBMIT' GROUP BY slug""",
+    """WITH m AS (SELECT slug, seq, op, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS "at" FROM v_transitions WHERE op IN ('SUBMIT', 'SAVE_WORKING')),
+    l AS (SELECT *, lag(op) OVER w AS po, lag("at") OVER w AS pa FROM m WINDOW w AS (PARTITION BY slug ORDER BY seq))
+    SELECT slug, max("at" - pa) AS max_wait FROM l WHERE op = 'SAVE_WORKING' AND po = 'SUBMIT' GROUP BY slug""",
 )
 def w08(t):
     waits = L.pair_windows(locks(t), ["slug"], "seq", F.expr("op = 'SUBMIT'"), F.expr("op = 'SAVE_WORKING'"), "at")
@@ -160,7 +160,7 @@ def board(t):
 
 
 BOARD_SQL = f"""SELECT slug, seq, CASE op WHEN 'SUBMIT' THEN '_needauth' WHEN 'SAVE_WORKING' THEN '_working' WHEN 'APPROVE_CLEAN' THEN '_done' ELSE '_initial' END AS phase,
-      ver % 4 = 0 AS error, slug % 4 AS stage, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS at, {NOW} - CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS age_s
+      ver % 4 = 0 AS error, slug % 4 AS stage, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS "at", {NOW} - CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS age_s
     FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY ts DESC, seq DESC) AS r FROM v_transitions) x WHERE r = 1"""
 
 
@@ -180,7 +180,7 @@ def w10(t):
 
 @query(
     "w11_stage_board",
-    f"""WITH b AS ({BOARD_SQL}), r AS (SELECT *, row_number() OVER (PARTITION BY stage, phase ORDER BY at DESC, slug) AS n, count(*) OVER (PARTITION BY stage) AS total FROM b)
+    f"""WITH b AS ({BOARD_SQL}), r AS (SELECT *, row_number() OVER (PARTITION BY stage, phase ORDER BY "at" DESC, slug) AS n, count(*) OVER (PARTITION BY stage) AS total FROM b)
     SELECT stage, slug, phase, total FROM r WHERE phase <> '_done' OR n <= 5""",
 )
 def w11(t):
@@ -321,13 +321,13 @@ def w23(t):
     "w24_marker_bullets",
     r"""WITH d AS (SELECT doc_id, string_split(replace(regexp_replace(text, '\n([A-E])', chr(10) || '- **\1', 'g'), ' the ', ' OPEN ') || chr(10) || 'Next: step', chr(10)) AS ls FROM documents),
     l AS (SELECT doc_id, i, ls[i] AS line, trim(ls[i]) AS s FROM d, LATERAL (SELECT unnest(range(1, len(ls) + 1)) AS i) r),
-    b AS (SELECT *, max(CASE WHEN starts_with(s, '- **') THEN i END) OVER (PARTITION BY doc_id ORDER BY i) AS at FROM l),
-    f AS (SELECT doc_id, at, min(i) AS i FROM b WHERE contains(line, 'OPEN') AND at IS NOT NULL GROUP BY ALL),
-    n AS (SELECT f.doc_id, f.at, f.i, min(CASE WHEN starts_with(l.s, 'Next:') THEN l.i END) AS nx, min(CASE WHEN starts_with(l.s, '-') OR l.s = '' THEN l.i END) AS st
+    b AS (SELECT *, max(CASE WHEN starts_with(s, '- **') THEN i END) OVER (PARTITION BY doc_id ORDER BY i) AS "at" FROM l),
+    f AS (SELECT doc_id, "at", min(i) AS i FROM b WHERE contains(line, 'OPEN') AND "at" IS NOT NULL GROUP BY ALL),
+    n AS (SELECT f.doc_id, f."at", f.i, min(CASE WHEN starts_with(l.s, 'Next:') THEN l.i END) AS nx, min(CASE WHEN starts_with(l.s, '-') OR l.s = '' THEN l.i END) AS st
       FROM f LEFT JOIN l ON l.doc_id = f.doc_id AND l.i BETWEEN f.i + 1 AND f.i + 5 GROUP BY ALL)
-    SELECT n.doc_id, at AS line_no, regexp_replace(regexp_replace(h.s, '^[- ]+', ''), '^\*+|\*+$', '', 'g') AS title,
+    SELECT n.doc_id, "at" AS line_no, regexp_replace(regexp_replace(h.s, '^[- ]+', ''), '^\*+|\*+$', '', 'g') AS title,
       CASE WHEN nx IS NOT NULL AND (st IS NULL OR nx < st) THEN trim(substr(x.s, 6)) ELSE '' END AS next
-    FROM n JOIN l h ON h.doc_id = n.doc_id AND h.i = at LEFT JOIN l x ON x.doc_id = n.doc_id AND x.i = nx""",
+    FROM n JOIN l h ON h.doc_id = n.doc_id AND h.i = "at" LEFT JOIN l x ON x.doc_id = n.doc_id AND x.i = nx""",
 )
 def w24(t):
     body = F.concat(F.replace(F.regexp_replace("text", "\n([A-E])", "\n- **$1"), F.lit(" the "), F.lit(" OPEN ")), F.lit("\nNext: step"))
@@ -416,8 +416,8 @@ def a08(t):
 @query(
     "a28_engines_used",
     """WITH e AS (SELECT slug, seq, ['lama', 'manual', 'sdxl', NULL, 'qa', 'dekel'][ver % 6 + 1] AS tool FROM v_transitions WHERE op = 'SAVE_WORKING'),
-    f AS (SELECT slug, tool, min(seq) AS at FROM e WHERE tool IS NOT NULL AND tool NOT IN ('operator-select', 'clean-scan', 'manual', 'qa') GROUP BY ALL)
-    SELECT slug, string_agg(tool, '>' ORDER BY at) AS engines, count(*) > 1 AS ladder_refused FROM f GROUP BY slug""",
+    f AS (SELECT slug, tool, min(seq) AS "at" FROM e WHERE tool IS NOT NULL AND tool NOT IN ('operator-select', 'clean-scan', 'manual', 'qa') GROUP BY ALL)
+    SELECT slug, string_agg(tool, '>' ORDER BY "at") AS engines, count(*) > 1 AS ladder_refused FROM f GROUP BY slug""",
 )
 def a28(t):
     tools = F.array(*[F.lit(n) for n in ("lama", "manual", "sdxl", None, "qa", "dekel")])
