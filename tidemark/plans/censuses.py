@@ -60,9 +60,9 @@ GROUP_SQL = "CASE WHEN reason IN ('spine_point_low_conf', 'spine_point_missing',
 
 @query(
     "a19_state_groups",
-    f"""WITH {KP_SQL}, f AS (SELECT r.vec_id, vec_id // 2 AS image, reason FROM r), s AS (SELECT unnest(['measured', 'confidence', 'geometry', 'other', 'no_metrics']) AS grp),
+    f"""WITH {KP_SQL}, f AS (SELECT r.vec_id, vec_id // 2 AS image, reason FROM r), sg AS (SELECT unnest(['measured', 'confidence', 'geometry', 'other', 'no_metrics']) AS grp),
     i AS (SELECT image, count(*) AS n FROM f GROUP BY image)
-    SELECT grp AS state_group, (SELECT count(*) FROM f WHERE {GROUP_SQL} = grp) AS figures, (SELECT count(*) FROM i) AS images, (SELECT count(*) FROM i WHERE n > 1) AS multi_figure FROM s""",
+    SELECT grp AS state_group, (SELECT count(*) FROM f WHERE {GROUP_SQL} = grp) AS figures, (SELECT count(*) FROM i) AS images, (SELECT count(*) FROM i WHERE n > 1) AS multi_figure FROM sg""",
 )
 def a19(t):
     o = views.v_keypoints(t).select((F.floor(F.col("vec_id") / 2)).alias("image"), geo.axis_offset(F.col("kp"))["reason"].alias("reason"))

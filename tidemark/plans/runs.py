@@ -86,7 +86,7 @@ def j10(t):
     "j11_suite_trajectory",
     """WITH c AS (SELECT o_orderkey, md5(o_orderkey::VARCHAR) AS sha FROM orders),
     o AS (SELECT substr(md5(l_orderkey::VARCHAR), 1, [7, 8, 32][l_linenumber % 3 + 1]) AS sha, l_quantity AS passed, CASE WHEN l_linenumber % 4 <> 0 THEN l_shipdate END AS "at" FROM lineitem),
-    j AS (SELECT o_orderkey, o.*, row_number() OVER (PARTITION BY o_orderkey ORDER BY ("at" IS NOT NULL) DESC, "at" DESC, passed DESC) AS r, count(o.sha) OVER (PARTITION BY o_orderkey) AS n FROM c LEFT JOIN o ON substr(c.sha, 1, length(o.sha)) = o.sha)
+    j AS (SELECT o_orderkey, o.*, row_number() OVER (PARTITION BY o_orderkey ORDER BY ("at" IS NOT NULL) DESC, "at" DESC, passed DESC) AS r, count(o.sha) OVER (PARTITION BY o_orderkey) AS n FROM c LEFT JOIN o ON substr(c.sha, 1, 7) = substr(o.sha, 1, 7) AND substr(c.sha, 1, length(o.sha)) = o.sha)
     SELECT o_orderkey, coalesce(passed, -1.0::DOUBLE) AS passed, n AS observation_count FROM j WHERE r = 1""",
 )
 def j11(t):
