@@ -53,6 +53,15 @@ def _window(p: Column, w: int, h: int, r: int, fold) -> Column:
     return F.transform(p, lambda _, i: fold(F.array(*[F.element_at(p, _clamped(i, w, h, dy, dx)) for dy, dx in offsets])))
 
 
+def _box(p: Column, w: int, h: int, r: int, fold) -> Column:
+    """As ``_window`` for folds that may run along rows first and columns after."""
+    across = F.transform(p, lambda _, i: fold(F.array(*[F.element_at(p, _clamped(i, w, h, 0, d)) for d in range(-r, r + 1)])))
+    return let(
+        across,
+        lambda a: F.transform(a, lambda _, i: fold(F.array(*[F.element_at(a, _clamped(i, w, h, d, 0)) for d in range(-r, r + 1)]))),
+    )
+
+
 def _sum(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
 
@@ -108,9 +117,9 @@ def halo_pct(src: Column, out: Column, w: int, h: int, pct: float = 0.95, limit:
         def judged(g):
             edge = F.greatest(_percentile(g, pct), F.lit(1e-6))
             strong = let(edge, lambda e: F.transform(g, lambda v: v >= e))
-            band = let(strong, lambda b: _window(b, w, h, r, lambda a: F.exists(a, lambda x: x)))
+            band = let(strong, lambda b: _box(b, w, h, r, lambda a: F.exists(a, lambda x: x)))
             cells = F.arrays_zip(
-                band.alias("near"), out.alias("o"), _window(s, w, h, r, F.array_max).alias("hi"), _window(s, w, h, r, F.array_min).alias("lo")
+                band.alias("near"), out.alias("o"), _box(s, w, h, r, F.array_max).alias("hi"), _box(s, w, h, r, F.array_min).alias("lo")
             )
             near = F.filter(cells, lambda z: z["near"])
             rings = lambda z: (z["o"] > z["hi"] + limit) | (z["o"] < z["lo"] - limit)
@@ -143,7 +152,7 @@ def _band_density(p: Column, w: int, h: int) -> Column:
         py = let(down, lambda d: plateau(d, False))
 
         def share(s):
-            near = _window(s, w, h, 1, lambda x: F.exists(x, lambda v: v))
+            near = _box(s, w, h, 1, lambda x: F.exists(x, lambda v: v))
             hit = F.transform(F.arrays_zip(px.alias("a"), py.alias("b"), near.alias("n")), lambda z: (z["a"] | z["b"]) & z["n"])
             return F.when(_count(s) == 0, 0.0).otherwise(_count(hit) / _count(s))
 

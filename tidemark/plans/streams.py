@@ -1 +1,152 @@
+"""Streaming queries: the events table read as a growing log."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import runs as R
+from tidemark.plans.registry import query
+from tidemark.streaming import jobs as J
+
+
+def events(t):
+    s = J.table_stream(t.spark, t.folder, "events")
+    return s.withColumn("at", F.col("ts").cast("timestamp"))
+
+
+@query("st01_stream_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def st01(t):
+    out = J.run_available(J.stream_counts(events(t), "event_type"), J.job_dir(t.spark, "st01"), "update")
+    return J.current(out, ["event_type"])
+
+
+@query(
+    "st02_tumbling_counts",
+    "SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS start_s, event_type, count(*) AS n FROM events GROUP BY ALL",
+)
+def st02(t):
+    out = J.run_available(J.window_counts(events(t), "at", "event_type", "1 day"), J.job_dir(t.spark, "st02"), "update")
+    return J.current(out, ["start_s", "event_type"])
+
+
+@query(
+    "st02_sliding_counts",
+    """SELECT CAST(epoch(time_bucket(INTERVAL 6 HOUR, ts)) AS BIGINT) - 21600 * k AS start_s, event_type, count(*) AS n FROM events, (SELECT unnest(range(4)) AS k) r GROUP BY ALL""",
+)
+def st02_sliding(t):
+    out = J.run_available(J.window_counts(events(t), "at", "event_type", "1 day", "6 hours"), J.job_dir(t.spark, "st02s"), "update")
+    return J.current(out, ["start_s", "event_type"])
+
+
+SESSION_SQL = """g AS (SELECT user_id, event_type, ts, epoch_us(ts) AS us, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) < {gap} THEN 0 ELSE 1 END AS fresh FROM events),
+    i AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS isl FROM g),
+    s AS (SELECT user_id, min(us) AS start_us, max(us) + {gap} AS end_us, count(*) AS n, arg_max(event_type, ts) AS last_op FROM i GROUP BY user_id, isl),
+    w AS (SELECT (max(epoch_us(ts)) // 1000) * 1000 AS mark FROM events)"""
+
+
+@query(
+    "st03_quiet_sessions",
+    f"""WITH {SESSION_SQL.format(gap=21600000000)} SELECT user_id, start_us, end_us, n FROM s, w WHERE end_us <= mark""",
+)
+def st03(t):
+    return J.run_available(J.quiet_sessions(events(t), "user_id", "at", "6 hours"), J.job_dir(t.spark, "st03")).drop("batch")
+
+
+@query(
+    "st04_stuck_timer",
+    f"""WITH {SESSION_SQL.format(gap=900000000)} SELECT user_id, end_us - 900000000 AS since_us FROM s, w WHERE end_us <= mark AND last_op = 'view'""",
+)
+def st04(t):
+    return J.run_available(J.stuck_stream(events(t), "user_id", "at", "event_type", "view"), J.job_dir(t.spark, "st04")).drop("batch")
+
+
+@query(
+    "st05_run_liveness",
+    """WITH s AS (SELECT user_id, max(epoch_us(ts)) AS last_us, bool_or(event_type = 'error' AND value > 100) AS st, bool_or(event_type = 'purchase' AND value > 200) AS fi FROM events GROUP BY user_id)
+    SELECT user_id, CASE WHEN fi THEN 'FINISHED' WHEN st THEN 'STOPPED' WHEN (SELECT max(epoch_us(ts)) FROM events) - last_us < 16200000000 THEN 'LIVE' ELSE 'DEAD' END AS state FROM s""",
+)
+def st05(t):
+    stop = (F.col("event_type") == "error") & (F.col("value") > 100)
+    done = (F.col("event_type") == "purchase") & (F.col("value") > 200)
+    seen = J.last_seen(events(t), "user_id", "at", "event_type", stop, done)
+    state = J.current(J.run_available(seen, J.job_dir(t.spark, "st05"), "update"), ["user_id"])
+    now = state.agg(F.max("last_us").alias("now_us"))  # one row
+    return J.liveness(state.join(now), F.col("now_us")).select("user_id", "state")
+
+
+@query("st06_dedup_stream", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
+def st06(t):
+    e = events(t).select("event_id", "user_id", "at")
+    twice = e.union(e)
+    once = J.run_available(J.dedup_stream(twice, ["event_id"], "at", "1 hour"), J.job_dir(t.spark, "st06"))
+    return once.groupBy("user_id").agg(F.count("*").alias("n"))
+
+
+def landing(t, name, parts):
+    """A folder that grows: the events table arrives in several appends."""
+    path = J.job_dir(t.spark, name)
+    for rows in parts:
+        rows.write.mode("append").parquet(f"{path}/in")
+        yield path, t.spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+
+
+@query(
+    "st07_late_rows",
+    """WITH c AS (SELECT *, CASE WHEN event_id % 20 = 0 THEN 1 WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END AS part FROM events), h AS (SELECT max(ts) AS hi FROM c WHERE part = 0)
+    SELECT part = 1 AND ts < hi - INTERVAL 1 HOUR AS late, count(*) AS n FROM c, h GROUP BY 1""",
+)
+def st07(t):
+    e = t("events").select("event_id", "ts")
+    second = (F.col("event_id") % 20 == 0) | (F.col("ts") >= F.expr("timestamp_ntz'2024-01-15 00:00:00'"))
+    for path, stream in landing(t, "st07", [e.filter(~second), e.filter(second)]):
+        J.late_split(stream, path, "ts", 3600)
+    main, late = (t.spark.read.schema(e.schema).parquet(f"{path}/{x}") for x in ("main", "late"))
+    both = main.select(F.lit(False).alias("late")).unionByName(late.select(F.lit(True).alias("late")))
+    return both.groupBy("late").agg(F.count("*").alias("n"))
+
+
+@query(
+    "st08_spend_ceiling",
+    """WITH c AS (SELECT event_id, value, event_id % 2 AS part, sum(value) OVER (ORDER BY event_id % 2, event_id) AS run FROM events), t AS (SELECT sum(value) AS total FROM events)
+    SELECT round(max(total), 2) AS total, min(event_id) FILTER (part = 1 AND run >= 0.75 * total) AS stop_at FROM c, t""",
+)
+def st08(t):
+    e = t("events").select("event_id", "value")
+    limit = 0.75 * e.agg(F.sum("value")).first()[0]
+    odd = F.col("event_id") % 2 == 1
+    for path, stream in landing(t, "st08", [e.filter(~odd), e.filter(odd)]):
+        ledger = J.spend_ceiling(stream, path, F.col("value"), "event_id", limit)
+    return ledger.agg(F.round(F.max("total"), 2).alias("total"), F.min("stop_at").alias("stop_at"))
+
+
+@query(
+    "st09_monotone_mirror",
+    """SELECT user_id, arg_max(event_type, (event_id % 2) * 1000000000 + event_id) AS kind, greatest(count(*) FILTER (event_id % 2 = 0), count(*) FILTER (event_id % 2 = 1)) AS events, min(epoch_us(ts)) AS start, max(epoch_us(ts)) AS last_event FROM events GROUP BY user_id""",
+)
+def st09(t):
+    e = t("events").select("event_id", "user_id", "event_type", "ts")
+
+    def summarise(batch):
+        us = F.unix_micros(F.col("ts").cast("timestamp"))
+        return batch.groupBy("user_id").agg(
+            F.max_by("event_type", "event_id").alias("kind"), F.count("*").alias("events"), F.count("*").alias("output_tokens"),
+            F.max(us).alias("last_event"), F.min(us).alias("start"), F.min("event_id").alias("first_seen"),
+        )
+
+    empty = t.spark.createDataFrame([], "user_id long, kind string, events long, output_tokens long, last_event long, start long, first_seen long")
+    merge = lambda old, new: R.merge_monotone(old, new, "user_id", ["kind"])
+    odd = F.col("event_id") % 2 == 1
+    for path, stream in landing(t, "st09", [e.filter(~odd), e.filter(odd)]):
+        out = J.mirror_stream(stream, f"{path}/mirror", summarise, merge, empty)
+    return out.select("user_id", "kind", "events", "start", "last_event")
+
+
+@query(
+    "st10_stream_pairing",
+    """SELECT o.event_id AS open_id, c.event_id AS close_id FROM events o JOIN events c ON o.user_id = c.user_id AND c.ts > o.ts AND c.ts <= o.ts + INTERVAL 1 HOUR WHERE o.event_type = 'signup' AND c.event_type = 'error'""",
+)
+def st10(t):
+    o = events(t).filter("event_type = 'signup'").select("user_id", F.col("at").alias("open_at"), F.col("event_id").alias("open_id"))
+    c = events(t).filter("event_type = 'error'").select("user_id", F.col("at").alias("close_at"), F.col("event_id").alias("close_id"))
+    out = J.run_available(J.pair_stream(o, c, "user_id", "1 HOUR"), J.job_dir(t.spark, "st10"))
+    return out.select("open_id", "close_id")

@@ -18,13 +18,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("line_no"),
             F.col("value").alias("line"),
         )
-        .filter(F.trim("line") != "")
+        .filter(F.col("line").rlike(r"\S"))
     )
 
 
 def _parsed(lines: DataFrame, schema: str) -> DataFrame:
     rec = F.from_json("line", schema + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    shaped = F.trim("line").startswith("{")
+    shaped = F.col("line").rlike(r"^\s*\{")
     return lines.withColumn("rec", rec).withColumn("_ok", shaped & F.col("rec._bad").isNull())
 
 
