@@ -179,48 +179,46 @@ def inventory_anomalies(files: DataFrame, now: float) -> DataFrame:
     part = F.col("name").endswith(".part")
     plain = ~F.col("is_dir") & ~side & ~part
     loose = (F.col("kind") == "scratch") | ext.isin(*EDITOR_EXTS)
-    f = files.withColumn("m", m).withColumn("_mine", plain & F.col("m").isNotNull() & (F.col("m.slug") == F.col("slug")))
-    cls = (
-        F.when(F.col("is_dir"), "UNPARSED_FILE")
-        .when((F.col("name") == ".lw.lock") & (age > STALE_LOCK_S), "STALE_LOCK")
-        .when(~side & part & (age > STALE_PART_S), "STALE_PART")
-        .when(plain & F.col("m").isNull() & ~loose, "UNPARSED_FILE")
-        .when(plain & F.col("m").isNotNull() & ~F.col("_mine"), "UNPARSED_FILE")
+    # one parse per row: the generator keeps the struct from being spelled out again per use
+    f = files.select("*", F.explode(F.array(m)).alias("m")).withColumn(
+        "_mine", plain & F.col("m").isNotNull() & (F.col("m.slug") == F.col("slug"))
     )
-    single = f.withColumn("class", cls).filter("class is not null").select(
-        "slug", "class", F.col("class").isin("STALE_LOCK", "STALE_PART").alias("resumable"), F.lit(1).cast("long").alias("n")
-    )
-    dup = (
-        f.filter("_mine").groupBy("slug", "ord", "m.stage", "m.phase", "m.ver").agg(F.count("*").alias("c")).filter("c > 1")
-        .select("slug", F.lit("DUPLICATE_KEY").alias("class"), F.lit(False).alias("resumable"), (F.col("c") - 1).alias("n"))
+    unparsed = F.col("is_dir") | (plain & ((F.col("m").isNull() & ~loose) | (F.col("m").isNotNull() & ~F.col("_mine"))))
+    lock = ~F.col("is_dir") & (F.col("name") == ".lw.lock") & (age > STALE_LOCK_S)
+    stale_part = ~F.col("is_dir") & ~side & part & (age > STALE_PART_S)
+    own = F.when(F.col("_mine"), F.struct("m.stage", "m.phase", "m.ver"))
+
+    # files to keys, keys to folders, folders to assets: one scan, ever smaller shuffles
+    per_key = f.groupBy("slug", "ord", "kind", "stage", own.alias("own")).agg(
+        F.count_if("_mine").alias("n"), F.count_if(unparsed).alias("unparsed"), F.count_if(lock).alias("lock"),
+        F.count_if(stale_part).alias("part"), F.bool_or(~side).alias("residue"),
     )
 
     def has(phase):
-        return F.bool_or(F.col("_mine") & (F.col("m.stage") == F.col("stage")) & (F.col("m.phase") == phase))
+        hit = (F.col("own.stage") == F.col("stage")) & (F.col("own.phase") == phase)
+        return F.coalesce(F.bool_or(hit), F.lit(False))
 
-    folder = f.groupBy("slug", "ord", "kind", "stage").agg(
-        has("done").alias("done"), has("needauth").alias("needauth"), has("initial").alias("initial"),
-        F.bool_or("_mine").alias("any"), F.bool_or(~side).alias("residue"),
+    folder = per_key.groupBy("slug", "ord", "kind", "stage").agg(
+        has("done").alias("done"), has("needauth").alias("needauth"), has("initial").alias("initial"), F.bool_or(F.col("own").isNotNull()).alias("any"),
+        F.bool_or("residue").alias("residue"), F.sum(F.greatest(F.col("n") - 1, F.lit(0))).alias("dup"),
+        *[F.sum(c).alias(c) for c in ("unparsed", "lock", "part")],
     )
-    state = (
-        F.when(F.col("done"), "APPROVED_PENDING_MOVE")
-        .when(F.col("needauth"), None)
-        .when(F.col("any") & ~F.col("initial"), "MISSING_INITIAL")
-        .when(~F.col("any"), "SCRATCH_RESIDUE")
+    scratch = F.col("kind") == "scratch"
+    quiet = scratch & ~F.col("done") & ~F.col("needauth")
+    g = folder.groupBy("slug").agg(
+        *[F.sum(c).alias(c) for c in ("unparsed", "lock", "part", "dup")],
+        F.count_if(scratch & F.col("done")).alias("pending"), F.count_if(quiet & F.col("any") & ~F.col("initial")).alias("no_initial"),
+        F.count_if(quiet & ~F.col("any") & F.col("residue")).alias("left"), F.count_if(quiet & ~F.col("any") & ~F.col("residue")).alias("empty"),
+        F.count_if(scratch).alias("_s"), F.count_if(~scratch).alias("_d"),
     )
-    resumable = F.col("done") | (~F.col("any") & ~F.col("residue"))
-    per_folder = folder.filter("kind = 'scratch'").select("slug", state.alias("class"), resumable.alias("resumable")).filter(
-        "class is not null"
-    ).withColumn("n", F.lit(1).cast("long"))
-    per_slug = folder.groupBy("slug").agg(
-        F.count_if(F.col("kind") == "scratch").alias("s"), F.count_if(F.col("kind") == "done").alias("d")
+    rows = (
+        ("UNPARSED_FILE", False, F.col("unparsed")), ("STALE_LOCK", True, F.col("lock")), ("STALE_PART", True, F.col("part")),
+        ("DUPLICATE_KEY", False, F.col("dup")), ("APPROVED_PENDING_MOVE", True, F.col("pending")), ("MISSING_INITIAL", False, F.col("no_initial")),
+        ("SCRATCH_RESIDUE", False, F.col("left")), ("SCRATCH_RESIDUE", True, F.col("empty")),
+        ("SPLIT_STATE", False, F.when(F.col("_s") > 1, 1).otherwise(0)), ("STALE_DONE", True, F.greatest(F.col("_d") - 1, F.lit(0))),
     )
-    split = per_slug.filter("s > 1").select("slug", F.lit("SPLIT_STATE").alias("class"), F.lit(False).alias("resumable"), F.lit(1).cast("long").alias("n"))
-    stale = per_slug.filter("d > 1").select("slug", F.lit("STALE_DONE").alias("class"), F.lit(True).alias("resumable"), (F.col("d") - 1).alias("n"))
-    found = single
-    for other in (dup, per_folder, split, stale):
-        found = found.unionByName(other)
-    return found.groupBy("slug", "class", "resumable").agg(F.sum("n").alias("n"))
+    found = F.array(*[F.struct(F.lit(c).alias("class"), F.lit(r).alias("resumable"), n.cast("long").alias("n")) for c, r, n in rows])
+    return g.select("slug", F.explode(found).alias("x")).select("slug", "x.*").filter("n > 0")
 
 
 # ---- ordered analytics over a ledger ---------------------------------------

@@ -46,6 +46,8 @@ def within(targets: DataFrame, corpus: DataFrame, radius: int, bands: int) -> Da
         return F.transform(masks, lambda m: F.struct(F.lit(b).alias("b"), _slice(F.col("tp"), offset, width).bitwiseXOR(m).alias("v")))
 
     cuts = _cuts(bands)
+    # a few small rows turn into thousands of probes each: keep every core on them
+    targets = targets.repartition(targets.sparkSession.sparkContext.defaultParallelism, "tp", "td")
     t = None
     for b, (o, w) in enumerate(cuts):
         part = targets.select("tp", "td", F.explode(probes(o, w, b)).alias("k"))
