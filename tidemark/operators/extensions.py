@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.ordered import numbered, previous
+
 
 def score(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """Add the scorer's columns to every row; it sees one Arrow batch at a time."""
@@ -31,16 +33,11 @@ def detect(df: DataFrame, detector: Callable[[pd.DataFrame], pd.DataFrame], sche
     return df.mapInPandas(run, schema)
 
 
-def provenance(df: DataFrame, key: str, seq: str, file: str, window: int = 16) -> DataFrame:
-    """Newest file of each key and the chain of files before it, newest first, back to ``window`` steps.
+def provenance(df: DataFrame, key: str, seq: str, file: str) -> DataFrame:
+    """Every file with the one it came from and its depth in the chain of its key.
 
-    The chain is as long as the rounds of a batch, which the generator bounds;
-    only that many newest rows per key reach the aggregation.
+    The chain is kept as links, whole at any length, instead of an array that
+    would have to gather a key in one place.
     """
-    from tidemark.operators.ordered import top_n
-
-    recent = top_n(df.select(key, seq, file), [key], [F.col(seq).desc()], window)
-    g = recent.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(seq, file)), asc=False).alias("c"))
-    return g.select(
-        key, F.element_at("c", 1)[file].alias("file"), F.transform(F.slice("c", F.lit(2), F.lit(window)), lambda x: x[file]).alias("provenance")
-    )
+    linked = previous(df, [key], seq, {"prior": F.col(file)})
+    return numbered(linked, [key], seq, "depth")

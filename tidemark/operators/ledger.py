@@ -321,7 +321,7 @@ def shuffled_cycle(ids: DataFrame, key: str, seed: str, cycle: int, digits: int
 def seam_free(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
     """Second cycle with its first two places swapped when it would repeat the last id of the first."""
     end = first.agg(F.max_by(key, "pos").alias("_last"), F.max("pos").alias("_n"))
-    head = second.filter("pos = 1").select(F.col(key).alias("_head"))
+    head = second.agg(F.max(F.when(F.col("pos") == 1, F.col(key))).alias("_head"))
     seam = end.join(head).select(((F.col("_last") == F.col("_head")) & (F.col("_n") > 1)).alias("_swap"))
     pos = F.when(F.col("_swap") & F.col("pos").isin(1, 2), 3 - F.col("pos")).otherwise(F.col("pos"))
     return second.join(seam).select(key, pos.alias("pos"))

@@ -33,7 +33,7 @@ def before(
     names = [*last, *sums, *maxs]
     exprs = [*last.values(), *sums.values(), *maxs.values()]
     staged = df.withColumns({f"_v_{n}": e for n, e in zip(names, exprs)}).withColumn(
-        "_blk", F.floor(F.col(seq) / block).cast("long")
+        "_blk", F.expr(f"`{seq}` div {block}")
     )
     inner = Window.partitionBy(*keys, "_blk").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)

@@ -68,7 +68,6 @@ def exact_percentiles(
         at(lower).alias("_a"), at(upper).alias("_b"), F.max(F.col("_rank") - lower).alias("_f")
     )
     out = picked.withColumn("_p", F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f"))
-    wide = out.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_name") == n, F.col("_p"))).alias(n) for n in ps]
-    )
-    return wide.drop("_all") if keys == ["_all"] else wide
+    wide = [F.max(F.when(F.col("_name") == n, F.col("_p"))).alias(n) for n in ps]
+    # without keys: a global aggregate, known to be one row
+    return out.agg(*wide) if keys == ["_all"] else out.groupBy(*keys).agg(*wide)

@@ -32,12 +32,13 @@ def self_similarity(df: DataFrame, group: str, vector: str) -> DataFrame:
 def cross_cosines(arm: DataFrame, ref: DataFrame, item: str, vector: str) -> DataFrame:
     """Mean cosine of every arm item against all of ``ref``: one dot with the mean vector."""
     centre = unit_cells(ref, [], vector).groupBy("i").agg(F.avg("u").alias("m"))
-    return unit_cells(arm, [item], vector).join(centre, "i").groupBy(item).agg(F.sum(F.col("u") * F.col("m")).alias("mean_cos"))
+    # one row per dimension of a vector, whatever the sizes of the sets
+    return unit_cells(arm, [item], vector).join(F.broadcast(centre), "i").groupBy(item).agg(F.sum(F.col("u") * F.col("m")).alias("mean_cos"))
 
 
 def medium_report(arms: DataFrame, ref: DataFrame, group: str, item: str, vector: str) -> DataFrame:
     """Per arm: mean cosine to the reference set, its distance to the set's own ceiling, and the verdict."""
-    ceiling = self_similarity(ref.withColumn("_r", F.lit(1)), "_r", vector).select(F.col("mean_cos").alias("ceiling"))
+    ceiling = self_similarity(ref.withColumn("_r", F.lit(1)), "_r", vector).agg(F.max("mean_cos").alias("ceiling"))
     items = cross_cosines(arms, ref, item, vector).join(arms.select(item, group), item)
     g = items.groupBy(group).agg(F.count("*").alias("n_arm"), F.avg("mean_cos").alias("arm_mean_cos")).join(ceiling)
     delta = F.col("arm_mean_cos") - F.col("ceiling")

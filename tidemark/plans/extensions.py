@@ -56,9 +56,8 @@ def u04(t):
 
 @query(
     "u05_provenance_chain",
-    """WITH r AS (SELECT slug, seq, 'f' || seq AS file, row_number() OVER (PARTITION BY slug ORDER BY seq DESC) AS n FROM v_transitions)
-    SELECT slug, max(file) FILTER (n = 1) AS file, string_agg(file, '<' ORDER BY seq DESC) FILTER (n > 1) AS provenance FROM r WHERE n <= 16 GROUP BY slug""",
+    """SELECT slug, 'f' || seq AS file, coalesce('f' || lag(seq) OVER w, '') AS prior, row_number() OVER w AS depth FROM v_transitions WINDOW w AS (PARTITION BY slug ORDER BY seq)""",
 )
 def u05(t):
     d = views.v_transitions(t).select("slug", "seq", F.concat(F.lit("f"), F.col("seq").cast("string")).alias("file"))
-    return E.provenance(d, "slug", "seq", "file").select("slug", "file", F.array_join("provenance", "<").alias("provenance"))
+    return E.provenance(d, "slug", "seq", "file").select("slug", "file", F.coalesce("prior", F.lit("")).alias("prior"), "depth")
