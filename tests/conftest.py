@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tidemark.session import tune  # noqa: E402
+
 
 def make_session() -> SparkSession:
     spark = (
@@ -18,7 +20,7 @@ def make_session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return tune(spark)
 
 
 @pytest.fixture(scope="session")

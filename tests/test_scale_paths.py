@@ -194,3 +194,14 @@ def test_run_after_claim_does_not_back_it(spark):
     ).withColumns({"code": F.lit(None).cast("int"), "interrupted": F.lit(False), "user_text": F.lit(None).cast("string")})
     got = {r.seq: r.detector for r in runs.audit_claims(e).collect()}
     assert got == {1: "claim-no-run", 3: "ok"}
+
+
+def test_nested_order_without_session_settings(spark):
+    """The block hand-over must not depend on how Spark partitions unions."""
+    d = spark.createDataFrame([("f", i, c, None) for i, c in enumerate([1, 2, None, 3, 1, 1, 2])], "f string, i long, c int, r string")
+    spark.conf.set("spark.sql.unionOutputPartitioning", "true")
+    try:
+        got = [r.run_index for r in L.segment_runs(d, ["f"], "i", "c", "r", block=2).orderBy("i").collect()]
+    finally:
+        spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    assert got == [1, 1, 1, 1, 2, 3, 3]

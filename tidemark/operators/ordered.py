@@ -30,41 +30,35 @@ def before(
     ``maxs``: maximum (null when none). ``seq`` is an integer, unique per key.
     """
     last, sums, maxs = last or {}, sums or {}, maxs or {}
-    names = [*last, *sums, *maxs]
-    exprs = [*last.values(), *sums.values(), *maxs.values()]
-    staged = df.withColumns({f"_v_{n}": e for n, e in zip(names, exprs)}).withColumn(
-        "_blk", F.expr(f"`{seq}` div {block}")
-    )
-    inner = Window.partitionBy(*keys, "_blk").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    outer = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-
-    aggs, carried, merged = [], {}, {}
-    for n in last:
-        v = F.col(f"_v_{n}")
-        aggs.append(F.max_by(v, F.when(v.isNotNull(), F.col(seq))).alias(f"_c_{n}"))
-        carried[f"_c_{n}"] = F.last(f"_c_{n}", ignorenulls=True).over(outer)
-        merged[n] = F.coalesce(F.last(v, ignorenulls=True).over(inner), F.col(f"_c_{n}"))
-    for n in sums:
-        v = F.col(f"_v_{n}")
-        aggs.append(F.sum(v).alias(f"_c_{n}"))
-        carried[f"_c_{n}"] = F.sum(f"_c_{n}").over(outer)
-        merged[n] = F.coalesce(F.sum(v).over(inner), F.lit(0)) + F.coalesce(F.col(f"_c_{n}"), F.lit(0))
-    for n in maxs:
-        v = F.col(f"_v_{n}")
-        aggs.append(F.max(v).alias(f"_c_{n}"))
-        carried[f"_c_{n}"] = F.max(f"_c_{n}").over(outer)
-        merged[n] = F.greatest(F.max(v).over(inner), F.col(f"_c_{n}"))
-
+    values = {f"_v_{n}": e for n, e in [*last.items(), *sums.items(), *maxs.items()]}
+    staged = df.withColumns(values).withColumn("_blk", F.expr(f"`{seq}` div {block}"))
     on = [*keys, "_blk"]
-    carry = staged.groupBy(*on).agg(*aggs).select(
-        *[F.col(k).alias(f"_k_{k}") for k in on], *[c.alias(n) for n, c in carried.items()]
+
+    # what each block hands on, then what each block receives: one small row per block
+    given = staged.groupBy(*on).agg(
+        *[F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.col(seq))).alias(f"_v_{n}") for n in last],
+        *[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in sums],
+        *[F.max(f"_v_{n}").alias(f"_v_{n}") for n in maxs],
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in on]
-    joined = staged.join(carry.hint("shuffle_hash"), same, "left")
-    return joined.withColumns(merged).drop(
-        *[f"_k_{k}" for k in on], "_blk", *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names]
+    earlier = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    received = given.select(
+        *on,
+        *[F.last(f"_v_{n}", ignorenulls=True).over(earlier).alias(f"_v_{n}") for n in last],
+        *[F.sum(f"_v_{n}").over(earlier).alias(f"_v_{n}") for n in sums],
+        *[F.max(f"_v_{n}").over(earlier).alias(f"_v_{n}") for n in maxs],
+        F.lit(True).alias("_head"),
     )
 
+    # the received row leads its block, so one window over blocks gives the answer
+    rows = staged.withColumn("_head", F.lit(False)).unionByName(received, allowMissingColumns=True)
+    # the shuffle the window needs, asked for outright: a union's own partitioning is not to be trusted
+    rows = rows.repartition(*on)
+    inner = Window.partitionBy(*on).orderBy(F.col("_head").desc(), seq).rowsBetween(Window.unboundedPreceding, -1)
+    found = {n: F.last(f"_v_{n}", ignorenulls=True).over(inner) for n in last}
+    found |= {n: F.coalesce(F.sum(f"_v_{n}").over(inner), F.lit(0)) for n in sums}
+    found |= {n: F.max(f"_v_{n}").over(inner) for n in maxs}
+    return rows.withColumns(found).filter("not _head").drop("_head", "_blk", *values)
+
 
 def previous(df: DataFrame, keys: list[str], seq: str, cols: dict[str, Column], block: int = BLOCK) -> DataFrame:
     """Values of the row just before (null values stay null, unlike ``last``)."""
