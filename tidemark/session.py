@@ -27,9 +27,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; a temporary one only where unset."""
+    """The shared checkpoint folder of the cluster.
+
+    Where none is set, a local session (tests, one machine) gets a folder of its own;
+    on a cluster that would scatter files over machines, so it is an error there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
