@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = (
     "url_filter",
     "mixing",
+    "secret_scan",
+    "line_dedup",
 )
 
 
