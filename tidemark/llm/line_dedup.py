@@ -102,7 +102,7 @@ def dropped_lines(docs: DataFrame, min_length: int, min_docs: int) -> DataFrame:
 def bitmap(dropped: list[int]) -> bytes:
     """Lines up to the last dropped one as bits, 1 for kept, deflated; lines after it stay."""
     at = np.asarray(dropped, np.int64)
-    bits = np.ones(int(at.max()) + 1, np.uint8)
+    bits = np.ones(-(-(int(at.max()) + 1) // 8) * 8, np.uint8)  # the last byte is filled up with kept lines
     bits[at] = 0
     return zlib.compress(np.packbits(bits).tobytes())
 
