@@ -16,6 +16,7 @@ MODULES = (
     "mixing",
     "secret_scan",
     "line_dedup",
+    "language_id",
 )
 
 

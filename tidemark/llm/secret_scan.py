@@ -32,7 +32,7 @@ _LONG_HEX = re.compile(r"[0-9a-f]{32}")
 
 def find(text: str, kinds: tuple[str, ...]) -> list[tuple[int, int, str]]:
     """Spans ``(start, end, kind)`` in code points, end exclusive, by start and then kind as listed."""
-    low = text.lower() if text.isascii() else text.translate(_ASCII)
+    low = text.lower()  # only a hint: at least as wide as the ASCII rule
     spans = []
     for at, kind in enumerate(RULES):
         if kind not in kinds or (kind in _HINTS and not any(h in low for h in _HINTS[kind])):
@@ -44,7 +44,6 @@ def find(text: str, kinds: tuple[str, ...]) -> list[tuple[int, int, str]]:
     return [(s, e, k) for s, _, e, k in sorted(spans)]
 
 
-_ASCII = {i: i + 32 for i in range(65, 91)}
 SPANS = "array<struct<start:long,stop:long,kind:string>>"
 
 
