@@ -17,6 +17,7 @@ MODULES = (
     "secret_scan",
     "line_dedup",
     "language_id",
+    "html_text",
 )
 
 
