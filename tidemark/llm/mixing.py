@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table, word_count
+from tidemark.llm.common import on_disk, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -72,17 +72,22 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, repeat: i
     return rows.withColumn("target", F.least(F.col("most"), F.coalesce("level", F.lit(float("inf"))) * F.col("weight"))).select(*sources.columns, "place", "target")
 
 
+def sized(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``size``, the words of its text, in place of the text."""
+    return docs.withColumn("size", word_count(F.col("text"))).drop("text")
+
+
 def mix(docs: DataFrame, block: int = BLOCK, shard_rows: int = SHARD_ROWS, seed: str = SEED, weights=WEIGHTS, share: float = SHARE, repeat: int = REPEAT) -> DataFrame:
-    """``docs(doc_id, text, source, ...)`` with ``size, source_size, target, taken``.
+    """``docs(doc_id, source, size, ...)`` with ``source_size, target, taken``.
 
-    Null or empty texts have size 0 and take 0. A null source is a source of its own,
-    last in order. Equal rows are interchangeable: their ``taken`` values are the same
-    as a multiset on every run. A null ``doc_id`` is ordered by its text alone. An
+    Documents of size 0 (null or empty texts) take 0. A null source is a source of its
+    own, last in order. Equal rows are interchangeable: their ``taken`` values are the
+    same as a multiset on every run. Rows without ``doc_id`` are drawn by their size. An
     empty table gives no rows. Other columns stay; those named like results are replaced.
     """
-    rows = docs.drop("size", "source_size", "target", "taken").withColumn("size", word_count(F.col("text")))
-    who = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.md5(F.coalesce("text", F.lit(""))))))
-    rows = rows.withColumn("_draw", F.md5(who))
+    rows = docs.drop("source_size", "target", "taken")
+    who = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.col("size").cast("string"))))
+    rows = on_disk(rows.withColumn("_draw", F.md5(who.cast("binary"))))  # sizes are counted once, not once a branch
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     plan = targets(sizes, weights, share, repeat).withColumn("_group", F.lit(1))
     plan = sainte_lague(plan, F.floor(F.sum("target").over(W.partitionBy("_group")) / block + 0.5), "target", ["_group"], ["place"], "blocks")
@@ -103,12 +108,12 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_rows: int = SHARD_ROWS, seed:
         CASE WHEN pmod(b * {STEP} + place * 7919 + shard * 104729, _n) < _some
              THEN greatest(0L, least(_end, (b + 1) * shard_size div _n) - greatest(_start, b * shard_size div _n)) ELSE 0L END)""")
     taken = F.when(F.col("size") == 0, 0).otherwise(F.col("size") * F.col("_pass") + F.when(F.col("_some") > 0, some).otherwise(0)).cast("long")
-    return rows.withColumn("taken", taken).select(*[c for c in docs.columns if c not in ("size", "source_size", "target", "taken")], "size", "source_size", "target", "taken")
+    return rows.withColumn("taken", taken).select(*[c for c in docs.columns if c not in ("source_size", "target", "taken")], "source_size", "target", "taken")
 
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(sized(docs)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 #: The same mix by the definitions: every quotient is listed and ranked. White space is spelled out for RE2.
