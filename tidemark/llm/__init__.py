@@ -18,6 +18,7 @@ MODULES = (
     "line_dedup",
     "language_id",
     "html_text",
+    "ann",
 )
 
 
