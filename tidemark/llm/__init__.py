@@ -19,6 +19,7 @@ MODULES = (
     "language_id",
     "html_text",
     "ann",
+    "decontamination",
 )
 
 
