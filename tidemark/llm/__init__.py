@@ -20,6 +20,7 @@ MODULES = (
     "html_text",
     "ann",
     "decontamination",
+    "lm_scoring",
 )
 
 
