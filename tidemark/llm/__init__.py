@@ -21,6 +21,7 @@ MODULES = (
     "ann",
     "decontamination",
     "lm_scoring",
+    "ngram_join",
 )
 
 
