@@ -140,6 +140,15 @@ def identify(docs: DataFrame, profiles: DataFrame, length: int = PROFILE, text:
     return rows.mapInArrow(run, schema)
 
 
+def lettered(docs: DataFrame, profiles: DataFrame, length: int = PROFILE) -> DataFrame:
+    """``docs`` without the rows whose language can't be told: those judged ``und``.
+
+    Nothing learned rejects nothing but texts without a letter.
+    """
+    said = identify(docs.drop("lang_pred", "score").withColumn("_text", F.col("text")), profiles, length, "_text")
+    return said.filter((F.col("lang_pred") != UND) | F.col("_text").rlike(r"\p{L}")).select(*docs.columns)
+
+
 def held_out(doc_id: str) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 

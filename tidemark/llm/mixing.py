@@ -67,9 +67,9 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, repeat: i
     rows = rows.withColumn("full_before", F.coalesce(F.sum("most").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)))
     rows = rows.withColumn("weight_from", F.sum("weight").over(line.rowsBetween(W.currentRow, W.unboundedFollowing)))
     rows = rows.withColumn("level", (F.col("budget") - F.col("full_before")) / F.col("weight_from"))
-    # The first source along the line that its level doesn't fill sets the level for all after it.
-    rows = rows.withColumn("level", F.min(F.when(F.col("most") / F.col("weight") >= F.col("level"), F.col("level"))).over(every))
-    return rows.withColumn("target", F.least(F.col("most"), F.coalesce("level", F.lit(float("inf"))) * F.col("weight"))).select(*sources.columns, "place", "target")
+    # Along the line the level rises while sources overflow it and falls after: its peak is the water level.
+    rows = rows.withColumn("level", F.max("level").over(every))
+    return rows.withColumn("target", F.least(F.col("most"), F.col("level") * F.col("weight"))).select(*sources.columns, "place", "target")
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -130,7 +130,7 @@ WITH docs AS (
   SELECT *, coalesce(sum(most) OVER (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_before,
          sum(weight) OVER (ORDER BY most / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_from FROM weighed
 ), lev AS (
-  SELECT min((budget - full_before) / weight_from) FILTER (WHERE most / weight >= (budget - full_before) / weight_from) AS level FROM line
+  SELECT max((budget - full_before) / weight_from) AS level FROM line
 ), tgt AS (
   SELECT source, place, source_size, n_docs, least(most, level * weight)::DOUBLE AS target FROM weighed, lev
 ), n AS (SELECT floor(sum(target) / 8 + 0.5)::BIGINT AS blocks FROM tgt
