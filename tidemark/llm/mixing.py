@@ -30,7 +30,7 @@ STEP = 1_000_000_007
 def sainte_lague(rows: DataFrame, seats: Column, votes: str, keys: list[str], order: list[str], out: str) -> DataFrame:
     """Add ``out``: the seats of each row of its group ``keys`` by highest quotients ``votes / (2k + 1)``.
 
-    ``seats`` is the group's total. Ties go to the row first in ``order``. Groups
+    ``seats`` is the group's total. Ties go to the row first in ``order`` (numbers). Groups
     without votes get none. A group is one row per source or shard, not per document.
     """
     group = W.partitionBy(*keys)
@@ -45,7 +45,8 @@ def sainte_lague(rows: DataFrame, seats: Column, votes: str, keys: list[str], or
     listed = base.select(*keys, *order, "_gap", votes, "_first", F.explode(steps).alias("_k")).withColumn("_at", k).filter("_at >= 0")
     quotient = F.col(votes) / (2 * F.col("_at") + 1)
     turn = F.when(F.col("_gap") > 0, -quotient).otherwise(quotient)
-    ties = [F.col(o).asc_nulls_last() for o in order]
+    # Of equal quotients the later one is the first to be given back.
+    ties = [F.when(F.col("_gap") > 0, F.col(o)).otherwise(-F.col(o)) for o in order]
     rank = F.row_number().over(group.orderBy(turn, *ties))
     moved = listed.withColumn("_turn", turn).withColumn("_rank", rank).filter("_rank <= abs(_gap)")
     moved = moved.groupBy(*[F.col(c).alias(f"_{c}") for c in keys + order]).agg(F.sum(F.signum("_gap")).alias("_move"))
@@ -101,7 +102,7 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_rows: int = SHARD_ROWS, seed:
     shards = sainte_lague(shards, F.col("blocks"), "shard_size", ["place"], ["shard"], "quota")
     shards = shards.select(F.col("place").alias("_place"), F.col("shard").alias("_shard"), "shard_size", "quota")
     rows = rows.drop("blocks").join(shards, (F.col("place") == F.col("_place")) & (F.col("shard") == F.col("_shard")))
-    rows = rows.withColumn("_n", F.ceil(F.col("shard_size") / block)).withColumn("_quota", F.least("quota", F.col("_n") * repeat))
+    rows = rows.withColumn("_n", F.greatest(F.ceil(F.col("shard_size") / block), F.lit(1).cast("long"))).withColumn("_quota", F.least("quota", F.col("_n") * repeat))
     rows = rows.withColumns({"_end": F.col("_start") + F.col("size"), "_pass": F.floor(F.col("_quota") / F.col("_n")), "_some": F.col("_quota") % F.col("_n")})
     # Block b is [b * shard_size div n, (b + 1) * shard_size div n); a document meets a run of blocks.
     some = F.expr(f"""aggregate(sequence(_start * _n div shard_size, least(_end * _n div shard_size, _n - 1)), 0L, (acc, b) -> acc +
