@@ -4,7 +4,7 @@ A document's shingle hashes are XORed into a bit sketch: a bit tells whether an
 number of shingles fell on it. Two sketches differ in at most as many bits as the sets
 differ in shingles. Sets of Jaccard at least p/q differ in at most K = (q-p)(a+b)/(q+p)
 shingles, so of K + 1 sketch words at least one is equal in both: sketches are cut into
-K + 1 words of 64 bits per size band, and equal words meet in a join.
+K + 1 words of ``WIDTH`` bits per size band, and equal words meet in a join.
 
 * By the pigeonring principle there even is a word from which the next two differ by at
   most 1 bit, and the next three by at most 2. A word with few bits set says little; its
@@ -24,12 +24,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, on_disk, table
 
-#: Words with fewer bits are drawn out; halves with fewer too.
-LOW_WORD, LOW_HALF = 4, 2
+#: Bits of a word. Words with fewer than so many bits set are drawn out; halves with fewer too.
+WIDTH, LOW_WORD, LOW_HALF = 256, 2, 1
 #: 64-bit words of the fixed sketch that pairs pass before their sets are read.
 SIEVE = 32
 #: Bits of the map of sets worth reading again: a fixed size, whatever their number.
@@ -85,9 +86,24 @@ class Bands:
         return [own, own - 1] if own > 1 and -(-n * self.p // self.q) <= self.high[own - 1] else [own]
 
 
-def sketch(hashes: np.ndarray, words: int) -> np.ndarray:
-    bits = np.bincount(((hashes >> np.uint64(7)) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.uint64)
+def sketch(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Parity sketch as 64-bit words."""
+    odd = np.bincount(((hashes >> np.uint64(7)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def half_words(hashes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The halves of a sketch's words as hashes of their set bits, and how many bits each has set."""
+    at = np.sort((hashes >> np.uint64(7)) % np.uint64(WIDTH * words))
+    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    at = at[first[np.diff(np.append(first, len(at))) % 2 == 1]]  # bits hit an odd number of times
+    half = (at // np.uint64(WIDTH // 2)).astype(np.int64)
+    count = np.bincount(half, minlength=2 * words)
+    value = np.zeros(2 * words, np.uint64)
+    if len(at):
+        starts = np.flatnonzero(np.concatenate(([True], half[1:] != half[:-1])))
+        value[half[starts]] = np.bitwise_xor.reduceat(_mix(at + np.uint64(1)), starts)
+    return value.reshape(words, 2), count.reshape(words, 2)
 
 
 def keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
@@ -97,21 +113,19 @@ def keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
         m = bands.words(band)
         if m == 1:
             continue  # only equal sets link here
-        w = sketch(hashes, m)
-        place = _mix(np.arange(m, dtype=np.uint64) + np.uint64(band << 40))
-        key = _mix(place + w * _ODD[1])
-        low = np.bitwise_count(w) < LOW_WORD
+        halves, set_bits = half_words(hashes, m)
+        key = _mix(halves[:, 0] * _ODD[1] + halves[:, 1] + _mix(np.arange(m, dtype=np.uint64) + np.uint64(band << 32)))
+        low = set_bits.sum(axis=1) < LOW_WORD
         out.append(key[~low])
         if not low.any():
             continue
         at = np.flatnonzero(low)
-        after, third = w[(at + 1) % m], w[(at + 2) % m]
-        halves = [after & np.uint64(0xFFFFFFFF), after >> np.uint64(32)]
+        after, third = (at + 1) % m, (at + 2) % m
         for side in (0, 1):
-            drawn = _mix(key[at] + halves[side] * _ODD[2] + np.uint64(1 + side))
-            weak = np.bitwise_count(halves[side]) < LOW_HALF
+            drawn = _mix(key[at] + halves[after, side] * _ODD[2] + np.uint64(1 + side))
+            weak = set_bits[after, side] < LOW_HALF
             out.append(drawn[~weak])
-            for k, piece in enumerate((halves[1 - side], third & np.uint64(0xFFFFFFFF), third >> np.uint64(32))):
+            for k, piece in enumerate((halves[after, 1 - side], halves[third, 0], halves[third, 1])):
                 out.append(_mix(drawn[weak] + piece[weak] * _ODD[3] + np.uint64(3 + k)))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -126,30 +140,47 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
-def _sets(size: int, p: int, q: int):
+def _keys(size: int, p: int, q: int):
+    """Every set with its keys; of equal sets in a task the first sends them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(p, q), set()
         for batch in batches:
-            made = [shingles(t, size) for t in batch.column(2).to_pylist()]
-            names = np.array([digest(h) for h in made], np.uint64)
-            sent = []
-            for name, h in zip(names.tolist(), made):
-                sent.append(np.zeros(0, np.uint64) if name in seen else keys(h, bands))
-                seen.add(name)
+            names, sent = [], []
+            for text in batch.column(0).to_pylist():
+                h = shingles(text, size)
+                name = digest(h)
+                if name not in seen:
+                    seen.add(name)
+                    names.append(name)
+                    sent.append(keys(h, bands))
             if len(seen) > REMEMBERED:
                 seen = set()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(h) for h in made], pa.int64()), pa.array(names.view(np.int64)), _lists(sent)], names=["id", "mark", "n", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), _lists(sent)], names=["node", "keys"])
 
     return run
 
 
-def _again(size: int, wanted: np.ndarray):
+def _rows(size: int, wanted: np.ndarray):
+    """Every row with the name and size of its set; the set itself and its sieve only where wanted, once a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            made = [shingles(t, size) for t in batch.column(0).to_pylist()]
-            names = np.array([digest(h) for h in made], np.uint64)
-            pick = np.flatnonzero(wanted[(names & np.uint64(len(wanted) - 1)).astype(np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(names[pick].view(np.int64)), _lists([made[i] for i in pick]), _lists([sketch(made[i], SIEVE) for i in pick])], names=["node", "shingles", "sieve"])
+            names, sizes, sets, sieves = [], [], [], []
+            for text in batch.column(2).to_pylist():
+                h = shingles(text, size)
+                name = digest(h)
+                names.append(name)
+                sizes.append(len(h))
+                full = len(h) > 0 and wanted[name & (len(wanted) - 1)] and name not in seen
+                if full:
+                    seen.add(name)
+                sets.append(h if full else h[:0])
+                sieves.append(sketch(h, 64 * SIEVE) if full else h[:0])
+            if len(seen) > REMEMBERED:
+                seen = set()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(np.array(names, np.uint64).view(np.int64)), _lists(sets), _lists(sieves)], names=["id", "mark", "n", "node", "shingles", "sieve"])
 
     return run
 
@@ -181,11 +212,14 @@ def groups(docs: DataFrame, size: int = 3, p: int = 9, q: int = 10) -> DataFrame
     ``node`` names the set, ``root`` the group of linked sets. Shingles are 64-bit hashes.
     """
     rows = docs.select("id", "mark", F.col("text").cast("binary").alias("text"))
-    made = on_disk(rows.mapInArrow(_sets(size, p, q), "id long, mark long, n long, node long, keys array<long>"))
-    held = made.select("node", F.explode("keys").alias("key"))
-    shared = held.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("times")).filter("low < high").select("key", "times")
-    met = on_disk(held.join(shared, "key").select("key", "node", "times").distinct())
-    sets = on_disk(rows.select("text").mapInArrow(_again(size, _map_of(met.select("node"))), "node long, shingles array<long>, sieve array<long>").dropDuplicates(["node"]))
+    # Keys travel once. A key's rows are as many as its sets at most, a few hundredths of a
+    # percent of all even where a third of all sets are near copies: those share many keys.
+    held = rows.select("text").mapInArrow(_keys(size, p, q), "node long, keys array<long>").select("node", F.explode("keys").alias("key"))
+    here = W.partitionBy("key")
+    met = held.withColumns({"low": F.min("node").over(here), "high": F.max("node").over(here), "times": F.count("*").over(here)})
+    met = on_disk(met.filter("low < high").select("key", "node", "times").distinct())
+    made = on_disk(rows.mapInArrow(_rows(size, _map_of(met.select("node"))), "id long, mark long, n long, node long, shingles array<long>, sieve array<long>"))
+    sets = on_disk(made.filter(F.size("shingles") > 0).select("node", "shingles", "sieve").join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
 
     # Each set with the leader of one of its keys: that which shares most.
     weight = met.groupBy("node").agg(F.sum("times").alias("weight"))
@@ -207,7 +241,7 @@ def groups(docs: DataFrame, size: int = 3, p: int = 9, q: int = 10) -> DataFrame
     left = one.join(two, "key").filter(close).select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
     edges = near.union(_linked(left, sets, p, q))
     roots = components(edges)
-    return made.drop("keys").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return made.select("id", "mark", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
