@@ -78,8 +78,8 @@ def norm_token(s: Column) -> Column:
 
 @F.pandas_udf(T.DoubleType())
 def fuzzy_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Matching-block similarity; no built-in function computes it."""
-    return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+    """Matching-block similarity, null where a side is null; no built-in function computes it."""
+    return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype=float)
 
 
 def best_ratio(words: tuple[str, ...], floor: float):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,13 +146,14 @@ def merge_components(df: DataFrame, key: str) -> DataFrame:
     an asset is pairwise disjoint, so the frame bounds it, not the box count.
     """
     cols = [F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")]
-    boxes = df.select(key, *cols)
+    # Boxes without area overlap nothing and would never merge; boxes with a missing edge are none.
+    boxes = df.select(key, *cols).filter("x0 < x1 AND y0 < y1")
     schema = boxes.schema
     salt = F.pmod(F.xxhash64("x0", "y0", "x1", "y1"), F.lit(SALTS))
     for spread in (None, [F.col(key), salt], [F.col(key)]):
         if spread is not None:
             boxes = boxes.repartition(*spread)
-        boxes = boxes.sortWithinPartitions(key).mapInPandas(_merge_sorted, schema)
+        boxes = boxes.sortWithinPartitions(key).mapInArrow(_merge_sorted, schema)
     return boxes
 
 
@@ -170,15 +171,20 @@ def _absorb(merged: list, box: list) -> list:
 
 
 def _merge_sorted(batches):
-    current, merged, names = None, [], None
-    for pdf in batches:
-        names = list(pdf.columns)
+    """Keys stay in their own type: a long is not rounded and null is a key like any other."""
+    current, merged, first = None, [], True
+    for batch in batches:
         done = []
-        for row in pdf.itertuples(index=False):
-            if row[0] != current:
+        for key, *box in zip(*[c.to_pylist() for c in batch.columns]):
+            if first or key != current:
                 done += [(current, *m) for m in merged]
-                current, merged = row[0], []
-            merged = _absorb(merged, list(row[1:]))
-        yield pd.DataFrame(done, columns=names)
-    if names:
-        yield pd.DataFrame([(current, *m) for m in merged], columns=names)
+                current, merged, first = key, [], False
+            merged = _absorb(merged, box)
+        schema = batch.schema
+        yield _as_batch(done, schema)
+    if not first:
+        yield _as_batch([(current, *m) for m in merged], schema)
+
+
+def _as_batch(rows, schema):
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)

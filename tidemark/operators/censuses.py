@@ -37,9 +37,10 @@ def detector_census(df: DataFrame) -> DataFrame:
 
 
 def cross_tab(df: DataFrame, verdicts=("auto", "qa", "clean")) -> DataFrame:
-    """Counts per label and verdict, one pass, fixed columns."""
+    """Counts per label and verdict, one pass, fixed columns; ``other`` holds every verdict not named."""
+    known = F.coalesce(F.col("verdict").isin(*verdicts), F.lit(False))
     return df.groupBy("label").agg(
-        *[F.count_if(F.col("verdict") == v).alias(v) for v in verdicts], F.count_if("false_positive").alias("false_positives")
+        *[F.count_if(F.col("verdict") == v).alias(v) for v in verdicts], F.count_if(~known).alias("other"), F.count_if("false_positive").alias("false_positives")
     )
 
 

@@ -6,18 +6,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import naming
-from tidemark.operators.ordered import before, latest, numbered, previous, top_n
-
-# Legal op order, exempt tools, age limits, sidecar files.
-LEGAL = (
-    ("INTAKE", "SAVE_WORKING"),
-    ("SAVE_WORKING", "SAVE_WORKING"),
-    ("SAVE_WORKING", "SUBMIT"),
-    ("SUBMIT", "REJECT"),
-    ("SUBMIT", "APPROVE_CLEAN"),
-    ("REJECT", "SAVE_WORKING"),
-    ("REJECT", "SUBMIT"),
-)
+from tidemark.operators.ordered import before, join_on, latest, numbered, previous, top_n
+
+# Stages and states, exempt tools, age limits, sidecar files.
+STAGES = ("first", "clean", "final", "last")
+SCRATCH = {"first": "FIRST_SCRATCH", "clean": "CLEAN_SCRATCH", "final": "FINAL_SCRATCH", "last": "LAST_SCRATCH"}
+DONE = {"first": "FIRST_DONE", "clean": "CLEAN_DONE", "final": "FINAL_DONE", "last": "END_REVIEW"}
+#: Ops that leave the state as it is and fit everywhere after intake.
+NEUTRAL = ("ANNOTATE", "REPLACE_SOURCE")
+
+
+def legal_ops() -> tuple[tuple[str, str], ...]:
+    """Which op may follow which: edits inside a stage, approval, the next stage's start, the final pass."""
+    start = {s: "INTAKE" if s == "first" else f"START_{s.upper()}" for s in STAGES}
+    edits = ("SAVE_WORKING", "SUBMIT", "REJECT")
+    inside = [("SAVE_WORKING", "SAVE_WORKING"), ("SAVE_WORKING", "SUBMIT"), ("SUBMIT", "REJECT"), ("REJECT", "SAVE_WORKING"), ("REJECT", "SUBMIT")]
+    enter = [(op, "SAVE_WORKING") for op in start.values()]
+    leave = [("SUBMIT", f"APPROVE_{s.upper()}") for s in STAGES]
+    onward = [(f"APPROVE_{a.upper()}", start[b]) for a, b in zip(STAGES, STAGES[1:])]
+    end = [("APPROVE_LAST", "FINALIZE"), ("APPROVE_LAST", "REJECT")]
+    assert {a for a, _ in inside} == set(edits)
+    return tuple(inside + enter + leave + onward + end)
+
+
+LEGAL = legal_ops()
 EXEMPT_TOOLS = ("operator-select", "clean-scan", "manual", "qa")
 STALE_LOCK_S = 3600.0
 STALE_PART_S = 86400.0
@@ -83,13 +95,40 @@ def collision_suffix(df: DataFrame, key: str, name: str, seq: str) -> DataFrame:
     ).drop("_n")
 
 
-def illegal_steps(df: DataFrame, key: str, legal=LEGAL) -> DataFrame:
-    """Rows whose predecessor op is not allowed before them (a first row must be INTAKE)."""
-    step = previous(df, [key], "seq", {"prev_op": F.col("op")})
+def illegal_steps(df: DataFrame, key: str, legal=LEGAL, stages: bool = True) -> DataFrame:
+    """Rows whose predecessor op is not allowed before them (a first row must be INTAKE).
+
+    ``NEUTRAL`` ops are passed over: they are legal after any other op and hide none. An
+    approval or a start must also belong to the stage that is open.
+    """
+    op = F.col("op")
+    neutral = op.isin(*NEUTRAL)
+    opened = F.when(op == "INTAKE", STAGES[0]).when(op.rlike("^START_"), F.lower(F.substring("op", 7, 20)))
+    step = before(df, [key], "seq", last={"prev_op": F.when(~neutral, op), "_stage": opened})
     pair = F.concat_ws(">", "prev_op", "op")
     allowed = pair.isin(*[f"{a}>{b}" for a, b in legal])
-    ok = F.when(F.col("prev_op").isNull(), F.col("op") == "INTAKE").otherwise(allowed)
-    return step.filter(~ok)
+    closing = F.when(op.rlike("^APPROVE_"), F.lower(F.substring("op", 9, 20)))
+    # Ledgers that name no stage at all are judged by the order of ops alone.
+    staged = closing.isNull() | F.col("_stage").isNull() | (F.col("_stage") == closing) | ~F.lit(stages)
+    ok = F.when(F.col("prev_op").isNull(), op == "INTAKE").when(neutral, True).otherwise(allowed & staged)
+    return step.filter(~F.coalesce(ok, F.lit(False))).drop("_stage")
+
+
+def replayed_state(df: DataFrame, key: str) -> DataFrame:
+    """The state each asset is in after its last op: one of the scratch, done and review states, or PASSED.
+
+    The newest op that opens, closes or finishes a stage decides; a rejection in the
+    final review opens the last stage again. Keys without any such op are PENDING_INTAKE.
+    """
+    op = F.col("op")
+    state = F.when(op == "INTAKE", SCRATCH["first"]).when(op == "FINALIZE", "PASSED")
+    for s in STAGES:
+        state = state.when(op == f"START_{s.upper()}", SCRATCH[s]).when(op == f"APPROVE_{s.upper()}", DONE[s])
+    reviewed = previous(df.filter(~op.isin(*NEUTRAL)), [key], "seq", {"_was": op})
+    state = state.when((op == "REJECT") & (F.col("_was") == "APPROVE_LAST"), SCRATCH["last"])
+    g = reviewed.withColumn("_state", state).groupBy(key).agg(F.max_by("_state", F.when(F.col("_state").isNotNull(), F.struct("ts", "seq"))).alias("state"))
+    known = g.withColumn("state", F.coalesce("state", F.lit("PENDING_INTAKE")))
+    return join_on(df.select(key).distinct(), known, [key], "left").withColumn("state", F.coalesce("state", F.lit("PENDING_INTAKE")))
 
 
 def current_state(df: DataFrame, key: str) -> DataFrame:
@@ -246,7 +285,7 @@ def segment_runs(df: DataFrame, keys: list[str], seq: str, cycle: str, run_id: s
     """Run number inside each file: by run id when every row has one, else by a cycle that does not advance."""
     kw = {"block": block} if block else {}
     backed = df.groupBy(*keys).agg(F.bool_and(F.col(run_id).isNotNull()).alias("id_backed"))
-    p = before(df.join(backed, keys), keys, seq, last={"_c": F.col(cycle), "_r": F.struct(F.col(run_id).alias("id"))}, **kw)
+    p = before(join_on(df, backed, keys), keys, seq, last={"_c": F.col(cycle), "_r": F.struct(F.col(run_id).alias("id"))}, **kw)
     by_id = F.col("_r").isNull() | (F.col("_r.id") != F.col(run_id))
     by_cycle = F.col("_c").isNull() | (F.col(cycle).isNotNull() & (F.col(cycle) <= F.col("_c")))
     fresh = F.when(F.col("id_backed"), by_id).otherwise(by_cycle).cast("long")
@@ -269,7 +308,7 @@ def split_keep(df: DataFrame, key: str, seq: str, n: int) -> DataFrame:
     """Newest n rows kept, the rest archived; only the cut line is ranked."""
     kept = top_n(df.select(key, seq), [key], [F.col(seq).desc()], n)
     line = kept.groupBy(key).agg(F.min(seq).alias("_line"))
-    return df.join(line, key).withColumn("bucket", F.when(F.col(seq) >= F.col("_line"), "keep").otherwise("archive")).drop("_line")
+    return join_on(df, line, [key]).withColumn("bucket", F.when(F.col(seq) >= F.col("_line"), "keep").otherwise("archive")).drop("_line")
 
 
 def attempt_decision(status: Column, attempts: Column, halt: Column, budget: int = 3) -> Column:

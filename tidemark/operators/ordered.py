@@ -84,3 +84,12 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str
     """First ``n`` rows per key. The rank filter is pushed below the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w).cast("long")).filter(F.col(rank) <= n)
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys are equal; the key columns of the right side are dropped."""
+    other = right.withColumnsRenamed({k: f"_on_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_on_{k}"))
+    return left.join(other, on, how).drop(*[f"_on_{k}" for k in keys])

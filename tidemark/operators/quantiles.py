@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import join_on
+
 ACCURACY = 10_000
 
 
@@ -50,11 +52,21 @@ def exact_percentiles(
         ).alias("_w"),
     ).select(*keys, "_w.*")
 
-    # equal values count once; brackets are few per key, so this join stays narrow
-    counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
-    tagged = counted.join(wanted, keys).withColumn("_in", F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    below = tagged.filter(F.col("_v") < F.col("_lo")).groupBy(*keys, "_name").agg(F.sum("_c").alias("_below"))
-    inside = tagged.filter("_in").join(below, [*keys, "_name"], "left").fillna(0, ["_below"])
+    # equal values count once; all brackets of a key travel in one row
+    brackets = wanted.groupBy(*keys).agg(F.collect_list(F.struct("_name", "_rank", "_lo", "_hi")).alias("_all_w"))
+    if keys == ["_all"]:
+        # one row of a few numbers: as a literal it needs no join
+        one = brackets.select("_all_w").first()
+        entries = [F.struct(*[F.lit(x).alias(n) for n, x in w.asDict().items()]) for w in (one._all_w if one else [])]
+        if not entries:
+            return sketch.agg(*[F.max("_min").alias(n) for n in ps])
+        counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_c")).withColumn("_all_w", F.array(*entries))
+    else:
+        counted = join_on(rows.groupBy(*keys, "_v").agg(F.count("*").alias("_c")), brackets, keys)
+    v = F.col("_v")
+    lower_sum = counted.select(*keys, "_v", "_c", F.explode(F.filter("_all_w", lambda x: v < x._lo)).alias("_w")).groupBy(*keys, F.col("_w._name").alias("_name")).agg(F.sum("_c").alias("_below"))
+    tagged = counted.select(*keys, "_v", "_c", F.explode(F.filter("_all_w", lambda x: v.between(x._lo, x._hi))).alias("_w")).select(*keys, "_v", "_c", "_w.*")
+    inside = join_on(tagged, lower_sum, [*keys, "_name"], "left").fillna(0, ["_below"])
     w = Window.partitionBy(*keys, "_name").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = inside.withColumn("_end", F.sum("_c").over(w) + F.col("_below") - 1).withColumn(
         "_start", F.col("_end") - F.col("_c") + 1

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import sha_match
-from tidemark.operators.ordered import before
+from tidemark.operators.ordered import before, join_on
 
 # Patterns that mark a claim, a report of failure, a hedge, a waiver and a run.
 GREEN = r"(?i)(tests?\s+(all\s+)?pass(es|ed|ing)?|(full\s+)?suite\s+(is\s+)?(green|passes|passing)|\d+\s+passed|all\s+green|ci\s+(is\s+)?green|green\s+on\s+[0-9a-f]{7,})"
@@ -67,7 +67,8 @@ def audit_claims(entries: DataFrame, p: Patterns = Patterns()) -> DataFrame:
         last={"_last": F.when(verdict.isin("pass", "fail"), verdict)}, sums={"runs_before": F.when(ran, 1).otherwise(0).cast("long")},
     )
     text = F.col("text")
-    claims = e.filter(F.col("is_claim") & text.rlike(p.green) & ~text.rlike(p.red) & ~text.rlike(p.hedged)).join(waived, "transcript")
+    claims = e.filter(F.col("is_claim") & text.rlike(p.green) & ~text.rlike(p.red) & ~text.rlike(p.hedged))
+    claims = join_on(claims, waived, ["transcript"])
     found = (
         F.when(F.col("waived"), "waived")
         .when(F.col("runs_before") == 0, "claim-no-run")
@@ -102,13 +103,16 @@ def suite_trajectory(commits: DataFrame, observations: DataFrame) -> DataFrame:
     ``commits``: sha. ``observations``: sha, passed, at (null loses to a stamp).
     """
     rank = F.struct(F.col("at").isNotNull().alias("s"), "at", "passed")
-    o = observations.groupBy(F.col("sha").alias("osha")).agg(F.max(rank).alias("best"), F.count("*").alias("n"))
-    c = commits.withColumn("k", F.lower(F.substring("sha", 1, 6)))
-    j = c.join(o.withColumn("k", F.lower(F.substring("osha", 1, 6))), "k", "left")
-    own = sha_match(F.col("sha"), F.col("osha"))
-    return j.groupBy(*commits.columns).agg(
-        F.max(F.when(own, F.col("best"))).alias("b"), F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias("observation_count")
-    ).select(*commits.columns, F.col("b.passed").alias("passed"), "observation_count")
+    o = observations.groupBy(F.lower(F.trim("sha")).alias("osha")).agg(F.max(rank).alias("best"), F.count("*").alias("n")).filter("length(osha) >= 6")
+    c = commits.select(F.lower(F.trim("sha")).alias("csha")).distinct().filter("length(csha) >= 6")
+    # Every abbreviation is spelled out on the longer side, so that all matches are equalities.
+    heads = lambda s, to: F.explode(F.transform(F.sequence(F.lit(6), to), lambda n: F.left(F.col(s), n))).alias("head")
+    shorter = c.select("csha", heads("csha", F.length("csha"))).join(o, F.col("head") == F.col("osha"))
+    longer = o.filter("length(osha) > 6").select("best", "n", heads("osha", F.length("osha") - 1)).join(c, F.col("head") == F.col("csha"))
+    hits = shorter.select("csha", "best", "n").union(longer.select("csha", "best", "n"))
+    told = hits.groupBy("csha").agg(F.max("best").alias("b"), F.sum("n").alias("observation_count"))
+    j = commits.join(told, F.lower(F.trim("sha")) == F.col("csha"), "left")
+    return j.select(*commits.columns, F.col("b.passed").alias("passed"), F.coalesce("observation_count", F.lit(0)).alias("observation_count"))
 
 
 def run_identity(cycles: DataFrame) -> DataFrame:

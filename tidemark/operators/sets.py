@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 SKIP_PARTS = ("_archive", "node_modules", "__pycache__", ".git", "logs")
 SKIP_PREFIXES = ("ops/runtime/",)
 SKIP_EXTS = (
-    ".pyc", ".pyd", ".db", ".png", ".jpg", ".jpeg", ".gif", ".webp", ".ico", ".zip", ".gz", ".exe", ".dll",
+    ".pyc", ".pyd", ".db", ".db-shm", ".db-wal", ".png", ".jpg", ".jpeg", ".gif", ".webp", ".ico", ".zip", ".gz", ".exe", ".dll",
     ".lnk", ".woff", ".woff2", ".ttf", ".bin", ".so", ".o", ".jsonl",
 )
 LOG_NAME = r"(?i)\.log(\.\d+)?$"

@@ -196,7 +196,7 @@ def j20(t):
 
 @query(
     "a04_label_verdict",
-    f"""WITH {DET_SQL} SELECT label, count(*) FILTER (verdict = 'auto') AS auto, count(*) FILTER (verdict = 'qa') AS qa, count(*) FILTER (verdict = 'clean') AS clean, count(*) FILTER (label = 'needs_none' AND verdict = 'auto') AS false_positives FROM j GROUP BY label""",
+    f"""WITH {DET_SQL} SELECT label, count(*) FILTER (verdict = 'auto') AS auto, count(*) FILTER (verdict = 'qa') AS qa, count(*) FILTER (verdict = 'clean') AS clean, count(*) FILTER (verdict IS NULL OR verdict NOT IN ('auto', 'qa', 'clean')) AS other, count(*) FILTER (label = 'needs_none' AND verdict = 'auto') AS false_positives FROM j GROUP BY label""",
 )
 def a04(t):
     return C.cross_tab(C.detector_census(detections(t)))

@@ -261,10 +261,20 @@ LEGAL_SQL = "('INTAKE>SAVE_WORKING', 'SAVE_WORKING>SAVE_WORKING', 'SAVE_WORKING>
     SELECT slug, seq, coalesce(p, 'start') AS prev_op, op FROM l WHERE CASE WHEN p IS NULL THEN op <> 'INTAKE' ELSE p || '>' || op NOT IN {LEGAL_SQL} END""",
 )
 def w18(t):
-    bad = L.illegal_steps(tr(t).select("slug", "seq", "op"), "slug")
+    bad = L.illegal_steps(tr(t).select("slug", "seq", "op"), "slug", stages=False)
     return bad.select("slug", "seq", F.coalesce("prev_op", F.lit("start")).alias("prev_op"), "op")
 
 
+@query(
+    "w18_asset_state",
+    """WITH e AS (SELECT slug, ts, seq, CASE op WHEN 'INTAKE' THEN 'FIRST_SCRATCH' WHEN 'APPROVE_CLEAN' THEN 'CLEAN_DONE' END AS state FROM v_transitions),
+      l AS (SELECT slug, arg_max(state, (ts, seq)) FILTER (state IS NOT NULL) AS state FROM e GROUP BY slug)
+    SELECT slug, coalesce(state, 'PENDING_INTAKE') AS state FROM l""",
+)
+def w18_asset(t):
+    return L.replayed_state(tr(t).select("slug", "ts", "seq", "op"), "slug")
+
+
 @query(
     "w18_replay_state",
     """SELECT slug, op AS state FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY ts DESC, seq DESC) AS r FROM v_transitions) x WHERE r = 1""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -23,9 +24,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _parsed(lines: DataFrame, schema: str) -> DataFrame:
-    rec = F.from_json("line", schema + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    shaped = F.col("line").rlike(r"^\s*\{")
-    return lines.withColumn("rec", rec).withColumn("_ok", shaped & F.col("rec._bad").isNull())
+    """``rec`` and ``_ok``: a line is good if it is a JSON object; a field of another type is null, no more."""
+    raw = lines.withColumn("_raw", F.when(F.col("line").rlike(r"^\s*\{"), F.from_json("line", "map<string,string>")))
+    fields = []
+    for f in T.StructType.fromDDL(schema):
+        text = F.col("_raw").getItem(f.name)
+        nested = isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
+        fields.append((F.from_json(text, f.dataType) if nested else text.try_cast(f.dataType)).alias(f.name))
+    return raw.withColumn("_ok", F.col("_raw").isNotNull()).withColumn("rec", F.when(F.col("_ok"), F.struct(*fields))).drop("_raw")
 
 
 def parsed_stats(lines: DataFrame, schema: str, extra: dict[str, Column] | None = None) -> DataFrame:
@@ -34,7 +40,7 @@ def parsed_stats(lines: DataFrame, schema: str, extra: dict[str, Column] | None
     A bad last line is a race with the writer, a bad middle line a producer
     fault; the two are counted apart. ``extra`` aggregates over good records.
     """
-    p = _parsed(lines, schema).withColumn("rec", F.when(F.col("_ok"), F.col("rec")))
+    p = _parsed(lines, schema)
     g = p.groupBy("file").agg(
         F.count_if("_ok").alias("parsed"), F.count_if(~F.col("_ok")).alias("_bad"), F.max_by(~F.col("_ok"), "line_no").alias("torn_tail"),
         *[e.alias(n) for n, e in (extra or {}).items()],
@@ -45,5 +51,5 @@ def parsed_stats(lines: DataFrame, schema: str, extra: dict[str, Column] | None
 def read_jsonl_tolerant(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(records, per-file quality). Bad lines never fail the read."""
     lines = read_lines(spark, path)
-    good = _parsed(lines, schema).filter("_ok").select("file", "line_no", "rec.*").drop("_bad")
+    good = _parsed(lines, schema).filter("_ok").select("file", "line_no", "rec.*")
     return good, parsed_stats(lines, schema)
