@@ -86,3 +86,36 @@ def test_late_rows_by_batches(spark, tmp_path):
         spark.createDataFrame([(r,) for r in rows], "ts string").select(F.to_timestamp("ts").alias("ts")).coalesce(1).write.mode("append").parquet(str(base / "in"))
         J.late_split(spark.readStream.schema("ts timestamp").parquet(str(base / "in")), str(base), "ts", 3600)
     assert spark.read.parquet(str(base / "late")).count() == 1 and spark.read.parquet(str(base / "main")).count() == 4
+
+
+def test_stream_over_a_folder_loses_nothing(spark, tmp_path):
+    """Three part files with rows out of order: every row is counted or in the dead-letter table."""
+    table, gate = tmp_path / "events.parquet", str(tmp_path / "gate")
+    (tmp_path / "events_old.parquet").mkdir()
+    hour = 3600
+    parts = [[(0, 10), (1, 12)], [(2, 20), (3, 9), (4, 19)], [(5, 30), (6, 5), (7, 30)]]
+    for rows in parts:
+        one = spark.createDataFrame([(i, "u", h * hour) for i, h in rows], "id long, user string, s long")
+        one.select("id", "user", F.timestamp_seconds("s").alias("at")).coalesce(1).write.mode("append").parquet(str(table))
+        taken = J.accept(J.table_stream(spark, str(tmp_path), "events"), gate, "at", 2 * hour)
+        out = J.run_available(J.quiet_sessions(taken, "user", "at", "1 hour", delay="2 hours"), str(tmp_path / "job"))
+    late = spark.read.parquet(f"{gate}/late")
+    main = spark.read.parquet(f"{gate}/main")
+    assert sorted(r.id for r in late.collect()) == [3, 6]
+    assert main.count() + late.count() == 8
+    assert out.agg(F.sum("n")).first()[0] == 4  # 10, 12, 19 and 20 h have ended; 30 h is still open
+
+
+def test_liveness_ladder(spark):
+    now = 100_000_000_000
+    rows = [("stop", now, True, False, now), ("stop-finish", now, True, True, now), ("finish only", now, False, True, now), ("fresh", now, False, False, now), ("no lock", now, False, False, None), ("old lock", now, False, False, 1), ("quiet", 1, False, False, now)]
+    d = spark.createDataFrame(rows, "id string, last_us long, stopped boolean, finished boolean, lock_us long")
+    got = {r.id: r.state for r in J.liveness(d, F.lit(now), lock_us=F.col("lock_us")).collect()}
+    assert got == {"stop": "STOPPED", "stop-finish": "FINISHED", "finish only": "LIVE", "fresh": "LIVE", "no lock": "DEAD", "old lock": "DEAD", "quiet": "DEAD"}
+
+
+def test_fields_of_another_type_are_null(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"x": "abc", "y": [1]}\n{"x": 3.7}\n{"x": 4, "y": "no"}\nnull\n{"x"')
+    rows, quality = jsonl.read_jsonl_tolerant(spark, str(tmp_path), "x int, y array<int>")
+    assert sorted((r.x is None, r.y) for r in rows.filter("y is not null").collect()) == [(True, [1])]
+    assert [(r.parsed, r.corrupt_lines, r.torn_tail) for r in quality.collect()] == [(3, 1, True)]

@@ -125,3 +125,66 @@ def test_resolve_key_prefers_exact(spark):
     names = spark.createDataFrame([("ab",), ("a",), ("zz",)], "name string")
     got = {r.name: (r.key, r.how) for r in matching.resolve_key(names, known).collect()}
     assert got == {"ab": ("ab", "exact"), "a": ("abc", "prefix"), "zz": (None, "unresolved")}
+
+
+def test_null_groups_have_percentiles(spark):
+    from tidemark.operators.quantiles import exact_percentiles
+
+    d = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", None)], "k string, v double")
+    got = {r.k: r.p50 for r in exact_percentiles(d, ["k"], "v", {"p50": 0.5}).collect()}
+    assert got == {None: 2.0, "a": 5.0}
+
+
+def test_keyless_percentiles_have_no_product(spark):
+    from tidemark.operators.quantiles import exact_percentiles
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d = exact_percentiles(spark.range(1000).selectExpr("double(id) AS v"), [], "v", {"p50": 0.5, "p95": 0.95})
+        plan = d._jdf.queryExecution().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+        assert [tuple(r) for r in d.collect()] == [(499.5, 949.05)]
+        assert exact_percentiles(spark.range(0).selectExpr("double(id) AS v"), [], "v", {"p50": 0.5}).collect()[0].p50 is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_whole_life_is_legal(spark):
+    from tidemark.operators import ledger as L
+
+    ops = ["INTAKE", "SAVE_WORKING", "ANNOTATE", "SUBMIT", "REJECT", "SUBMIT", "APPROVE_FIRST"]
+    for stage in ("CLEAN", "FINAL", "LAST"):
+        ops += [f"START_{stage}", "REPLACE_SOURCE", "SAVE_WORKING", "SUBMIT", f"APPROVE_{stage}"]
+    ops += ["FINALIZE"]
+    good = [("a", i, i, op) for i, op in enumerate(ops)]
+    bad = [("b", 0, 0, "INTAKE"), ("b", 1, 1, "SAVE_WORKING"), ("b", 2, 2, "SUBMIT"), ("b", 3, 3, "APPROVE_CLEAN"), ("c", 0, 0, "SUBMIT"), (None, 0, 0, "INTAKE"), (None, 1, 1, "FINALIZE")]
+    d = spark.createDataFrame(good + bad, "slug string, seq long, ts long, op string")
+    assert {(r.slug, r.seq) for r in L.illegal_steps(d, "slug").collect()} == {("b", 3), ("c", 0), (None, 1)}
+    for n, state in ((1, "FIRST_SCRATCH"), (7, "FIRST_DONE"), (8, "CLEAN_SCRATCH"), (12, "CLEAN_DONE"), (22, "END_REVIEW"), (len(ops), "PASSED")):
+        assert L.replayed_state(d.filter(F.col("slug") == "a").filter(F.col("seq") < n), "slug").first().state == state
+
+
+def test_repeated_commits_keep_their_count(spark):
+    from tidemark.operators import runs as R
+
+    commits = spark.createDataFrame([("abcdef1234", 1), ("abcdef1234", 2), ("ABCDEF99", 3), ("abc", 4)], "sha string, n int")
+    seen = spark.createDataFrame([("abcdef1", 5, 10), ("abcdef12345678", 7, 11), ("abcdef9", 3, None)], "sha string, passed int, at int")
+    got = {r.n: (r.passed, r.observation_count) for r in R.suite_trajectory(commits, seen).collect()}
+    assert got == {1: (7, 2), 2: (7, 2), 3: (3, 1), 4: (None, 0)}
+
+
+def test_boxes_keep_null_and_long_keys(spark):
+    from tidemark.operators.boxes import merge_components
+
+    big = 2**53 + 1
+    rows = [(None, 0, 0, 2, 2), (None, 1, 1, 3, 3), (big, 0, 0, 1, 1), (big, 5, 5, 5, 9)]
+    got = merge_components(spark.createDataFrame([(k, *map(float, b)) for k, *b in rows], "k long, x0 double, y0 double, x1 double, y1 double"), "k")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(None, 0.0, 0.0, 3.0, 3.0), (big, 0.0, 0.0, 1.0, 1.0)], key=repr)
+
+
+def test_similarity_of_null_is_null(spark):
+    from tidemark.functions.text import fuzzy_ratio
+
+    d = spark.createDataFrame([("a", None), ("ab", "ab")], "x string, y string")
+    assert [r.r for r in d.select(fuzzy_ratio(F.col("x"), F.col("y")).alias("r")).collect()] == [None, 1.0]

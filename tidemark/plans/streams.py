@@ -25,7 +25,7 @@ def st01(t):
     "SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS start_s, event_type, count(*) AS n FROM events GROUP BY ALL",
 )
 def st02(t):
-    out = J.run_available(J.window_counts(events(t), "at", "event_type", "1 day"), J.job_dir(t.spark, "st02"), "update")
+    out = J.run_available(J.window_counts(events(t), "at", "event_type", "1 day", delay="1 hour"), J.job_dir(t.spark, "st02"), "update")
     return J.current(out, ["start_s", "event_type"])
 
 
@@ -34,7 +34,7 @@ def st02(t):
     """SELECT CAST(epoch(time_bucket(INTERVAL 6 HOUR, ts)) AS BIGINT) - 21600 * k AS start_s, event_type, count(*) AS n FROM events, (SELECT unnest(range(4)) AS k) r GROUP BY ALL""",
 )
 def st02_sliding(t):
-    out = J.run_available(J.window_counts(events(t), "at", "event_type", "1 day", "6 hours"), J.job_dir(t.spark, "st02s"), "update")
+    out = J.run_available(J.window_counts(events(t), "at", "event_type", "1 day", "6 hours", delay="1 hour"), J.job_dir(t.spark, "st02s"), "update")
     return J.current(out, ["start_s", "event_type"])
 
 
@@ -49,7 +49,9 @@ SESSION_SQL = """g AS (SELECT user_id, event_type, ts, epoch_us(ts) AS us, CASE
     f"""WITH {SESSION_SQL.format(gap=21600000000)} SELECT user_id, start_us, end_us, n FROM s, w WHERE end_us <= mark""",
 )
 def st03(t):
-    return J.run_available(J.quiet_sessions(events(t), "user_id", "at", "6 hours"), J.job_dir(t.spark, "st03")).drop("batch")
+    path = J.job_dir(t.spark, "st03")
+    taken = J.accept(events(t), f"{path}/gate", "at", 0)
+    return J.run_available(J.quiet_sessions(taken, "user_id", "at", "6 hours", delay="0 seconds"), path).drop("batch")
 
 
 @query(
@@ -57,13 +59,15 @@ def st03(t):
     f"""WITH {SESSION_SQL.format(gap=900000000)} SELECT user_id, end_us - 900000000 AS since_us FROM s, w WHERE end_us <= mark AND last_op = 'view'""",
 )
 def st04(t):
-    return J.run_available(J.stuck_stream(events(t), "user_id", "at", "event_type", "view"), J.job_dir(t.spark, "st04")).drop("batch")
+    path = J.job_dir(t.spark, "st04")
+    taken = J.accept(events(t), f"{path}/gate", "at", 0)
+    return J.run_available(J.stuck_stream(taken, "user_id", "at", "event_type", "view", delay="0 seconds"), path).drop("batch")
 
 
 @query(
     "st05_run_liveness",
     """WITH s AS (SELECT user_id, max(epoch_us(ts)) AS last_us, bool_or(event_type = 'error' AND value > 100) AS st, bool_or(event_type = 'purchase' AND value > 200) AS fi FROM events GROUP BY user_id)
-    SELECT user_id, CASE WHEN fi THEN 'FINISHED' WHEN st THEN 'STOPPED' WHEN (SELECT max(epoch_us(ts)) FROM events) - last_us < 16200000000 THEN 'LIVE' ELSE 'DEAD' END AS state FROM s""",
+    SELECT user_id, CASE WHEN st AND fi THEN 'FINISHED' WHEN st THEN 'STOPPED' WHEN (SELECT max(epoch_us(ts)) FROM events) - last_us < 16200000000 THEN 'LIVE' ELSE 'DEAD' END AS state FROM s""",
 )
 def st05(t):
     stop = (F.col("event_type") == "error") & (F.col("value") > 100)

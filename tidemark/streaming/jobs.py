@@ -19,9 +19,9 @@ STALE_S = 16200
 
 
 def table_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A table's parquet files as an unbounded input."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}*.parquet").parquet(folder)
+    """A table's parquet files as an unbounded input, be the table one file or a folder of part files."""
+    path = f"{folder.rstrip('/')}/{table}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
 def job_dir(spark: SparkSession, name: str) -> str:
@@ -52,14 +52,19 @@ def stream_counts(stream: DataFrame, key: str) -> DataFrame:
     return stream.groupBy(key).agg(F.count("*").alias("n"))
 
 
-def window_counts(stream: DataFrame, at: str, key: str, size: str, slide: str | None = None, delay: str = "1 hour") -> DataFrame:
+def window_counts(stream: DataFrame, at: str, key: str, size: str, slide: str | None = None, *, delay: str) -> DataFrame:
+    """Counts per window. Rows more than ``delay`` late are not counted: see ``accept``."""
     w = F.window(at, size, slide) if slide else F.window(at, size)
     g = stream.withWatermark(at, delay).groupBy(w.alias("w"), key).agg(F.count("*").alias("n"))
     return g.select(F.unix_seconds("w.start").alias("start_s"), key, "n")
 
 
-def quiet_sessions(stream: DataFrame, key: str, at: str, gap: str, extra: dict[str, Column] | None = None, delay: str = "0 seconds") -> DataFrame:
-    """Bursts of a key that ended: nothing followed for ``gap`` of event time."""
+def quiet_sessions(stream: DataFrame, key: str, at: str, gap: str, extra: dict[str, Column] | None = None, *, delay: str) -> DataFrame:
+    """Bursts of a key that ended: nothing followed for ``gap`` of event time.
+
+    Rows more than ``delay`` behind the newest of earlier batches are not counted; put
+    the stream through ``accept`` first, which keeps them in a dead-letter table.
+    """
     g = stream.withWatermark(at, delay).groupBy(F.session_window(at, gap).alias("w"), key).agg(
         F.count("*").alias("n"), *[e.alias(n) for n, e in (extra or {}).items()]
     )
@@ -67,9 +72,9 @@ def quiet_sessions(stream: DataFrame, key: str, at: str, gap: str, extra: dict[s
     return g.select(key, *cols, "n", *(extra or {}))
 
 
-def stuck_stream(stream: DataFrame, key: str, at: str, op: str, working: str, limit_s: int = STUCK_S) -> DataFrame:
+def stuck_stream(stream: DataFrame, key: str, at: str, op: str, working: str, limit_s: int = STUCK_S, *, delay: str) -> DataFrame:
     """Raised once per stall: the key went quiet for the limit while its last op was ``working``."""
-    s = quiet_sessions(stream, key, at, f"{limit_s} seconds", {"last_op": F.max_by(op, at)})
+    s = quiet_sessions(stream, key, at, f"{limit_s} seconds", {"last_op": F.max_by(op, at)}, delay=delay)
     return s.filter(F.col("last_op") == working).select(key, (F.col("end_us") - limit_s * 1_000_000).alias("since_us"))
 
 
@@ -80,10 +85,15 @@ def last_seen(stream: DataFrame, key: str, at: str, op: str, stop: Column, finis
     )
 
 
-def liveness(state: DataFrame, now_us: Column, stale_s: int = STALE_S) -> DataFrame:
-    """LIVE needs fresh writes and no stop; a stop outranks, and reads FINISHED on its marker."""
+def liveness(state: DataFrame, now_us: Column, stale_s: int = STALE_S, lock_us: Column | None = None, lock_stale_s: int = STALE_S) -> DataFrame:
+    """A stop outranks all and reads FINISHED on its marker; LIVE needs fresh writes and, where locks are known, a fresh lock.
+
+    A finish mark without a stop decides nothing. ``lock_us`` is the lock's last touch, null without a lock.
+    """
     fresh = (now_us - F.col("last_us")) < stale_s * 1_000_000
-    status = F.when(F.col("finished"), "FINISHED").when(F.col("stopped"), "STOPPED").when(fresh, "LIVE").otherwise("DEAD")
+    if lock_us is not None:
+        fresh = fresh & F.coalesce((now_us - lock_us) < lock_stale_s * 1_000_000, F.lit(False))
+    status = F.when(F.col("stopped") & F.col("finished"), "FINISHED").when(F.col("stopped"), "STOPPED").when(fresh, "LIVE").otherwise("DEAD")
     return state.withColumn("state", status)
 
 
@@ -126,6 +136,16 @@ def late_split(stream: DataFrame, path: str, at: str, delay_s: int) -> None:
     feed(stream, path, handle)
 
 
+def accept(stream: DataFrame, path: str, at: str, delay_s: int) -> DataFrame:
+    """The rows a watermark of this delay would take, as a stream; the others land in ``path/late``.
+
+    Every input row is in exactly one of the two tables. Call it for each run over a
+    growing folder with the same ``path``, then read on from the returned stream.
+    """
+    late_split(stream, path, at, delay_s)
+    return stream.sparkSession.readStream.schema(stream.schema.add("batch", "long")).parquet(f"{path}/main").drop("batch")
+
+
 def spend_ceiling(stream: DataFrame, path: str, amount: Column, seq: str, limit: float) -> DataFrame:
     """Running spend per batch with the row at which the ceiling was reached: (batch, spent, total, stop_at)."""
     spark = stream.sparkSession
