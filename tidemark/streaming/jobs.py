@@ -21,7 +21,8 @@ STALE_S = 16200
 def table_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """A table's parquet files as an unbounded input, be the table one file or a folder of part files."""
     path = f"{folder.rstrip('/')}/{table}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    # A stream's path must be a folder or a pattern; this pattern matches the one name, file or folder.
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]")
 
 
 def job_dir(spark: SparkSession, name: str) -> str:
