@@ -34,13 +34,13 @@ def a03(t):
 
 @query(
     "a16_phrase_counts",
-    """WITH d AS (SELECT lower(text) AS s FROM documents WHERE source < 'src5')
-    SELECT CAST(sum(len(regexp_extract_all(s, 'the of|of the|en la'))) AS BIGINT) AS stale_state, CAST(sum(len(regexp_extract_all(s, 'und [a-z]+ der'))) AS BIGINT) AS premise, CAST(sum(len(regexp_extract_all(s, 'la [a-zé]+ que|que la'))) AS BIGINT) AS noop, count(*) AS blocks FROM d""",
+    """WITH d AS (SELECT lower(text) AS s, source < 'src5' AS in_window FROM documents)
+    SELECT in_window, CAST(sum(len(regexp_extract_all(s, 'the of|of the|en la'))) AS BIGINT) AS stale_state, CAST(sum(len(regexp_extract_all(s, 'und [a-z]+ der'))) AS BIGINT) AS premise, CAST(sum(len(regexp_extract_all(s, 'la [a-zé]+ que|que la'))) AS BIGINT) AS noop, count(*) AS blocks FROM d GROUP BY in_window""",
 )
 def a16(t):
     s = F.lower("text")
     phrases = {"stale_state": "the of|of the|en la", "premise": "und [a-z]+ der", "noop": "la [a-zé]+ que|que la"}
-    return t("documents").filter("source < 'src5'").agg(
+    return t("documents").groupBy(F.expr("source < 'src5'").alias("in_window")).agg(
         *[F.sum(F.regexp_count(s, F.lit(p))).cast("long").alias(n) for n, p in phrases.items()], F.count("*").alias("blocks")
     )
 
@@ -87,14 +87,14 @@ def a20(t):
 
 @query(
     "a24_hygiene_report",
-    f"""WITH p AS (SELECT *, doc_id % 3 = 0 AS hit FROM ({PLANT_SQL}) x WHERE lang <> 'de')
-    SELECT source, lang, count(*) FILTER (hit) AS files_hit, count(*) FILTER (hit) AS variant_a, count(*) FILTER (hit) AS variant_b, count(*) FILTER (hit AND source = 'src3') AS frozen FROM p GROUP BY source, lang HAVING count(*) FILTER (hit) > 0""",
+    f"""WITH p AS (SELECT *, doc_id % 3 = 0 AS hit FROM ({PLANT_SQL}) x)
+    SELECT source, lang, count(*) FILTER (hit) AS files_hit, count(*) FILTER (hit) AS variant_a, count(*) FILTER (hit) AS variant_b, count(*) FILTER (hit AND (source = 'src3' OR lang = 'de')) AS frozen FROM p GROUP BY source, lang HAVING count(*) FILTER (hit) > 0""",
 )
 def a24(t):
-    p = planted(t).filter("lang <> 'de'").withColumn("r", X.repair_mojibake(F.col("body")))
+    p = planted(t).withColumn("r", X.repair_mojibake(F.col("body")))
     hit = (F.col("r.variant_a") + F.col("r.variant_b")) > 0
     return p.filter(hit).groupBy("source", "lang").agg(
-        F.count("*").alias("files_hit"), F.sum("r.variant_a").alias("variant_a"), F.sum("r.variant_b").alias("variant_b"), F.count_if(F.col("source") == "src3").alias("frozen")
+        F.count("*").alias("files_hit"), F.sum("r.variant_a").alias("variant_a"), F.sum("r.variant_b").alias("variant_b"), F.count_if((F.col("source") == "src3") | (F.col("lang") == "de")).alias("frozen")
     )
 
 

@@ -14,13 +14,14 @@ from tidemark.plans.registry import query
 
 @query(
     "j13_interval_overlap",
-    """WITH a AS (SELECT * FROM v_intervals WHERE owner = '1-URGENT'), b AS (SELECT * FROM v_intervals WHERE owner = '2-HIGH')
+    """WITH a AS (SELECT * FROM v_intervals WHERE owner IN ('1-URGENT', '2-HIGH')), b AS (SELECT * FROM v_intervals WHERE owner NOT IN ('1-URGENT', '2-HIGH'))
     SELECT a.id, count(b.id) AS n_overlaps, CAST(coalesce(sum(least(a.e, b.e) - greatest(a.s, b.s)) FILTER (b.id IS NOT NULL), 0) AS BIGINT) AS overlap_s
     FROM a LEFT JOIN b ON b.s < a.e AND a.s < b.e GROUP BY a.id""",
 )
 def j13(t):
     v = views.v_intervals(t)
-    return R.overlap_summary(v.filter("owner = '1-URGENT'"), v.filter("owner = '2-HIGH'"))
+    pressing = F.col("owner").isin("1-URGENT", "2-HIGH")
+    return R.overlap_summary(v.filter(pressing), v.filter(~pressing))
 
 
 @query(
@@ -34,7 +35,7 @@ def a26(t):
 
 HELD_SQL = """p AS (SELECT page_id, CASE WHEN path = '' THEN NULL ELSE rtrim(path, '/') END AS key, 'a' || page_id % 7 AS agent, page_id % 40 AS request FROM v_paths),
     h AS (SELECT page_id AS ord, CASE WHEN page_id % 12 = 0 THEN split_part(key, '/', 1) || '/x' ELSE key END AS key, agent FROM p WHERE page_id % 3 = 0 AND key IS NOT NULL),
-    w AS (SELECT page_id, request, agent, CASE WHEN page_id % 10 = 1 THEN split_part(key, '/', 1) ELSE key END AS key FROM p WHERE page_id % 3 = 1)"""
+    w AS (SELECT page_id, request, agent, CASE WHEN page_id % 10 = 1 THEN split_part(key, '/', 1) ELSE key END AS key FROM p WHERE page_id % 3 <> 0)"""
 
 
 def _claims(t):
@@ -44,7 +45,7 @@ def _claims(t):
     held = p.filter("page_id % 3 = 0 and key is not null").select(
         F.col("page_id").alias("ord"), F.when(F.col("page_id") % 12 == 0, F.concat(top, F.lit("/x"))).otherwise(F.col("key")).alias("key"), "agent"
     )
-    wanted = p.filter("page_id % 3 = 1").select(
+    wanted = p.filter("page_id % 3 <> 0").select(
         "page_id", (F.col("page_id") % 40).alias("request"), "agent", F.when(F.col("page_id") % 10 == 1, top).otherwise(F.col("key")).alias("key")
     )
     return held, wanted
@@ -62,14 +63,14 @@ def j14(t):
 
 @query(
     "j15_start_gate",
-    f"""WITH {HELD_SQL}, s AS (SELECT 's' || page_id AS slice, agent, CASE page_id % 9 WHEN 1 THEN NULL WHEN 4 THEN '/' || key ELSE key END AS file, key, page_id FROM p WHERE page_id % 3 = 1 AND key IS NOT NULL),
+    f"""WITH {HELD_SQL}, s AS (SELECT 's' || page_id AS slice, agent, CASE page_id % 9 WHEN 1 THEN NULL WHEN 4 THEN '/' || key ELSE key END AS file, key, page_id FROM p WHERE page_id % 3 <> 0 AND key IS NOT NULL),
     g AS (SELECT s.*, (SELECT arg_min(h.agent, h.ord) FROM h WHERE h.key = s.key OR starts_with(s.key, h.key || '/')) AS holder FROM s)
     SELECT slice, coalesce(file, '') AS file, CASE WHEN page_id % 9 = 1 THEN 'no_files' WHEN page_id % 9 = 4 THEN 'bad_path' WHEN holder IS NULL THEN 'unclaimed' ELSE 'held_by_other' END AS problem
     FROM g WHERE page_id % 9 IN (1, 4) OR holder IS NULL OR holder <> agent""",
 )
 def j15(t):
     held, _ = _claims(t)
-    p = views.v_paths(t).select("page_id", naming.claim_key(F.col("path")).alias("key")).filter("page_id % 3 = 1 and key is not null")
+    p = views.v_paths(t).select("page_id", naming.claim_key(F.col("path")).alias("key")).filter("page_id % 3 <> 0 and key is not null")
     m = F.col("page_id") % 9
     s = p.select(
         F.concat(F.lit("s"), F.col("page_id").cast("string")).alias("slice"),
@@ -122,16 +123,16 @@ def j17_total(t):
 
 @query(
     "j18_baseline_regress",
-    """WITH b AS (SELECT * FROM v_versions WHERE l_linenumber = 1), c AS (SELECT * FROM v_versions WHERE l_linenumber = 2),
-    r AS (SELECT b.l_orderkey, c.l_orderkey IS NULL AS missing, concat_ws(';', CASE WHEN abs(c.msssim - b.msssim) > 0.01 THEN 'msssim' END, CASE WHEN abs(c.lpips - b.lpips) > 0.02 THEN 'lpips' END,
-      CASE WHEN abs(c.halo_pct - b.halo_pct) > 0.02 THEN 'halo_pct' END, CASE WHEN b.lap_ratio <> 0 AND abs(c.lap_ratio - b.lap_ratio) / b.lap_ratio > 0.05 THEN 'lap_ratio' END) AS why FROM b LEFT JOIN c USING (l_orderkey))
-    SELECT l_orderkey, NOT missing AND why = '' AS ok, CASE WHEN missing THEN 'missing candidate' ELSE why END AS reasons FROM r""",
+    """WITH v AS (SELECT *, l_orderkey * 10 + (l_linenumber + 1) // 2 AS case_id FROM v_versions), b AS (SELECT * FROM v WHERE l_linenumber % 2 = 1), c AS (SELECT * FROM v WHERE l_linenumber % 2 = 0),
+    r AS (SELECT case_id, c.l_orderkey IS NULL AS missing, concat_ws(';', CASE WHEN abs(c.msssim - b.msssim) > 0.01 THEN 'msssim' END, CASE WHEN abs(c.lpips - b.lpips) > 0.02 THEN 'lpips' END,
+      CASE WHEN abs(c.halo_pct - b.halo_pct) > 0.02 THEN 'halo_pct' END, CASE WHEN b.lap_ratio <> 0 AND abs(c.lap_ratio - b.lap_ratio) / b.lap_ratio > 0.05 THEN 'lap_ratio' END) AS why FROM b LEFT JOIN c USING (case_id))
+    SELECT case_id, NOT missing AND why = '' AS ok, CASE WHEN missing THEN 'missing candidate' ELSE why END AS reasons FROM r""",
 )
 def j18(t):
-    v = views.v_versions(t)
-    base = v.filter("l_linenumber = 1").drop("l_linenumber")
-    cand = v.filter("l_linenumber = 2").drop("l_linenumber")
-    return C.regress(base, cand, "l_orderkey")
+    # odd versions are baselines, the even one after each its candidate; a last odd one has none
+    v = views.v_versions(t).withColumn("case_id", F.col("l_orderkey") * 10 + F.expr("(l_linenumber + 1) div 2")).drop("l_orderkey")
+    odd = F.col("l_linenumber") % 2 == 1
+    return C.regress(v.filter(odd).drop("l_linenumber"), v.filter(~odd).drop("l_linenumber"), "case_id")
 
 
 BANDS_SQL = """m AS (SELECT p_brand AS key, p_retailprice AS lv, p_size / 25 AS rt FROM part),
@@ -243,22 +244,24 @@ def j21(t):
 
 @query(
     "j22_monotone_upsert",
-    """WITH e AS (SELECT user_id, event_id, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS "at", event_type, value, event_id % 2 AS half FROM events WHERE NOT (user_id % 10 = 3 AND event_id % 2 = 0) AND NOT (user_id % 10 = 4 AND event_id % 2 = 1)),
+    """WITH e AS (SELECT user_id, event_id, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS "at", event_type, value, CASE user_id % 10 WHEN 3 THEN 1 WHEN 4 THEN 0 ELSE event_id % 2 END AS half FROM events),
     g AS (SELECT user_id, half, arg_max(event_type, event_id) AS kind, count(*) AS events, CAST(sum(floor(value)) AS BIGINT) AS tok, min("at") AS s, max("at") AS l FROM e GROUP BY ALL)
     SELECT user_id, coalesce(n.kind, o.kind) AS kind, greatest(o.events, n.events) AS events, greatest(o.tok, n.tok) AS output_tokens, greatest(o.l, n.l) AS last_event, least(o.s, n.s) AS start,
       CASE WHEN o.user_id IS NOT NULL THEN 'first' ELSE 'second' END AS first_seen FROM (SELECT * FROM g WHERE half = 0) o FULL JOIN (SELECT * FROM g WHERE half = 1) n USING (user_id)""",
 )
 def j22(t):
     e = t("events").select("user_id", "event_id", F.floor(views.epoch_us("ts") / 1_000_000).alias("at"), "event_type", "value")
-    half = F.col("event_id") % 2
+    # some users are in one half only
+    ten = F.col("user_id") % 10
+    half = F.when(ten == 3, 1).when(ten == 4, 0).otherwise(F.col("event_id") % 2)
 
-    def mirror(part, skip, seen):
-        return e.filter((half == part) & (F.col("user_id") % 10 != skip)).groupBy("user_id").agg(
+    def mirror(part, seen):
+        return e.filter(half == part).groupBy("user_id").agg(
             F.max_by("event_type", "event_id").alias("kind"), F.count("*").alias("events"), F.sum(F.floor("value")).alias("output_tokens"),
             F.min("at").alias("start"), F.max("at").alias("last_event"), F.lit(seen).alias("first_seen"),
         )
 
-    return R.merge_monotone(mirror(0, 3, "first"), mirror(1, 4, "second"), "user_id", ["kind"])
+    return R.merge_monotone(mirror(0, "first"), mirror(1, "second"), "user_id", ["kind"])
 
 
 @query(

@@ -68,16 +68,18 @@ def w03(t):
 
 @query(
     "w04_evidence",
-    """WITH v AS (SELECT slug, seq, CASE op WHEN 'APPROVE_CLEAN' THEN 'CONFIRM' WHEN 'REJECT' THEN 'REFUTE' WHEN 'SUBMIT' THEN 'odd' END AS s FROM v_transitions WHERE op IN ('APPROVE_CLEAN', 'REJECT', 'SUBMIT') AND slug % 10 <> 0),
+    """WITH v AS (SELECT slug, seq, CASE op WHEN 'APPROVE_CLEAN' THEN 'CONFIRM' WHEN 'REJECT' THEN 'REFUTE' WHEN 'SUBMIT' THEN 'odd' END AS s FROM v_transitions WHERE op IN ('APPROVE_CLEAN', 'REJECT', 'SUBMIT')),
     l AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY seq DESC) AS r FROM v),
     g AS (SELECT slug, max(s) FILTER (r = 1) AS last, count(*) FILTER (s = 'REFUTE' AND r > 1) AS prior, count(*) AS n FROM l GROUP BY slug)
     SELECT s.slug, CASE last WHEN 'CONFIRM' THEN 'VERIFIED' WHEN 'REFUTE' THEN 'REFUTED' ELSE 'NOT OBSERVED' END AS status, coalesce(prior, 0) AS prior_refutes, coalesce(n, 0) AS history
-    FROM (SELECT DISTINCT slug FROM v_transitions) s LEFT JOIN g USING (slug)""",
+    FROM (SELECT DISTINCT slug FROM v_transitions UNION SELECT DISTINCT -slug - 1 FROM v_transitions) s LEFT JOIN g USING (slug)""",
 )
 def w04(t):
     state = F.when(F.col("op") == "APPROVE_CLEAN", "CONFIRM").when(F.col("op") == "REJECT", "REFUTE").when(F.col("op") == "SUBMIT", "odd")
-    v = tr(t).withColumn("state", state).filter("state is not null and slug % 10 <> 0")
-    return L.with_missing(L.evidence(v, "slug"), tr(t), "slug")
+    v = tr(t).withColumn("state", state).filter("state is not null")
+    # each asset has a twin that nobody recorded
+    wanted = tr(t).select("slug").union(tr(t).select((-F.col("slug") - 1).alias("slug")))
+    return L.with_missing(L.evidence(v, "slug"), wanted, "slug")
 
 
 @query(
@@ -370,14 +372,12 @@ def p26(t):
     "j03_hash_drift",
     """WITH r AS (SELECT *, row_number() OVER (PARTITION BY slug, op ORDER BY ts DESC, seq DESC) AS n FROM v_transitions),
     f AS (SELECT slug, op, sha_out AS sha FROM (SELECT *, row_number() OVER (PARTITION BY slug, op ORDER BY seq) AS n FROM v_transitions) x WHERE n = 1)
-    SELECT f.slug, f.op, f.sha, r.sha_out AS recorded FROM f JOIN r ON f.slug = r.slug AND f.op = r.op AND n = 1 WHERE f.sha <> r.sha_out AND f.slug % 2 = 0""",
+    SELECT f.slug, f.op, f.sha, r.sha_out AS recorded FROM f JOIN r ON f.slug = r.slug AND f.op = r.op AND n = 1 WHERE f.sha <> r.sha_out""",
 )
 def j03(t):
     files = tr(t).groupBy("slug", "op").agg(F.min_by("sha_out", "seq").alias("sha"))
-    scope = tr(t).filter("slug % 2 = 0").select("slug").distinct()
-    in_scope = files.join(scope, "slug", "left_semi")
-    unknown = in_scope.withColumn("op", F.lit("NEVER_RECORDED"))
-    return L.drifted(in_scope.unionByName(unknown), tr(t), ["slug", "op"])
+    unknown = files.withColumn("op", F.lit("NEVER_RECORDED"))
+    return L.drifted(files.unionByName(unknown), tr(t), ["slug", "op"])
 
 
 @query(
@@ -450,7 +450,7 @@ def a29(t):
 
 INVENTORY_SQL = rf"""i AS (SELECT 's' || slug AS slug, CASE WHEN e.seq % 10 < 5 THEN 2 * (slug % 4) + 1 ELSE 2 * (slug % 4) + 2 END + CASE WHEN e.seq % 97 = 0 AND slug % 4 < 3 THEN 2 ELSE 0 END AS ord, e.seq,
       CASE WHEN ver = 50 THEN '.lw.lock' WHEN ver = 51 THEN 'x.part' WHEN ver = 52 THEN 'notes.psd' WHEN ver = 53 THEN 'readme.txt' WHEN ver = 54 THEN 'manifest.json' ELSE n.name END AS name,
-      ver = 55 AS is_dir, CAST(floor(epoch_us(ts) / 1000000) AS DOUBLE) AS mtime FROM v_transitions e JOIN ({NAMES_SQL}) n USING (seq) WHERE slug % 3 < 2 OR ver BETWEEN 50 AND 55),
+      ver = 55 AS is_dir, CAST(floor(epoch_us(ts) / 1000000) AS DOUBLE) AS mtime FROM v_transitions e JOIN ({NAMES_SQL}) n USING (seq)),
     f AS (SELECT *, CASE WHEN ord % 2 = 1 THEN 'scratch' ELSE 'done' END AS kind, ['first', 'clean', 'final', 'last'][(ord - 1) // 2 + 1] AS stage,
       name IN ('manifest.json', '.lw.lock', '.gitkeep') AS side, name LIKE '%.part' AS part, regexp_matches(name, '^[a-z0-9][a-z0-9-]*_(first|clean|final|last)(initial|needauth|done|working_[0-9][0-9]+)\.(png|jpg|webp|jpeg|JPG)$') AS ok FROM i),
     p AS (SELECT *, NOT is_dir AND NOT side AND NOT part AND ok AND regexp_extract(name, '^([^_]*)_', 1) = slug AS mine, regexp_extract(name, '_(first|clean|final|last)', 1) AS ms,
@@ -467,7 +467,7 @@ INVENTORY_SQL = rf"""i AS (SELECT 's' || slug AS slug, CASE WHEN e.seq % 10 < 5
 
 @query("a30_inventory_anomalies", f"WITH {INVENTORY_SQL} SELECT slug, class, resumable, CAST(sum(n) AS BIGINT) AS n FROM u GROUP BY ALL")
 def a30(t):
-    m = milestone_names(t).filter("slug % 3 < 2 or ver between 50 and 55")
+    m = milestone_names(t)
     four = (F.col("slug") % 4).cast("int")
     ord_ = 2 * four + F.when(F.col("seq") % 10 < 5, 1).otherwise(2) + F.when((F.col("seq") % 97 == 0) & (four < 3), 2).otherwise(0)
     name = (

@@ -156,14 +156,15 @@ def j07_bands(t):
 
 @query(
     "j25_preference_pick",
-    """WITH a AS (SELECT p_partkey AS asset, p_brand AS hand, CASE p_type WHEN 'ECONOMY' THEN 'side' WHEN 'SMALL' THEN 'front' WHEN 'PROMO' THEN 'threequarter' ELSE 'back' END AS view FROM part WHERE NOT (p_brand = 'Brand#3' AND p_type = 'ECONOMY')),
+    """WITH a AS (SELECT p_partkey AS asset, p_brand AS hand, CASE WHEN p_type = 'ECONOMY' AND p_brand <> 'Brand#3' THEN 'side' WHEN p_type = 'SMALL' THEN 'front' WHEN p_type = 'PROMO' THEN 'threequarter' ELSE 'back' END AS view FROM part),
     q AS (SELECT c_custkey AS request, 'Brand#' || c_custkey % 30 AS hand, (c_custkey % 11 - 5) / 5 AS vx FROM customer),
     g AS (SELECT hand, min(asset) AS any_, min(asset) FILTER (view = 'side') AS side, min(asset) FILTER (view IN ('front', 'threequarter')) AS front FROM a GROUP BY hand)
     SELECT request, coalesce(CASE WHEN abs(vx) >= 0.5 THEN side ELSE front END, any_, -1) AS asset FROM q LEFT JOIN g USING (hand)""",
 )
 def j25(t):
-    view = F.when(F.col("p_type") == "ECONOMY", "side").when(F.col("p_type") == "SMALL", "front").when(F.col("p_type") == "PROMO", "threequarter").otherwise("back")
-    assets = t("part").filter("not (p_brand = 'Brand#3' and p_type = 'ECONOMY')").select(
+    # one brand has no side view
+    view = F.when((F.col("p_type") == "ECONOMY") & (F.col("p_brand") != "Brand#3"), "side").when(F.col("p_type") == "SMALL", "front").when(F.col("p_type") == "PROMO", "threequarter").otherwise("back")
+    assets = t("part").select(
         F.col("p_partkey").alias("asset"), F.col("p_brand").alias("hand"), view.alias("view")
     )
     k = F.col("c_custkey")

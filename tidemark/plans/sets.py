@@ -11,12 +11,12 @@ from tidemark.plans.registry import query
 
 @query(
     "x01_deck_reconcile",
-    """WITH o AS (SELECT doc_id, doc_id % 4 = 0 AS shown FROM documents WHERE doc_id % 3 < 2), p AS (SELECT doc_id FROM documents WHERE doc_id % 5 > 0)
+    """WITH o AS (SELECT doc_id, doc_id % 4 = 0 AS shown FROM documents WHERE doc_id % 3 < 2), p AS (SELECT doc_id FROM documents WHERE doc_id % 5 > 0 OR doc_id % 3 = 2)
     SELECT doc_id, 'shown' AS status FROM o WHERE shown UNION ALL SELECT doc_id, 'owed' FROM o WHERE NOT shown AND doc_id IN (SELECT doc_id FROM p) UNION ALL SELECT doc_id, 'new' FROM p WHERE doc_id NOT IN (SELECT doc_id FROM o)""",
 )
 def x01(t):
     d = t("documents").select("doc_id")
-    return S.reconcile_set(d.filter("doc_id % 3 < 2").withColumn("shown", F.col("doc_id") % 4 == 0), d.filter("doc_id % 5 > 0"), "doc_id")
+    return S.reconcile_set(d.filter("doc_id % 3 < 2").withColumn("shown", F.col("doc_id") % 4 == 0), d.filter("doc_id % 5 > 0 or doc_id % 3 = 2"), "doc_id")
 
 
 @query(
@@ -46,12 +46,12 @@ def x03(t):
 
 @query(
     "x04_population_union",
-    """WITH r AS (SELECT doc_id FROM documents WHERE doc_id % 3 = 0), u AS (SELECT doc_id FROM documents WHERE doc_id % 2 = 0)
+    """WITH r AS (SELECT doc_id FROM documents WHERE doc_id % 3 = 0), u AS (SELECT doc_id FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 <> 0)
     SELECT doc_id, 'routed' AS population FROM r UNION ALL SELECT doc_id, 'unrouted' FROM u WHERE doc_id NOT IN (SELECT doc_id FROM r)""",
 )
 def x04(t):
     d = t("documents").select("doc_id")
-    return S.census_population(d.filter("doc_id % 3 = 0"), d.filter("doc_id % 2 = 0"), "doc_id")
+    return S.census_population(d.filter("doc_id % 3 = 0"), d.filter("doc_id % 2 = 0 or doc_id % 3 <> 0"), "doc_id")
 
 
 @query(
