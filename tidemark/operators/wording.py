@@ -1,22 +1,32 @@
 """Fuzzy wordmark rules over whole texts.
 
 Similarity is costly, so it runs once per distinct token that can reach the
-floor at all (a bound from the lengths), not once per word of every text.
+floor at all (a bound from lengths and shared letters, as a column), not once per
+word of every text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 
 
+def can_reach(token: Column, targets: tuple[str, ...], floor: float) -> Column:
+    """Whether the letters a token shares with some target allow a similarity of ``floor`` at all."""
+    letters = sorted(set("".join(targets)))
+    held = {c: F.length(token) - F.length(F.replace(token, F.lit(c))) for c in letters}
+    some = F.lit(False)
+    for t in targets:
+        shared = sum((F.least(held[c], F.lit(t.count(c))) for c in sorted(set(t))), F.lit(0))
+        some = some | (2 * shared >= floor * (F.length(token) + len(t)))
+    return some
+
+
 def _docs_with_token(words: DataFrame, key: str, targets: tuple[str, ...], floor: float) -> DataFrame:
     """Keys holding a word at least ``floor`` similar to one of ``targets``."""
-    # few bytes but costly rows: keep every core busy instead of merging partitions
-    cores = words.sparkSession.sparkContext.defaultParallelism
-    vocab = words.select("word").distinct().repartition(cores).withColumn("token", X.norm_token(F.col("word")))
+    vocab = words.select("word").distinct().withColumn("token", X.norm_token(F.col("word"))).filter(can_reach(F.col("token"), targets, floor))
     good = vocab.filter(X.best_ratio(targets, floor)(F.col("token")) >= floor).select("word")
     return words.join(good, "word", "left_semi").select(key).distinct()
 
