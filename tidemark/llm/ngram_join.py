@@ -6,9 +6,10 @@ differ in shingles. Sets of Jaccard at least p/q differ in at most K = (q-p)(a+b
 shingles, so of K + 1 sketch words at least one is equal in both: sketches are cut into
 K + 1 words of ``WIDTH`` bits per size band, and equal words meet in a join.
 
-* By the pigeonring principle there even is a word from which the next two differ by at
-  most 1 bit, and the next three by at most 2. A word with few bits set says little; its
-  key is drawn out by halves of the words after it, which loses no pair.
+* By the pigeonring principle there even is an equal word from which any L words after it
+  differ by at most L bits in all. A word with few bits set says little; its key is drawn
+  out by halves of the words after it: of the 2L halves, L + 1 not yet in the key hold at
+  most L differences, so one of them is equal too and no pair is lost.
 * Equal sets meet first and count as one. Every set is compared with one leader (the set
   that shares most keys), linked sets are merged, and only sets of different groups that
   share a key are compared further, the larger group's members never with each other.
@@ -29,14 +30,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, on_disk, table
 
-#: Bits of a word. Words with fewer than so many bits set are drawn out; halves with fewer too.
-WIDTH, LOW_WORD, LOW_HALF = 256, 2, 1
+#: Bits of a word (only those set are kept). Words with fewer than ``LOW_WORD`` set are
+#: drawn out, by at most ``DEPTH`` halves of the words after them, until a half has a bit set.
+WIDTH, LOW_WORD, DEPTH = 1 << 16, 2, 6
 #: 64-bit words of the fixed sketch that pairs pass before their sets are read.
 SIEVE = 32
 #: Bits of the map of sets worth reading again: a fixed size, whatever their number.
 MAP_BITS = 24
 #: Digests a task remembers to send keys of equal sets once only.
 REMEMBERED = 1 << 20
+#: Sets whose keys are made in one go.
+AT_ONCE = 256
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -47,12 +51,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Hashes(dict):
+    """Word hashes that a process has made lately; started anew when large."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > REMEMBERED // 4:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_HASHES = _Hashes()
+
+
 def shingles(text: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of all runs of ``size`` words (A-Z lowered); a shorter text is one run."""
     words = (text or b"").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     n = max(1, len(h) - size + 1)
     out = np.full(n, min(len(h), size), np.uint64)
     for j in range(min(len(h), size)):
@@ -92,42 +109,50 @@ def sketch(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def half_words(hashes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The halves of a sketch's words as hashes of their set bits, and how many bits each has set."""
-    at = np.sort((hashes >> np.uint64(7)) % np.uint64(WIDTH * words))
-    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    at = at[first[np.diff(np.append(first, len(at))) % 2 == 1]]  # bits hit an odd number of times
+def keys(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys of many sets, in their order, and how many each has: linked unequal sets share one at least."""
+    units = [(i, band, m) for i, h in enumerate(sets) if len(h) for band in bands.reach(len(h)) if (m := bands.words(band)) > 1]
+    if not units:  # in bands of one word only equal sets link
+        return np.zeros(0, np.uint64), np.zeros(len(sets), np.int64)
+    owner, band, m = (np.array(x, np.int64) for x in zip(*units))
+    first = np.concatenate([[0], np.cumsum(m)])
+    unit = np.repeat(np.arange(len(units)), m)  # of each word
+    size = np.array([len(sets[i]) for i in owner])
+    width = np.repeat(m * WIDTH, size).astype(np.uint64)
+    shift = (first[:-1] * WIDTH).astype(np.uint64)
+    at = np.sort((np.concatenate([sets[i] for i in owner]) >> np.uint64(7)) % width + np.repeat(shift, size))
+    start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    at = at[start[np.diff(np.append(start, len(at))) % 2 == 1]]  # bits hit an odd number of times
     half = (at // np.uint64(WIDTH // 2)).astype(np.int64)
-    count = np.bincount(half, minlength=2 * words)
-    value = np.zeros(2 * words, np.uint64)
+    count = np.bincount(half, minlength=2 * len(unit)).reshape(-1, 2)
+    value = np.zeros(2 * len(unit), np.uint64)
     if len(at):
-        starts = np.flatnonzero(np.concatenate(([True], half[1:] != half[:-1])))
-        value[half[starts]] = np.bitwise_xor.reduceat(_mix(at + np.uint64(1)), starts)
-    return value.reshape(words, 2), count.reshape(words, 2)
-
-
-def keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """Join keys of a set: linked unequal sets share one at least."""
-    out = []
-    for band in bands.reach(len(hashes)):
-        m = bands.words(band)
-        if m == 1:
-            continue  # only equal sets link here
-        halves, set_bits = half_words(hashes, m)
-        key = _mix(halves[:, 0] * _ODD[1] + halves[:, 1] + _mix(np.arange(m, dtype=np.uint64) + np.uint64(band << 32)))
-        low = set_bits.sum(axis=1) < LOW_WORD
-        out.append(key[~low])
-        if not low.any():
-            continue
-        at = np.flatnonzero(low)
-        after, third = (at + 1) % m, (at + 2) % m
-        for side in (0, 1):
-            drawn = _mix(key[at] + halves[after, side] * _ODD[2] + np.uint64(1 + side))
-            weak = set_bits[after, side] < LOW_HALF
-            out.append(drawn[~weak])
-            for k, piece in enumerate((halves[after, 1 - side], halves[third, 0], halves[third, 1])):
-                out.append(_mix(drawn[weak] + piece[weak] * _ODD[3] + np.uint64(3 + k)))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        start = np.flatnonzero(np.concatenate(([True], half[1:] != half[:-1])))
+        value[half[start]] = np.bitwise_xor.reduceat(_mix(at - shift[unit[half // 2]] + np.uint64(1)), start)
+    value = value.reshape(-1, 2)
+
+    place = (np.arange(len(unit)) - first[unit] + (band[unit] << 32)).astype(np.uint64)
+    key = _mix(value[:, 0] * _ODD[1] + value[:, 1] + _mix(place))
+    low = count.sum(axis=1) < LOW_WORD
+    out, of = [key[~low]], [unit[~low]]
+    word, drawn = np.flatnonzero(low), key[low]
+    used, last = np.zeros(len(word), np.int64), np.minimum(DEPTH, m - 1)
+    for level in range(1, DEPTH + 1):
+        onward = []
+        for j in range(2 * level):
+            free = used >> j & 1 == 0
+            w, u = word[free], unit[word[free]]
+            after = first[u] + (w - first[u] + 1 + j // 2) % m[u]
+            longer = _mix(drawn[free] + value[after, j % 2] * _ODD[2] + np.uint64(j + 1))
+            weak = (count[after, j % 2] == 0) & (level < last[u])
+            out.append(longer[~weak])
+            of.append(u[~weak])
+            onward.append((w[weak], longer[weak], used[free][weak] | 1 << j))
+        word, drawn, used = (np.concatenate(x) for x in zip(*onward))
+        if not len(word):
+            break
+    flat, mine = np.concatenate(out), owner[np.concatenate(of)]
+    return flat[np.argsort(mine, kind="stable")], np.bincount(mine, minlength=len(sets))
 
 
 def digest(hashes: np.ndarray) -> int:
@@ -146,17 +171,20 @@ def _keys(size: int, p: int, q: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(p, q), set()
         for batch in batches:
-            names, sent = [], []
+            names, sets = [], []
             for text in batch.column(0).to_pylist():
                 h = shingles(text, size)
                 name = digest(h)
                 if name not in seen:
                     seen.add(name)
                     names.append(name)
-                    sent.append(keys(h, bands))
+                    sets.append(h)
             if len(seen) > REMEMBERED:
                 seen = set()
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), _lists(sent)], names=["node", "keys"])
+            for low in range(0, len(sets), AT_ONCE):  # bounds the arrays, whatever the batch
+                flat, n = keys(sets[low : low + AT_ONCE], bands)
+                node = np.array(names[low : low + AT_ONCE], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(node, n)), pa.array(flat.view(np.int64))], names=["node", "key"])
 
     return run
 
@@ -214,7 +242,7 @@ def groups(docs: DataFrame, size: int = 3, p: int = 9, q: int = 10) -> DataFrame
     rows = docs.select("id", "mark", F.col("text").cast("binary").alias("text"))
     # Keys travel once. A key's rows are as many as its sets at most, a few hundredths of a
     # percent of all even where a third of all sets are near copies: those share many keys.
-    held = rows.select("text").mapInArrow(_keys(size, p, q), "node long, keys array<long>").select("node", F.explode("keys").alias("key"))
+    held = rows.select("text").mapInArrow(_keys(size, p, q), "node long, key long")
     here = W.partitionBy("key")
     met = held.withColumns({"low": F.min("node").over(here), "high": F.max("node").over(here), "times": F.count("*").over(here)})
     met = on_disk(met.filter("low < high").select("key", "node", "times").distinct())
