@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage, tune
+from tidemark.session import cut_lineage, shared_dir, tune
 
 #: White space as the contracts mean it: blank and \t \n \v \f \r, nothing else.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,6 +52,19 @@ def on_disk(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.DISK_ONLY)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Write a result that later steps read to the shared folder: lineage ends here.
+
+    The session then also drops a query's shuffle files when the query ends, so that the
+    files of finished steps don't pile up; what is lost with an executor is written anew.
+    """
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    path = f"{shared_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: one row ``(node, root)`` per node, root the least node.
 

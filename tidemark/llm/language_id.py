@@ -50,6 +50,8 @@ def grams(text: str) -> np.ndarray:
 
 
 def _counted(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(g):
+        return g, np.zeros(0, np.int64)
     g = np.sort(g)
     at = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
     return g[at], np.diff(np.append(at, len(g)))

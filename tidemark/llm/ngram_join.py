@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, on_disk, table
+from tidemark.llm.common import components, kept, on_disk, table
 
 #: Bits of a word (only those set are kept). Words with fewer than ``LOW_WORD`` set are
 #: drawn out, by at most ``DEPTH`` halves of the words after them, until a half has a bit set.
@@ -177,26 +177,35 @@ def _keys(size: int, p: int, q: int):
     return run
 
 
-def _rows(size: int, wanted: np.ndarray):
-    """Every row with the name and size of its set; the set itself and its sieve only where wanted, once a task."""
+def _rows(size: int):
+    """Every row with the name and size of its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, size) for t in batch.column(2).to_pylist()]
+            names = np.array([digest(h) for h in sets], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(h) for h in sets], pa.int64()), pa.array(names.view(np.int64))], names=["id", "mark", "n", "node"])
+
+    return run
+
+
+def _sets(size: int, wanted: np.ndarray):
+    """Sets whose name the map holds, with their sieves, once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            names, sizes, sets, sieves = [], [], [], []
-            for text in batch.column(2).to_pylist():
+            names, sets = [], []
+            for text in batch.column(0).to_pylist():
                 h = shingles(text, size)
                 name = digest(h)
-                names.append(name)
-                sizes.append(len(h))
-                full = len(h) > 0 and wanted[name & (len(wanted) - 1)] and name not in seen
-                if full:
+                if len(h) and wanted[name & (len(wanted) - 1)] and name not in seen:
                     seen.add(name)
-                sets.append(h if full else h[:0])
-                sieves.append(sketch(h, 64 * SIEVE) if full else h[:0])
+                    names.append(name)
+                    sets.append(h)
             if len(seen) > REMEMBERED:
                 seen = set()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(np.array(names, np.uint64).view(np.int64)), _lists(sets), _lists(sieves)], names=["id", "mark", "n", "node", "shingles", "sieve"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), _lists(sets), _lists([sketch(h, 64 * SIEVE) for h in sets])], names=["node", "shingles", "sieve"])
 
     return run
 
@@ -233,15 +242,16 @@ def groups(docs: DataFrame, size: int = 3, p: int = 9, q: int = 10) -> DataFrame
     held = rows.select("text").mapInArrow(_keys(size, p, q), "node long, key long")
     here = W.partitionBy("key")
     met = held.withColumns({"low": F.min("node").over(here), "high": F.max("node").over(here), "times": F.count("*").over(here)})
-    met = on_disk(met.filter("low < high").select("key", "node", "times").distinct())
-    made = on_disk(rows.mapInArrow(_rows(size, _map_of(met.select("node"))), "id long, mark long, n long, node long, shingles array<long>, sieve array<long>"))
-    sets = on_disk(made.filter(F.size("shingles") > 0).select("node", "shingles", "sieve").join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    met = kept(met.filter("low < high").select("key", "node", "times").distinct())
+    made = on_disk(rows.mapInArrow(_rows(size), "id long, mark long, n long, node long"))
+    sets = rows.select("text").mapInArrow(_sets(size, _map_of(met.select("node"))), "node long, shingles array<long>, sieve array<long>")
+    sets = kept(sets.dropDuplicates(["node"]))
 
     # Each set with the leader of one of its keys: that which shares most.
     weight = met.groupBy("node").agg(F.sum("times").alias("weight"))
     leader = met.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("lead"))
     first = met.join(leader, "key").groupBy(F.col("node").alias("a")).agg(F.max("lead").alias("lead")).select("a", F.col("lead.node").alias("b")).filter("a <> b")
-    near = on_disk(_linked(first, sets, p, q))
+    near = kept(_linked(first, sets, p, q))
     merged = on_disk(components(near))
 
     # What is left: sets that share a key across groups.
@@ -249,13 +259,13 @@ def groups(docs: DataFrame, size: int = 3, p: int = 9, q: int = 10) -> DataFrame
     count = placed.groupBy("key", "root").agg(F.count("*").alias("c"))
     largest = count.groupBy("key").agg(F.max(F.struct("c", "root")).alias("main"), F.count("*").alias("groups")).filter("groups > 1").select("key", F.col("main.root").alias("main"))
     sieve = sets.select("node", "sieve", F.size("shingles").alias("n"))
-    open_ = on_disk(placed.join(largest, "key").join(sieve, "node"))
+    open_ = kept(placed.join(largest, "key").join(sieve, "node"))
     one = open_.filter("root <> main").select("key", *[F.col(c).alias(f"{c}1") for c in ("node", "root", "n", "sieve")])
     two = open_.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "sieve", "main")])
     apart = F.aggregate(F.zip_with("sieve1", "sieve2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     close = F.expr(f"root1 <> root2 AND (root2 = main2 OR node1 < node2) AND {q} * least(n1, n2) >= {p} * greatest(n1, n2)") & (apart <= F.floor((q - p) * (F.col("n1") + F.col("n2")) / (q + p)))
     left = one.join(two, "key").filter(close).select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
-    edges = near.union(_linked(left, sets, p, q))
+    edges = near.union(kept(_linked(kept(left), sets, p, q)))
     roots = components(edges)
     return made.select("id", "mark", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
