@@ -73,7 +73,7 @@ WORDS = {"en": "the and of to that which there with from have this".split(), "de
 def test_language_against_brute_force(spark):
     rng = random.Random(1)
     train = {lang: [" ".join(rng.choices(w, k=30)) for _ in range(8)] for lang, w in WORDS.items()}
-    learned = docs(spark, [(i, t, lang, "a", 0) for lang, ts in train.items() for i, t in enumerate(ts)] + [(99, None, "en", "a", 0), (98, "unlabelled", None, "a", 0), (97, "", "en", "a", 0)])
+    learned = docs(spark, [(i, t, lang, "a", 0) for lang, ts in train.items() for i, t in enumerate(ts)] + [(99, None, "en", "a", 0), (98, "unlabelled", None, "a", 0), (97, "", "en", "a", 0), (96, "123", "xx", "a", 0)])
     texts = [None, "", "1234 !!", "ß", "the", "ein über", "και", *[" ".join(rng.choices(WORDS[lang], k=20)) + " 12, x" for lang in WORDS for _ in range(5)], "the und " * 3000, "𐐀𐐁 the"]
     table = docs(spark, plain(texts)).withColumnRenamed("source", "score")
     got = [(r.text, r.lang_pred) for r in language_id.identify(table, language_id.learn(learned)).collect()]
