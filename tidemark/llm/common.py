@@ -5,10 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import cut_lineage, shared_dir, tune
 
@@ -65,6 +68,35 @@ def kept(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a map of numbers: a fixed size, however many numbers it holds.
+MAP_BITS = 24
+
+
+def bit_map(numbers: DataFrame, column: str) -> np.ndarray:
+    """A map of ``2 ** MAP_BITS`` bits that holds all numbers of a column (and some others); made by aggregation."""
+    bit = F.col(column).bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+    rows = numbers.filter(F.col(column).isNotNull()).select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at")).groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect()
+    out = np.zeros((1 << MAP_BITS) + (1 << 16), bool)
+    for r in rows:  # bucket k holds the numbers from (k - 1) * 32768 + 1 on
+        bits = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little").astype(bool)
+        first = 0 if r.bucket == 0 else (r.bucket - 1) * 32768 + 1
+        out[first : first + 32768] |= bits
+    return out[: 1 << MAP_BITS]
+
+
+def with_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` is in ``ids``; rows that a bit map rules out are not moved at all."""
+    known = np.packbits(bit_map(ids.select(F.xxhash64(key).alias("_h")), "_h"))
+
+    @F.pandas_udf(T.BooleanType())
+    def maybe(h: pd.Series) -> pd.Series:
+        at = h.to_numpy() & ((1 << MAP_BITS) - 1)
+        return pd.Series((known[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+    # By a merge at every size: few texts are left, and they move alike whatever the size of ids.
+    return rows.filter(maybe(F.xxhash64(key))).join(ids.select(key).distinct().hint("merge"), key, "left_semi")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: one row ``(node, root)`` per node, root the least node.
 

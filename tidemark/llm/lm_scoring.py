@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import on_disk, table
+from tidemark.llm.common import on_disk, table, with_ids
 from tidemark.llm.language_id import held_out
 
 WORD_SHARE, PAIR_SHARE = 1e-5, 1e-6
@@ -180,7 +180,7 @@ def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Every document scored; the target is the good documents of the training folds."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     good = table(spark, folder, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1")
-    target = docs.join(good.filter(~held_out("doc_id")), "doc_id", "left_semi")
+    target = with_ids(docs, good.filter(~held_out("doc_id")), "doc_id")
     said = score(docs, fit(docs, target))
     return said.select("doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "loss_background", "loss_target", "score")
 
