@@ -28,15 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, kept, on_disk, table
+from tidemark.llm.common import bit_map, components, kept, on_disk, table
 
 #: Bits of a word (only those set are kept). Words with fewer than ``LOW_WORD`` set are
 #: drawn out, by at most ``DEPTH`` halves of the words after them, until a half has a bit set.
 WIDTH, LOW_WORD, DEPTH = 1 << 16, 2, 6
 #: 64-bit words of the fixed sketch that pairs pass before their sets are read.
 SIEVE = 32
-#: Bits of the map of sets worth reading again: a fixed size, whatever their number.
-MAP_BITS = 24
 #: Digests a task remembers to send keys of equal sets once only.
 REMEMBERED = 1 << 20
 #: Sets whose keys are made in one go.
@@ -210,18 +208,6 @@ def _sets(size: int, wanted: np.ndarray):
     return run
 
 
-def _map_of(nodes: DataFrame) -> np.ndarray:
-    """A bit map of fixed size that holds all nodes (and some others)."""
-    bit = F.col("node").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
-    rows = nodes.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at")).groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect()
-    out = np.zeros((1 << MAP_BITS) + (1 << 16), bool)
-    for r in rows:  # bucket k holds the numbers from (k - 1) * 32768 + 1 on
-        bits = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little").astype(bool)
-        first = 0 if r.bucket == 0 else (r.bucket - 1) * 32768 + 1
-        out[first : first + 32768] |= bits
-    return out[: 1 << MAP_BITS]
-
-
 def _linked(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """Pairs ``(a, b)`` whose sets have Jaccard at least p/q, compared whole."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -244,7 +230,7 @@ def groups(docs: DataFrame, size: int = 3, p: int = 9, q: int = 10) -> DataFrame
     met = held.withColumns({"low": F.min("node").over(here), "high": F.max("node").over(here), "times": F.count("*").over(here)})
     met = kept(met.filter("low < high").select("key", "node", "times").distinct())
     made = on_disk(rows.mapInArrow(_rows(size), "id long, mark long, n long, node long"))
-    sets = rows.select("text").mapInArrow(_sets(size, _map_of(met.select("node"))), "node long, shingles array<long>, sieve array<long>")
+    sets = rows.select("text").mapInArrow(_sets(size, bit_map(met, "node")), "node long, shingles array<long>, sieve array<long>")
     sets = kept(sets.dropDuplicates(["node"]))
 
     # Each set with the leader of one of its keys: that which shares most.
