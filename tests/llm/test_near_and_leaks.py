@@ -115,7 +115,7 @@ def found(spark, texts, items=ITEMS):
 def test_leaks(spark):
     texts = [
         f"{FILL}. {ITEMS[0]} {FILL}",
-        f"{FILL}. {ITEMS[0].upper() if False else ITEMS[0].replace('240 km', '360 km').replace('Berlin', 'Paris').replace('Anna', 'Otto')}",
+        f"{FILL}. {ITEMS[0].replace('240 km', '360 km').replace('Berlin', 'Paris').replace('Anna', 'Otto')}",
         f"{FILL}. {ITEMS[0].lower()}",
         FILL,
         ITEMS[1],

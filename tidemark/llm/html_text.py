@@ -104,7 +104,6 @@ def _tokens(name: str, attributes: str) -> tuple[str, ...]:
     return (f"<{name}>", *said)
 
 
-@lru_cache(1 << 16)
 def _hash(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "replace"))
 
@@ -126,7 +125,7 @@ def features(page: list[tuple[tuple[str, ...], str]]) -> np.ndarray:
     words = [text.split(" ") for _, text in page]
     n = np.fromiter(map(len, words), np.int64, len(words))
     out[:, :PATH_DIM] = [_path(tokens) for tokens, _ in page]
-    at = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for block in words for w in block), np.int64, n.sum()) % WORD_DIM
+    at = np.fromiter((_hash(w) for block in words for w in block), np.int64, n.sum()) % WORD_DIM
     counts = np.bincount(np.repeat(np.arange(len(page)) * WORD_DIM, n) + at, minlength=len(page) * WORD_DIM).reshape(len(page), WORD_DIM)
     out[:, PATH_DIM : PATH_DIM + WORD_DIM] = counts / n[:, None]
     out[:, PATH_DIM + WORD_DIM :] = [(min(len(t), 2000) / 1000, min(k, 200) / 100, t[-1] in ".!?", "<a>" in p, len(p) / 10, "<p>" in p) for (p, t), k in zip(page, n)]

@@ -8,7 +8,6 @@ appended per run and never changed.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
