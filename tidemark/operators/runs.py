@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import sha_match
 from tidemark.operators.ordered import before, join_on
 
 # Patterns that mark a claim, a report of failure, a hedge, a waiver and a run.
