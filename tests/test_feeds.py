@@ -119,3 +119,44 @@ def test_fields_of_another_type_are_null(spark, tmp_path):
     rows, quality = jsonl.read_jsonl_tolerant(spark, str(tmp_path), "x int, y array<int>")
     assert sorted((r.x is None, r.y) for r in rows.filter("y is not null").collect()) == [(True, [1])]
     assert [(r.parsed, r.corrupt_lines, r.torn_tail) for r in quality.collect()] == [(3, 1, True)]
+
+
+def test_commit_log_from_files(spark, tmp_path):
+    (tmp_path / "c.log").write_text("abc123\x1fFix it\x1f2026-01-02\nbroken line\n \x1fno sha\x1f2026-01-02\n")
+    assert [tuple(r) for r in logs.read_commit_log(spark, str(tmp_path)).select("sha", "subject", "date").collect()] == [("abc123", "Fix it", "2026-01-02")]
+
+
+def test_lock_events_and_samples_from_files(spark, tmp_path):
+    (tmp_path / "l.log").write_text("2026-01-01T00:00:10 winmutex: ACQUIRED by x\nnoise\n2026-01-01T00:00:12 winmutex: RELEASED\n2026-01-01T00:00:13 slots: 2 busy - waiting\n")
+    assert [r.marker for r in logs.read_lock_events(spark, str(tmp_path / "l.log")).collect()] == ["ACQUIRED", "RELEASED", "busy"]
+    (tmp_path / "s.jsonl").write_text('{"t": 1, "n": 2, "owners": [{"repo": "a"}, {"repo": "b"}]}\nnot json\n{"t": 2, "n": 1, "owners": [{"repo": "a"}]}\n')
+    got = logs.shared_samples(logs.read_slot_samples(spark, str(tmp_path / "s.jsonl"))).first()
+    assert (got.samples, got.peak, got.shared) == (2, 2, 1)
+
+
+def test_ledger_from_a_file(spark, tmp_path):
+    (tmp_path / "ledger.md").write_text("# Title\n\n1. [x] **2026-01-02 - First**\nbody\n2. [-] **2026-02-03 - Second** more\n3. no date\n")
+    got = [(r.number, r.date, r.title) for r in ledgerdoc.read_ledger(spark, str(tmp_path)).orderBy("number").collect()]
+    assert got == [(1, "2026-01-02", "First"), (2, "2026-02-03", "Second")]
+
+
+def test_only_changed_assets_take_a_new_hash(spark, tmp_path):
+    import hashlib
+
+    for name in "abc":
+        (tmp_path / f"{name}.png").write_text(name)
+    listing, hashed = manifests.list_assets(spark, str(tmp_path)), manifests.hash_assets(spark, str(tmp_path))
+    none = spark.createDataFrame([], "path string, mtime long, size long, sha string")
+    first = manifests.scan_assets(listing, none, hashed)
+    assert {r.path[-5:]: (r.sha, r.cached) for r in first.collect()} == {f"{n}.png": (hashlib.sha256(n.encode()).hexdigest(), False) for n in "abc"}
+    cache = spark.createDataFrame(first.select("path", "mtime", "size", "sha").collect(), none.schema)
+    (tmp_path / "b.png").write_text("longer")
+    again = {r.path[-5:]: r.cached for r in manifests.scan_assets(manifests.list_assets(spark, str(tmp_path)), cache, manifests.hash_assets(spark, str(tmp_path))).collect()}
+    assert again == {"a.png": True, "b.png": False, "c.png": True}
+
+
+def test_triage_round_trip_takes_the_last_row(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "i", [[0.0, 1.0]], 0.5, 1.0, "qa", 1), ("a", "i", [], 0.9, 2.0, "auto", 2), ("b", "j", None, None, None, "clean", 1)], manifests.TRIAGE)
+    for half in (rows.filter("seq = 2"), rows.filter("seq = 1")):
+        manifests.write_triage(half, str(tmp_path / "t"))
+    assert {r.slug: r.verdict for r in manifests.read_triage(spark, str(tmp_path / "t")).collect()} == {"a": "auto", "b": "clean"}
