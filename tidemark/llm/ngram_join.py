@@ -284,7 +284,7 @@ def keep_one(docs: DataFrame, size: int = 5, p: int = 4, q: int = 5) -> DataFram
     rows = groups(keyed(docs), size, p, q).filter("n > 0")
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best"))
     best = best.select(F.col("best.id").alias("_id"), F.col("best.mark").alias("_m"))
-    marked = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_mark": F.xxhash64("text"), "_bare": F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0})
+    marked = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_mark": F.xxhash64("text"), "_bare": ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))})
     full = marked.filter("NOT _bare").join(best, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")), "left_semi").dropDuplicates(["_key", "_mark"])
     return full.union(marked.filter("_bare")).drop("_key", "_mark", "_bare")
 
