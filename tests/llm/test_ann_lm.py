@@ -128,3 +128,20 @@ def test_lm_tells_good_texts(spark):
     data = [(r.score, r.quality) for r in got.collect()]
     good, bad = [s for s, q in data if q == 1], [s for s, q in data if q == 0]
     assert sum(g > b for g in good for b in bad) > 0.9 * len(good) * len(bad)
+
+
+def test_rare_words_and_bigrams_count(spark):
+    """In a corpus of more than 100,000 tokens, what is seen once still tells a text from another."""
+    filler = [" ".join(f"w{(i * 7 + j * j) % 900}" for j in range(2000)) for i in range(60)]
+    good = ["sea glass rare words", "rare glass"]
+    scored = lm_scoring.score(docs(spark, plain(["sea glass", "glass sea", "sea w1", "nowhere w1"])), lm_scoring.fit(docs(spark, plain(filler + good)), docs(spark, plain(good))))
+    got = {r.text: r for r in scored.collect()}
+    total, size = 60 * 2000 + 6, len({w for t in filler + good for w in t.split()}) + 1
+    base = lambda n, total: (n + 0.5) / (total + 0.5 * size)
+    first = -math.log((1 + 20 * base(1, total)) / (62 + 20))
+    then = -math.log((1 + 20 * base(2, total)) / (1 + 20))
+    assert got["sea glass"].loss_background == pytest.approx((first + then) / 2)
+    first, then = -math.log((1 + 20 * base(1, 6)) / (2 + 20)), -math.log((1 + 20 * base(2, 6)) / (1 + 20))
+    assert got["sea glass"].loss_target == pytest.approx((first + then) / 2)
+    assert got["sea glass"].loss_target < got["glass sea"].loss_target < got["sea w1"].loss_target
+    assert got["glass sea"].score > got["sea w1"].score

@@ -2,151 +2,166 @@
 
 Both models are interpolated bigram models of one form over one vocabulary. Words and
 bigrams are counted over all documents (background) and over all documents labelled good
-(target). The vocabulary holds the words, and the models the bigrams, with at least a
-given share of the background's tokens. A share bounds their number (at most one in
-``WORD_SHARE`` and ``PAIR_SHARE``), whatever the input, so the models travel with the tasks.
+(target), and every counted one is kept, however rare. The models are tables, keyed by
+64-bit hashes of words: each text's bigrams are counted, joined with the models and their
+losses summed per text, so nothing that grows with the input is held in one place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import on_disk, table, with_ids
+from tidemark.llm.common import kept, on_disk, table, with_ids
 from tidemark.llm.language_id import held_out
 
-WORD_SHARE, PAIR_SHARE = 1e-5, 1e-6
 #: Weight of the lower order, in observations.
 BACKOFF = 20.0
-#: Distinct entries a task holds before it hands them on; bounds memory, not the counts.
+#: Entries a task holds before it hands them on; bounds memory, not the counts.
 HELD = 1 << 20
+#: Stand in place of a word's hash: the start of a text, and a word outside the vocabulary.
+START, UNKNOWN = 0, 1
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word hashes and their numbers, summed over the task's texts."""
-    known: dict[bytes, int] = {}
-    n = np.zeros(0, np.int64)
+class Hashes(dict):
+    """Raw word to its hash."""
 
-    def emit() -> pa.RecordBatch:
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
-        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], names=["word", "n"])
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(self) < HELD:
+            self[word] = h
+        return h
+
+    def pairs(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, history and word of every token."""
+        split = [(t or b"").split() for t in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        word = np.fromiter((self[w] for text in split for w in text), np.uint64, sizes.sum())
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        before[starts[sizes > 0]] = START
+        return np.repeat(np.arange(len(split)), sizes), before, word
+
+
+def _mixed(*columns: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        out = (out ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _batch(n: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*[pa.array(c.view(np.int64)) for c in columns.values()], pa.array(n.astype(np.int64))], names=[*columns, "n"])
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bigrams and their numbers, summed over the task's texts as far as memory goes."""
+    words, held, size = Hashes(), [], 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        before, word, n = (np.concatenate(x) for x in zip(*held))
+        _, first, at = np.unique(_mixed(before, word), return_index=True, return_inverse=True)
+        return before[first], word[first], np.bincount(at, weights=n, minlength=len(first))
 
     for batch in batches:
-        words = [w for text in batch.column(0) for w in (text.as_py() or b"").split()]
-        ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
-        n = np.concatenate([n, np.zeros(len(known) - len(n), np.int64)]) + np.bincount(ids, minlength=len(known))
-        if len(known) > HELD:
-            yield emit()
-            known, n = {}, np.zeros(0, np.int64)
-    if known:
-        yield emit()
+        _, before, word = words.pairs(batch.column(0).to_pylist())
+        held.append((before, word, np.ones(len(word))))
+        size += len(word)
+        if size > HELD:
+            held = [merged()]
+            size = len(held[0][0])
+            if 2 * size > HELD:
+                yield _batch(held[0][2], history=held[0][0], word=held[0][1])
+                held, size = [], 0
+    if held:
+        before, word, n = merged()
+        yield _batch(n, history=before, word=word)
+
+
+def _pairs_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's bigrams and their numbers, under the text's mark."""
+    words = Hashes()
+    for batch in batches:
+        text, before, word = words.pairs(batch.column(1).to_pylist())
+        _, first, n = np.unique(_mixed(text, before, word), return_index=True, return_counts=True)
+        yield _batch(n, mark=batch.column(0).to_numpy()[text[first]], history=before[first], word=word[first])
 
 
-class Vocabulary(dict):
-    """Raw word to its place in the vocabulary; the first place is for all other words. A cache over sorted hashes."""
+class Models(NamedTuple):
+    """Background and target model over the same words and bigrams, as tables; 0 is the background, 1 the target."""
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = hashes
+    words: DataFrame  # word, base0, base1: the lower order
+    history: DataFrame  # history, seen0, seen1: how often a kept bigram starts with it
+    pairs: DataFrame  # history, word, n0, n1
+    losses: DataFrame  # history, word, loss0, loss1: of the kept bigrams
+    unknown: tuple[float, float]  # lower order of all words outside the vocabulary
 
-    def __missing__(self, word: bytes) -> int:
-        h = np.uint64(xxhash.xxh3_64_intdigest(word))
-        at = int(np.searchsorted(self.hashes, h))
-        place = at + 1 if at < len(self.hashes) and self.hashes[at] == h else 0
-        if len(self) < HELD:
-            self[word] = place
-        return place
 
-    @property
-    def size(self) -> int:
-        """Places, with the unknown word; one more stands for the start of a text."""
-        return len(self.hashes) + 1
+def _loss(k: int) -> Column:
+    return -F.log((F.col(f"n{k}") + BACKOFF * F.col(f"base{k}")) / (F.col(f"seen{k}") + BACKOFF))
 
-    def pairs(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """History and word of every token as one number, and the number of tokens of each text."""
-        split = [(t or b"").split() for t in texts]
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        ids = np.fromiter((self[w] for text in split for w in text), np.int64, sizes.sum())
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        before[starts[sizes > 0]] = self.size
-        return before * self.size + ids, sizes
-
-
-def _count_pairs(hashes: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held, size = Vocabulary(hashes), [], 0
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            key, n = (np.concatenate(x) for x in zip(*held))
-            key, at = np.unique(key, return_inverse=True)
-            return key, np.bincount(at, weights=n, minlength=len(key)).astype(np.int64)
-
-        emit = lambda key, n: pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["pair", "n"])
-        for batch in batches:
-            held.append(np.unique(words.pairs(batch.column(0).to_pylist())[0], return_counts=True))
-            size += len(held[-1][0])
-            if size > HELD:
-                held = [merged()]
-                size = len(held[0][0])
-                if 2 * size > HELD:
-                    yield emit(*held[0])
-                    held, size = [], 0
-        if held:
-            yield emit(*merged())
-
-    return run
-
-
-class Models:
-    """Background and target model over the same words and bigrams."""
-
-    def __init__(self, words: list, pairs: list, totals: tuple[int, int]):
-        words = sorted(words, key=lambda r: np.uint64(r[0] & 0xFFFFFFFFFFFFFFFF))
-        self.hashes = np.array([r[0] for r in words], np.int64).view(np.uint64)
-        size = len(words) + 1
-        self.base = []
-        for k, total in enumerate(totals):
-            n = np.array([0] + [r[1 + k] for r in words], np.float64)
-            n[0] = max(0, total - n.sum())
-            self.base.append((n + 0.5) / (n.sum() + 0.5 * size))
-        pairs = sorted(pairs)
-        self.pairs = np.array([r[0] for r in pairs], np.int64)
-        self.counts = [np.array([r[1 + k] for r in pairs] + [0], np.float64) for k in range(2)]
-        history = self.pairs // size
-        # Of each history, the seen bigrams only: what is pruned goes to the lower order in both models alike.
-        self.history = [np.bincount(history, c[:-1], minlength=size + 1) if len(pairs) else np.zeros(size + 1) for c in self.counts]
-        self.size = size
-
-    def losses(self, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Loss of every token in nats, under the background and the target."""
-        at = np.searchsorted(self.pairs, pair)
-        at[at == len(self.pairs)] = 0
-        hit = np.where(self.pairs[at] == pair, at, len(self.pairs)) if len(self.pairs) else np.zeros(len(pair), np.int64)
-        before, word = pair // self.size, pair % self.size
-        return tuple(-np.log((c[hit] + BACKOFF * b[word]) / (h[before] + BACKOFF)) for c, b, h in zip(self.counts, self.base, self.history))
-
-
-def fit(docs: DataFrame, target: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Models:
-    """Models from the texts of ``docs`` (background) and ``target``; counts cover all rows of both."""
-    texts = [docs.select(F.col("text").cast("binary").alias("text")), on_disk(target.select(F.col("text").cast("binary").alias("text")))]
 
-    def both(run, key: str) -> DataFrame:
-        sides = [t.mapInArrow(run, f"{key} long, n long").select(key, *[(F.col("n") if i == k else F.lit(0)).alias(f"n{i}") for i in range(2)]) for k, t in enumerate(texts)]
-        return sides[0].union(sides[1]).groupBy(key).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+def _joined(rows: DataFrame, other: DataFrame, on: list[str], how: str) -> DataFrame:
+    """By a merge at every size, whose hot keys the engine splits."""
+    return rows.join(other.hint("merge"), on, how)
 
-    words = on_disk(both(_count_words, "word"))
-    totals = tuple(int(x or 0) for x in words.agg(F.sum("n0"), F.sum("n1")).first())
-    vocabulary = [tuple(r) for r in words.filter(F.col("n0") >= max(1.0, word_share * totals[0])).collect()]
-    words.unpersist()
-    hashes = np.sort(np.array([r[0] for r in vocabulary], np.int64).view(np.uint64))
-    pairs = both(_count_pairs(hashes), "pair").filter(F.col("n0") >= max(1.0, pair_share * totals[0]))
-    return Models(vocabulary, [tuple(r) for r in pairs.collect()], totals)
+
+def _folded(rows: DataFrame, words: DataFrame, column: str) -> DataFrame:
+    """Hashes outside the vocabulary become ``UNKNOWN``."""
+    known = words.select(F.col("word").alias(column), F.lit(True).alias("_known"))
+    return _joined(rows, known, [column], "left").withColumn(column, F.when(F.col("_known") | (F.col(column) == START), F.col(column)).otherwise(F.lit(UNKNOWN).cast("long"))).drop("_known")
+
+
+def fit(docs: DataFrame, target: DataFrame, word_share: float = 0.0, pair_share: float = 0.0) -> Models:
+    """Models from the texts of ``docs`` (background) and ``target``; counts cover all rows of both.
+
+    Every word and bigram of ``docs`` is kept. Shares above 0 also drop those with less than
+    that share of its tokens; dropped words count as one unknown word, and dropped bigrams go
+    to the lower order in both models alike.
+    """
+    texts = [docs.select(F.col("text").cast("binary").alias("text")), on_disk(target.select(F.col("text").cast("binary").alias("text")))]
+    sums = [F.sum("n0").alias("n0"), F.sum("n1").alias("n1")]
+    sides = [t.mapInArrow(_count_pairs, "history long, word long, n long").select("history", "word", *[(F.col("n") if i == k else F.lit(0)).cast("long").alias(f"n{i}") for i in range(2)]) for k, t in enumerate(texts)]
+    pairs = kept(sides[0].union(sides[1]).groupBy("history", "word").agg(*sums))
+    texts[1].unpersist()
+    counted = kept(pairs.groupBy("word").agg(*sums))
+    everything = counted.agg(*sums, F.count("*").alias("size")).first()
+    totals = [int(everything[k] or 0) for k in range(2)]
+    vocabulary = counted.filter(F.col("n0") >= max(1.0, word_share * totals[0]))
+    some = vocabulary.agg(*sums, F.count("*").alias("size")).first()
+    size = some["size"] + 1
+    base = lambda n, k: (n + 0.5) / (totals[k] + 0.5 * size)
+    words = vocabulary.select("word", *[base(F.col(f"n{k}"), k).alias(f"base{k}") for k in range(2)])
+    unknown = tuple(base(totals[k] - int(some[k] or 0), k) for k in range(2))
+    if some["size"] < everything["size"]:
+        pairs = kept(_folded(_folded(pairs, words, "history"), words, "word").groupBy("history", "word").agg(*sums))
+    pairs = pairs.filter(F.col("n0") >= max(1.0, pair_share * totals[0]))
+    history = kept(pairs.groupBy("history").agg(F.sum("n0").alias("seen0"), F.sum("n1").alias("seen1")))
+    models = Models(words, history, pairs, pairs, unknown)
+    return models._replace(losses=kept(_with_losses(pairs, models).select("history", "word", "loss0", "loss1")))
+
+
+def _with_losses(pairs: DataFrame, models: Models) -> DataFrame:
+    """``loss0, loss1`` of ``pairs(history, word, n0, n1)`` of folded words."""
+    rows = _joined(_joined(pairs, models.words, ["word"], "left"), models.history, ["history"], "left")
+    rows = rows.withColumns({**{f"base{k}": F.coalesce(f"base{k}", F.lit(models.unknown[k])) for k in range(2)}, **{f"seen{k}": F.coalesce(f"seen{k}", F.lit(0)) for k in range(2)}})
+    return rows.withColumns({f"loss{k}": _loss(k) for k in range(2)})
+
+
+def _new_losses(asked: DataFrame, models: Models) -> DataFrame:
+    """``loss0, loss1`` of raw bigrams ``asked(history, word)`` that the models don't hold as such."""
+    named = asked.withColumns({"_history": F.col("history"), "_word": F.col("word")})
+    folded = _folded(_folded(named, models.words, "history"), models.words, "word")
+    found = _joined(folded, models.pairs, ["history", "word"], "left").fillna(0, ["n0", "n1"])
+    return _with_losses(found, models).select(F.col("_history").alias("history"), F.col("_word").alias("word"), "loss0", "loss1")
 
 
 def score(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
@@ -157,23 +172,21 @@ def score(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
     read whole; equal texts score alike. Columns of those names are replaced.
     """
     new = ("n_tokens", "loss_background", "loss_target", "score")
-    keep = [c for c in docs.columns if c not in new]
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text).cast("binary").alias("_raw"))
-    schema = docs.select(*keep).withColumns({"n_tokens": F.lit(0).cast("long"), **{c: F.lit(0.0) for c in new[1:]}}).schema
-    for c in new[1:]:
-        schema[c].nullable = True
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(models.hashes)
-        for batch in batches:
-            pair, sizes = words.pairs(batch.column(len(keep)).to_pylist())
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            means = [np.bincount(of, loss, minlength=len(sizes)) / np.maximum(sizes, 1) for loss in models.losses(pair)]
-            none = sizes == 0
-            out = [pa.array(x, mask=none) for x in (means[0], means[1], means[0] - means[1])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(sizes), *out], names=[*keep, *new])
-
-    return rows.mapInArrow(run, schema)
+    rows = docs.withColumn("_mark", F.xxhash64(text))
+    raw = rows.select(F.col("_mark").alias("mark"), F.col(text).cast("binary").alias("text")).filter(F.length("text") > 0)
+    tokens = raw.mapInArrow(_pairs_of_texts, "mark long, history long, word long, n long")
+    # Equal texts meet under one mark; each has one token after START, so the mean is that of one text.
+    sums = [F.sum(F.col("n") * F.col(f"loss{k}")).alias(f"sum{k}") for k in range(2)]
+    parts = _joined(tokens, models.losses, ["history", "word"], "left").withColumn("new", F.col("loss0").isNull())
+    keys = ["mark", *[F.when(F.col("new"), F.col(c)).alias(c) for c in ("history", "word")]]
+    parts = kept(parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("history") == START, F.col("n")).otherwise(0)).alias("copies"), *sums))
+    unseen = parts.filter("history IS NOT NULL").drop("sum0", "sum1")
+    late = _joined(unseen, _new_losses(unseen.select("history", "word").distinct(), models), ["history", "word"], "left")
+    late = late.select("mark", "n", "copies", *[(F.col("n") * F.col(f"loss{k}")).alias(f"sum{k}") for k in range(2)])
+    whole = parts.filter("history IS NULL").select(*late.columns).union(late).groupBy("mark").agg(*[F.sum(c).alias(c) for c in late.columns[1:]])
+    means = whole.select(F.col("mark").alias("_of"), (F.col("n") / F.col("copies")).cast("long").alias("n_tokens"), *[(F.col(f"sum{k}") / F.col("n")).alias(c) for k, c in enumerate(new[1:3])])
+    out = rows.drop(*new).join(means.hint("merge"), F.col("_mark") == F.col("_of"), "left").drop("_mark", "_of")
+    return out.withColumns({"n_tokens": F.coalesce("n_tokens", F.lit(0).cast("long")), "score": F.col("loss_background") - F.col("loss_target")})
 
 
 def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
