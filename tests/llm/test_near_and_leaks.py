@@ -155,3 +155,13 @@ def test_leaks_match_plain_search(spark):
     want = {(d, i) for d, t in read("documents", "doc_id") for i, u in items if u in t}
     got = {(r.doc_id, r.item_id) for r in decontamination.op8_decontamination(spark, FOLDER).collect()}
     assert want <= got and len(got - want) <= 0.05 * len(want) + 1
+
+
+def test_each_version_of_a_template_is_judged_by_itself(spark):
+    item = "We bought 4 red and 9 blue and 5 green pens"
+    other, third = "We bought 7 red and 3 blue and 8 green pens", "We bought 1 red and 2 blue and 6 green pens"
+    sheet = ". ".join(f"We bought {i} red and {i + 50} blue and {i + 90} green pens" for i in range(10, 40))
+    broken = "If one box holds 7 apples and the other box holds 7 pears then how many fruits do 7 children get"
+    wrong = ". ".join(broken.replace("7 apples", f"{a} apples").replace("7 pears", f"{b} pears").replace("7 children", f"{c} children") for a, b, c in ((1, 2, 3), (4, 5, 6)))
+    texts = [f"{FILL}. {item}. {other}.", f"{FILL}. {other}. {third}.", sheet, FILL, wrong]
+    assert found(spark, texts, [item, broken]) == {(0, 0), (1, 0), (2, 0)}

@@ -3,7 +3,8 @@
 Texts become templates: numbers, quantities, units after a number and names (capitals
 inside a sentence) turn into typed placeholders. Windows of ``WINDOW`` template tokens
 are hashed and joined with the benchmark's; a document holds an item if windows whose
-slot fillings agree with one mapping of the item's values cover ``COVER`` of the item.
+slot fillings agree with one mapping of the item's values, that of an occurrence, cover
+``COVER`` of the item.
 Exact copies map every value to itself; re-parameterised questions map it to another one.
 """
 
@@ -22,6 +23,8 @@ from tidemark.llm.common import on_disk, table
 
 WINDOW = 5
 COVER = 0.8
+#: Alignments at most so many tokens apart are also judged as one occurrence.
+GAP = 4
 #: Bits of the prefilter that travels with the tasks: a fixed size, however large the benchmark.
 FILTER_BITS = 22
 #: Words a task remembers; beyond that it starts anew, with the same results.
@@ -163,38 +166,73 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, doc_id: s
     Null and empty texts hold nothing and are held by nothing. An item of fewer than
     ``WINDOW`` tokens is held only by a text that is nothing else (such texts say too
     little to be found inside others). Repeated documents and items, and those without
-    id, are told apart by their text (``doc_mark``); equal ones give one row. A value
-    filled in several ways is judged by its most frequent filling, ties to the least.
+    id, are told apart by their text (``doc_mark``); equal ones give one row. Fillings are
+    judged occurrence by occurrence, where a value filled in several ways counts by its
+    most frequent filling, ties to the least; unchanged values always fit.
     An empty table on either side gives no rows.
     """
     items = on_disk(windows(_keyed(benchmark, item_id).distinct()))
     bits = items.select((F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))).alias("bit")).distinct()
     wanted = np.zeros(1 << FILTER_BITS, bool)
     wanted[[r.bit for r in bits.collect()]] = True
-    mine = items.select(F.col("id").alias("item"), F.col("mark").alias("item_mark"), F.col("n").alias("n_windows"), F.col("pos").alias("item_pos"), F.col("hash").alias("h"), F.col("slots").alias("item_slots"))
-    found = windows(_keyed(docs, doc_id), wanted)
-    # One row per filling of a window: how often a passage repeats in a text doesn't matter.
-    found = found.groupBy(F.col("id").alias("doc"), F.col("mark").alias("doc_mark"), "hash", "slots").agg(F.count("*").alias("times"))
-    hits = on_disk(found.join(mine, F.col("hash") == F.col("h")).drop("hash", "h"))
-    pair = ["doc", "doc_mark", "item", "item_mark"]
-    fills = hits.filter(F.size("slots") > 0).withColumn("fill", F.explode(F.arrays_zip(F.col("item_slots").alias("old"), F.col("slots").alias("new")))).select(*pair, "item_pos", "slots", "times", F.col("fill.old").alias("old"), F.col("fill.new").alias("new"))
-    votes = fills.groupBy(*pair, "old", "new").agg(F.sum("times").alias("times"))
-    rule = votes.groupBy(*pair, "old").agg(F.min_by("new", F.struct(-F.col("times"), "new")).alias("rule"))
-    judged = _meet(fills, rule, [*pair, "old"], "left").withColumn("fits", F.col("new") == F.col("rule"))
-    broken = judged.groupBy(*pair, "item_pos", "slots").agg(F.bool_and("fits").alias("fits")).filter("NOT fits")
-    sound = _meet(hits, broken.drop("fits"), [*pair, "item_pos", "slots"], "left_anti")
-    matched = sound.groupBy(*pair).agg(F.countDistinct("item_pos").alias("n_matched"), F.max("n_windows").alias("n_windows"))
-    share = F.col("n_matched") / F.col("n_windows")
-    return matched.filter(share >= cover).select(F.col("doc").alias("doc_id"), "doc_mark", F.col("item").alias("item_id"), F.col("n_windows").cast("long"), F.col("n_matched").cast("long"), share.alias("coverage"))
+    mine = items.select(F.col("id").alias("item"), F.col("mark").alias("item_mark"), F.col("n").alias("n_windows"), F.col("pos").alias("item_pos"), F.col("hash").alias("h"), F.col("slots").alias("old"))
+    found = windows(_keyed(docs, doc_id), wanted).select(F.col("id").alias("doc"), F.col("mark").alias("doc_mark"), "pos", "hash", F.col("slots").alias("new")).distinct()
+    hits = found.join(mine, F.col("hash") == F.col("h")).drop("hash", "h")
+    pairs = hits.groupBy("doc", "doc_mark", "item", "item_mark").agg(F.max("n_windows").alias("n_windows"), F.collect_list(F.struct("pos", "item_pos", "old", "new")).alias("hits"))
+    enough = F.size(F.array_distinct("hits.item_pos")) / F.col("n_windows") >= cover
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = [matched([(h["pos"], h["item_pos"], h["old"], h["new"]) for h in row.as_py()]) for row in batch.column(4)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(best, pa.int64())], names=[*batch.schema.names[:4], "n_matched"])
 
-def _meet(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Join in which nulls of the key columns are equal; the right side's keys are dropped."""
-    other = right.withColumnsRenamed({c: f"_{c}" for c in on})
-    match = F.col(on[0]).eqNullSafe(F.col(f"_{on[0]}"))
-    for c in on[1:]:
-        match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return left.join(other, match, how).drop(*[f"_{c}" for c in on])
+    judged = pairs.filter(enough).select("doc", "doc_mark", "item", "n_windows", "hits").mapInArrow(run, "doc long, doc_mark long, item long, n_windows int, n_matched long")
+    share = F.col("n_matched") / F.col("n_windows")
+    return judged.filter(share >= cover).select(F.col("doc").alias("doc_id"), "doc_mark", F.col("item").alias("item_id"), F.col("n_windows").cast("long"), "n_matched", share.alias("coverage"))
+
+
+Hit = tuple[int, int, list[str], list[str]]
+
+
+def _rule(hits: list[Hit]) -> dict[str, str]:
+    """Each value's most frequent filling, ties to the least."""
+    votes: dict[str, dict[str, int]] = {}
+    for _, _, old, new in hits:
+        for a, b in zip(old, new):
+            of = votes.setdefault(a, {})
+            of[b] = of.get(b, 0) + 1
+    return {a: min(of, key=lambda b: (-of[b], b)) for a, of in votes.items()}
+
+
+def _fitting(hits: list[Hit]) -> list[Hit]:
+    """Hits whose fillings agree with the one mapping of all of them."""
+    rule = _rule(hits)
+    return [h for h in hits if all(rule[a] == b for a, b in zip(h[2], h[3]))]
+
+
+def occurrences(hits: list[Hit]) -> Iterator[list[Hit]]:
+    """Hits of one alignment (place in the text minus place in the item), and those of alignments close together."""
+    by_shift: dict[int, list[Hit]] = {}
+    for h in hits:
+        by_shift.setdefault(h[0] - h[1], []).append(h)
+    near: list[list[Hit]] = []
+    last = None
+    for shift in sorted(by_shift):
+        yield by_shift[shift]
+        if last is None or shift - last > GAP:
+            near.append([])
+        near[-1].extend(by_shift[shift])
+        last = shift
+    yield from near
+
+
+def matched(hits: list[Hit]) -> int:
+    """How many windows of an item a text holds under the best mapping: that of one occurrence, of all, or identity."""
+    fixed = {h[1] for h in hits if not h[2]}
+    filled = [h for h in hits if h[2]]
+    sets = [{h[1] for h in filled if h[2] == h[3]}, {h[1] for h in _fitting(filled)}]
+    sets += [{h[1] for h in _fitting(near)} for near in occurrences(filled)]
+    return len(fixed) + max(len(found - fixed) for found in sets)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
