@@ -165,3 +165,9 @@ def test_each_version_of_a_template_is_judged_by_itself(spark):
     wrong = ". ".join(broken.replace("7 apples", f"{a} apples").replace("7 pears", f"{b} pears").replace("7 children", f"{c} children") for a, b, c in ((1, 2, 3), (4, 5, 6)))
     texts = [f"{FILL}. {item}. {other}.", f"{FILL}. {other}. {third}.", sheet, FILL, wrong]
     assert found(spark, texts, [item, broken]) == {(0, 0), (1, 0), (2, 0)}
+
+
+def test_copies_in_other_letter_case(spark):
+    short = "Where does the Danube reach the sea"
+    texts = [f"{FILL}. {ITEMS[0].lower()}", f"{FILL} {ITEMS[0].upper()} {FILL}", f"{FILL}. {ITEMS[0].title()}", f"{FILL}\n{short}\n{FILL}", FILL, FILL.upper()]
+    assert found(spark, texts, [ITEMS[0], short]) == {(0, 0), (1, 0), (2, 0), (3, 1)}

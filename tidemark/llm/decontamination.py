@@ -6,6 +6,8 @@ are hashed and joined with the benchmark's; a document holds an item if windows
 slot fillings agree with one mapping of the item's values, that of an occurrence, cover
 ``COVER`` of the item.
 Exact copies map every value to itself; re-parameterised questions map it to another one.
+Names are known by their capitals, so windows are hashed with and without them as slots:
+copies in other letter case agree in the second.
 """
 
 from __future__ import annotations
@@ -101,29 +103,42 @@ class Templates:
         kinds.append((NAME, (flags & NAME > 0) & ~first & ~kinds[2][1]))
         self.code, self.slot = words.code[ids], np.zeros(len(ids), bool)
         for kind, hit in kinds:
+            #: Without names: what a copy in other letter case has in common.
+            self.folded, self.counted = self.code, self.slot.copy()
             self.code = np.where(hit, _SLOT[kind], self.code)
             self.slot |= hit
         self.ids, self.bare = ids, words.bare
         self.sizes = np.bincount(self.text, minlength=len(split))
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, length and hash of every window; a text of fewer tokens is one window of its own kind."""
-        n = len(self.code)
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Start, length, hash and kind of every window; a text of fewer tokens is one window of its own kind.
+
+        Kind 0 has names as slots; kind 1 has them as lower-case words, for windows that hold any.
+        """
+        at, size, value = self._hashed(self.code)
+        other = self._hashed(self.folded)[2]
+        named = np.flatnonzero(other != value)
+        kind = np.repeat([0, 1], [len(at), len(named)])
+        return np.append(at, at[named]), np.append(size, size[named]), np.append(value, other[named]), kind
+
+    def _hashed(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = len(code)
         whole = np.zeros(max(0, n - WINDOW + 1), np.uint64)
         for j in range(WINDOW):
-            whole = _mix(whole * np.uint64(0x9E3779B97F4A7C15) + self.code[j : n - WINDOW + 1 + j]) if len(whole) else whole
+            whole = _mix(whole * np.uint64(0x9E3779B97F4A7C15) + code[j : n - WINDOW + 1 + j]) if len(whole) else whole
         at = np.flatnonzero(self.text[: len(whole)] == self.text[WINDOW - 1 :]) if len(whole) else np.zeros(0, np.int64)
         size, value = np.full(len(at), WINDOW), whole[at]
         for t in np.flatnonzero((self.sizes > 0) & (self.sizes < WINDOW)):
             h = np.uint64(self.sizes[t])
-            for c in self.code[self.starts[t] : self.starts[t] + self.sizes[t]]:
+            for c in code[self.starts[t] : self.starts[t] + self.sizes[t]]:
                 h = _mix(np.array([h], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + c)[0]
             at, size, value = np.append(at, self.starts[t]), np.append(size, self.sizes[t]), np.append(value, h)
         return at, size, value
 
-    def filled(self, at: int, size: int) -> list[str]:
-        return [self.bare[self.ids[i]].decode("utf-8", "replace") for i in range(at, at + size) if self.slot[i]]
+    def filled(self, at: int, size: int, kind: int) -> list[str]:
+        slot = self.counted if kind else self.slot
+        return [self.bare[self.ids[i]].decode("utf-8", "replace") for i in range(at, at + size) if slot[i]]
 
 
 ROWS = "id long, mark long, n int, pos int, hash long, slots array<string>"
@@ -132,7 +147,8 @@ ROWS = "id long, mark long, n int, pos int, hash long, slots array<string>"
 def windows(rows: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
     """Windows ``(id, mark, n, pos, hash, slots)`` of ``rows(id, mark, text)``, those the filter lets through.
 
-    ``n`` is how many windows the text has, ``pos`` the window's place among them.
+    ``n`` is how many windows the text has, ``pos`` the window's place among them. A window
+    that holds names has two rows, with and without names as slots.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,13 +157,13 @@ def windows(rows: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
             if len(words) > REMEMBERED:
                 words = Words()
             made = Templates(batch.column(2).to_pylist(), words)
-            at, size, value = made.windows()
-            count = np.bincount(made.text[at], minlength=batch.num_rows) if len(at) else np.zeros(batch.num_rows, np.int64)
+            at, size, value, kind = made.windows()
+            count = np.bincount(made.text[at[kind == 0]], minlength=batch.num_rows) if len(at) else np.zeros(batch.num_rows, np.int64)
             hit = np.arange(len(at)) if wanted is None else np.flatnonzero(wanted[(value & np.uint64(len(wanted) - 1)).astype(np.int64)])
             where = made.text[at[hit]] if len(hit) else np.zeros(0, np.int64)
             take = pa.array(where, pa.int64())
             marked = np.concatenate([[0], np.cumsum(made.slot)])
-            slots = [made.filled(a, s) if marked[a + s] > marked[a] else [] for a, s in zip(at[hit], size[hit])]
+            slots = [made.filled(a, s, k) if marked[a + s] > marked[a] else [] for a, s, k in zip(at[hit], size[hit], kind[hit])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(count[where], pa.int32()), pa.array(at[hit] - made.starts[where], pa.int32()), pa.array(value[hit].view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
                 names=["id", "mark", "n", "pos", "hash", "slots"],
