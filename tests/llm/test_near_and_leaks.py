@@ -171,3 +171,11 @@ def test_copies_in_other_letter_case(spark):
     short = "Where does the Danube reach the sea"
     texts = [f"{FILL}. {ITEMS[0].lower()}", f"{FILL} {ITEMS[0].upper()} {FILL}", f"{FILL}. {ITEMS[0].title()}", f"{FILL}\n{short}\n{FILL}", FILL, FILL.upper()]
     assert found(spark, texts, [ITEMS[0], short]) == {(0, 0), (1, 0), (2, 0), (3, 1)}
+
+
+def test_long_passages_of_an_item(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59)]
+    item = " ".join(words)
+    numbers = " ".join(f"{i}" for i in range(100, 130))
+    texts = [f"{FILL} {' '.join(words[9:49])} {FILL}", f"{FILL} {' '.join(words[20:33])} {FILL}", f"{FILL} {' '.join(words[20:32])} {FILL}", f"{FILL} {' '.join(words[5:14])} {FILL} {' '.join(words[30:39])}", " ".join(f"{i}" for i in range(500, 520))]
+    assert found(spark, texts, [item, numbers]) == {(0, 0), (1, 0)}

@@ -4,7 +4,7 @@ Texts become templates: numbers, quantities, units after a number and names (cap
 inside a sentence) turn into typed placeholders. Windows of ``WINDOW`` template tokens
 are hashed and joined with the benchmark's; a document holds an item if windows whose
 slot fillings agree with one mapping of the item's values, that of an occurrence, cover
-``COVER`` of the item.
+``COVER`` of the item, or lie in a row over ``RUN`` tokens.
 Exact copies map every value to itself; re-parameterised questions map it to another one.
 Names are known by their capitals, so windows are hashed with and without them as slots:
 copies in other letter case agree in the second.
@@ -25,6 +25,8 @@ from tidemark.llm.common import on_disk, table
 
 WINDOW = 5
 COVER = 0.8
+#: A passage of so many tokens of an item is a leak, whatever its share of the item.
+RUN = 13
 #: Alignments at most so many tokens apart are also judged as one occurrence.
 GAP = 4
 #: Bits of the prefilter that travels with the tasks: a fixed size, however large the benchmark.
@@ -184,7 +186,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, doc_id: s
     little to be found inside others). Repeated documents and items, and those without
     id, are told apart by their text (``doc_mark``); equal ones give one row. Fillings are
     judged occurrence by occurrence, where a value filled in several ways counts by its
-    most frequent filling, ties to the least; unchanged values always fit.
+    most frequent filling, ties to the least; unchanged values always fit. A passage of
+    ``RUN`` tokens of an item is enough, whatever its share: ``coverage`` then is below ``cover``.
     An empty table on either side gives no rows.
     """
     items = on_disk(windows(_keyed(benchmark, item_id).distinct()))
@@ -195,16 +198,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, doc_id: s
     found = windows(_keyed(docs, doc_id), wanted).select(F.col("id").alias("doc"), F.col("mark").alias("doc_mark"), "pos", "hash", F.col("slots").alias("new")).distinct()
     hits = found.join(mine, F.col("hash") == F.col("h")).drop("hash", "h")
     pairs = hits.groupBy("doc", "doc_mark", "item", "item_mark").agg(F.max("n_windows").alias("n_windows"), F.collect_list(F.struct("pos", "item_pos", "old", "new")).alias("hits"))
-    enough = F.size(F.array_distinct("hits.item_pos")) / F.col("n_windows") >= cover
+    # The most that can come out, before anything is judged.
+    positions = F.size(F.array_distinct("hits.item_pos"))
+    enough = (positions / F.col("n_windows") >= cover) | (positions > RUN - WINDOW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best = [matched([(h["pos"], h["item_pos"], h["old"], h["new"]) for h in row.as_py()]) for row in batch.column(4)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(best, pa.int64())], names=[*batch.schema.names[:4], "n_matched"])
+            hits = [[(h["pos"], h["item_pos"], h["old"], h["new"]) for h in row.as_py()] for row in batch.column(4)]
+            best, longest = ([f(x) for x in hits] for f in (matched, passage))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(best, pa.int64()), pa.array(longest, pa.int64())], names=[*batch.schema.names[:4], "n_matched", "passage"])
 
-    judged = pairs.filter(enough).select("doc", "doc_mark", "item", "n_windows", "hits").mapInArrow(run, "doc long, doc_mark long, item long, n_windows int, n_matched long")
+    judged = pairs.filter(enough).select("doc", "doc_mark", "item", "n_windows", "hits").mapInArrow(run, "doc long, doc_mark long, item long, n_windows int, n_matched long, passage long")
     share = F.col("n_matched") / F.col("n_windows")
-    return judged.filter(share >= cover).select(F.col("doc").alias("doc_id"), "doc_mark", F.col("item").alias("item_id"), F.col("n_windows").cast("long"), "n_matched", share.alias("coverage"))
+    return judged.filter((share >= cover) | (F.col("passage") >= RUN)).select(F.col("doc").alias("doc_id"), "doc_mark", F.col("item").alias("item_id"), F.col("n_windows").cast("long"), "n_matched", share.alias("coverage"))
 
 
 Hit = tuple[int, int, list[str], list[str]]
@@ -251,6 +257,26 @@ def matched(hits: list[Hit]) -> int:
     return len(fixed) + max(len(found - fixed) for found in sets)
 
 
+def passage(hits: list[Hit]) -> int:
+    """Tokens of the longest passage that text and item share: windows in a row at one alignment.
+
+    Unchanged windows count, and those under the alignment's one mapping that hold a plain
+    word (numbers in a row fit anything).
+    """
+    by_shift: dict[int, list[Hit]] = {}
+    for h in hits:
+        by_shift.setdefault(h[0] - h[1], []).append(h)
+    longest = 0
+    for near in by_shift.values():
+        if len(near) <= longest:
+            continue
+        run, last = 0, None
+        for at in sorted({h[1] for h in near if h[2] == h[3]} | {h[1] for h in _fitting(near) if len(h[2]) < WINDOW}):
+            run = run + 1 if last is not None and at == last + 1 else 1
+            longest, last = max(longest, run), at
+    return longest + WINDOW - 1 if longest else 0
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """``docs`` without those that hold an item; rows with a null text stay."""
     bad = leaks(docs, benchmark, cover).select(F.col("doc_id").alias("_doc"), "doc_mark").distinct()
