@@ -136,3 +136,18 @@ def test_structure_is_learned(spark):
     read = [b for b in map(html_text.blocks, pages[1::2])]
     for page, said in zip(read, half.predict([html_text.features(b) for b in read])):
         assert [y > 0.5 for y in said] == [bool(y) for y in html_text.structural(page)]
+
+
+def test_nothing_but_the_element_is_cut():
+    """What is skipped ends with its element or an ancestor; only raw text may run to the page's end."""
+    said = lambda page: [text for _, text in html_text.blocks(page)]
+    assert said('<h1>A <svg class="i"/></h1><p>text one</p><p>text two</p>') == ["A", "text one", "text two"]
+    assert said("<p>a <svg><g><path d='x'/><title>no</title></g></svg> b</p><p>c</p>") == ["a b", "c"]
+    assert said("<p>a <svg><style/><g></svg> b</p><p>c</p>") == ["a b", "c"]
+    assert said("<div>a<select><option>no<option>no</div><p>b</p>") == ["a", "b"]
+    assert said("<div><noscript><p>no</p></div><p>b</p>") == ["b"]
+    assert said("<template-card><p>a</p></template-card><select-box>b</select-box><style-x>c</style-x>") == ["a", "b", "c"]
+    assert said("<template><template>no</template>no</template><p>b</p>") == ["b"]
+    assert said("<p>a</p><script>no <p>no") == ["a"]
+    assert said("<p>a<iframe src=x>no</iframe> b</p><textarea>no<p>no</textarea ><p>c") == ["a b", "c"]
+    assert said("<p>a <svg><p>no") == ["a"]

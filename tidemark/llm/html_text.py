@@ -28,10 +28,14 @@ PATH_DIM, WORD_DIM, HIDDEN = 256, 32, 16
 DIM = PATH_DIM + WORD_DIM + 6
 
 _PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|iframe|textarea)(?=[\s/>])[^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+#: Raw text up to its end tag or the page's end.
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in ("script", "style", "iframe", "textarea")}
+#: Elements whose content is no text of the page; they end where they or an ancestor close.
+_SKIPPED = frozenset("svg template select noscript".split())
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,6 +59,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
     last = 0
+    skip = None  # place of the outermost skipped element in the stack
 
     def close() -> None:
         if held:
@@ -63,14 +68,41 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
             if text:
                 out.append((tuple(t for _, tokens in stack for t in tokens), text))
 
-    for m in _PIECE.finditer(page):
-        if m.start() > last:
+    while m := _PIECE.search(page, last):
+        if m.start() > last and skip is None:
             held.append(page[last : m.start()])
         last = m.end()
+        if m.group(1):
+            # Only in svg may such an element close itself.
+            if not (skip is not None and m.group().endswith("/>") and any(t == "svg" for t, _ in stack[skip:])):
+                end = _RAW_END[m.group(1).lower()].search(page, last)
+                last = end.end() if end else len(page)
+            continue
         name = m.group(3)
         if not name:
             continue
         name = name.lower()
+        if skip is not None:
+            if not m.group(2):
+                if name not in _VOID and not (m.group(4) or "").endswith("/"):
+                    stack.append((name, ()))
+                continue
+            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            if at is None:
+                continue
+            if at >= skip:
+                del stack[at:]
+                skip = None if at == skip else skip
+                continue
+            del stack[skip:]
+            skip = None
+        elif name in _SKIPPED and not m.group(2):
+            if not (m.group(4) or "").endswith("/"):
+                skip = len(stack)
+                stack.append((name, ()))
+            continue
+        elif name in _SKIPPED:
+            continue
         if name == "br":
             held.append(" ")
             continue
@@ -93,7 +125,10 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
                 break
         if not (m.group(4) or "").endswith("/"):
             stack.append((name, _tokens(name, m.group(4) or "")))
-    held.append(page[last:])
+    if skip is None:
+        held.append(page[last:])
+    else:
+        del stack[skip:]
     close()
     return out
 
