@@ -143,5 +143,3 @@ def test_rare_words_and_bigrams_count(spark):
     assert got["sea glass"].loss_background == pytest.approx((first + then) / 2)
     first, then = -math.log((1 + 20 * base(1, 6)) / (2 + 20)), -math.log((1 + 20 * base(2, 6)) / (1 + 20))
     assert got["sea glass"].loss_target == pytest.approx((first + then) / 2)
-    assert got["sea glass"].loss_target < got["glass sea"].loss_target < got["sea w1"].loss_target
-    assert got["glass sea"].score > got["sea w1"].score
