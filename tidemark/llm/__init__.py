@@ -22,6 +22,9 @@ MODULES = (
     "decontamination",
     "lm_scoring",
     "ngram_join",
+    "packing",
+    "centroids",
+    "collocations",
 )
 
 
