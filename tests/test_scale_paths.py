@@ -85,11 +85,37 @@ def test_consensus_match_against_brute_force(spark):
     signed = lambda h: h - (1 << 64) if h >> 63 else h
     c = spark.createDataFrame([(str(i), signed(p), signed(d), i) for i, p, d in corpus], "path string, phash long, dhash long, ord long")
     t = spark.createDataFrame([(i, signed(p), signed(d)) for i, p, d in targets], "target long, phash long, dhash long")
-    got = {r.target: (r.decision, r.source) for r in M.consensus_match(t, c).collect()}
+    got = {r.target: (r.decision, r.source, r.p, r.d) for r in M.consensus_match(t, c).collect()}
     for i, p, d in targets:
-        worst, src = min((max((p ^ cp).bit_count(), (d ^ cd).bit_count()), j) for j, cp, cd in corpus)
-        want = ("match", str(src)) if worst <= 8 else ("review", str(src)) if worst <= 14 else ("no_match", None)
-        assert got[i] == want, i
+        worst, _, ph, dh, src = min((max((p ^ cp).bit_count(), (d ^ cd).bit_count()), j, (p ^ cp).bit_count(), (d ^ cd).bit_count(), j) for j, cp, cd in corpus)
+        decision = "match" if worst <= 8 else "review" if worst <= 14 else "no_match"
+        assert got[i] == (decision, None if decision == "no_match" else str(src), ph, dh), i
+    assert {(r.decision, r.source, r.p, r.d) for r in M.consensus_match(t, c.limit(0)).collect()} == {("no_match", None, None, None)}
+
+
+def test_clustered_hashes_make_few_candidates(spark):
+    """All assets share their first hash up to a few bits; the second hash tells them apart."""
+    rng = random.Random(4)
+    common = rng.getrandbits(63)
+    rows = [(common ^ (1 << rng.randrange(63)), rng.getrandbits(63), i, str(i)) for i in range(2000)]
+    corpus = spark.createDataFrame(rows, "cp long, cd long, ord long, path string")
+    targets = spark.createDataFrame([(p ^ 1, d ^ 6) for p, d, _, _ in rows[::20]], "tp long, td long")
+    met = M.slice_index(targets, "tp", "td").join(M.slice_index(corpus, "cp", "cd"), "_key").count()
+    assert met < 100 * 2000 / 50  # of all pairs
+    near = {(r.tp, r.td): (r.path, r.worst) for r in M.nearest(targets, corpus, block=150).collect()}
+    for p, d, i, path in rows[::20]:
+        assert near[(p ^ 1, d ^ 6)] == (path, 2)
+
+
+def test_blocks_compare_everything(spark):
+    rng = random.Random(9)
+    corpus = [(rng.getrandbits(63), rng.getrandbits(63), i, str(i)) for i in range(300)]
+    targets = [(rng.getrandbits(63), rng.getrandbits(63)) for _ in range(90)]
+    c, t = spark.createDataFrame(corpus, "cp long, cd long, ord long, path string"), spark.createDataFrame(targets, "tp long, td long")
+    for block in (40, 4096):
+        got = {(r.tp, r.td): (r.worst, r.ord, r.p, r.d) for r in M.compared_whole(t, c, block).collect()}
+        for p, d in targets:
+            assert got[(p, d)] == min((max((p ^ cp).bit_count(), (d ^ cd).bit_count()), i, (p ^ cp).bit_count(), (d ^ cd).bit_count()) for cp, cd, i, _ in corpus)
 
 
 def boxes(spark, n=120, seed=5):

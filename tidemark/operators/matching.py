@@ -2,86 +2,135 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.hashing import hamming
 from tidemark.operators.ordered import numbered
 from tidemark.operators.quantiles import exact_percentiles
+from tidemark.session import cut_lineage
 
 ACCEPT, REVIEW = 8, 14
 # Fixed value: preference order of source files.
 SOURCE_EXTS = (".png", ".webp", ".jpeg", ".jpg")
 
 
-def _cuts(bands: int) -> list[tuple[int, int]]:
+#: Slices of a 64-bit hash that the index is keyed by, and bits that a probe may flip in each, round by round.
+SLICES, FLIPS = 5, (0, 1)
+#: Hash pairs on either side of a block that is compared whole.
+BLOCK = 4096
+
+
+def _cuts() -> list[tuple[int, int]]:
     """(offset, width) of nearly equal slices of 64 bits."""
-    edges = [round(64 * i / bands) for i in range(bands + 1)]
+    edges = [round(64 * i / SLICES) for i in range(SLICES + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
-def _slice(h: Column, offset: int, width: int) -> Column:
-    return F.shiftrightunsigned(h, offset).bitwiseAND(F.lit((1 << width) - 1))
+def _variants(h: np.ndarray, offset: int, width: int, flips: int) -> np.ndarray:
+    """A slice of every hash, with every way to flip at most ``flips`` of its bits."""
+    masks = [sum(1 << i for i in bits) for k in range(flips + 1) for bits in combinations(range(width), k)]
+    part = (h.view(np.uint64) >> np.uint64(offset)).astype(np.int64) & ((1 << width) - 1)
+    return part[:, None] ^ np.array(masks, np.int64)
+
+
+def slice_index(rows: DataFrame, p: str, d: str, flips: int = 0) -> DataFrame:
+    """Rows with ``_key``: one for every slice of one hash with a slice of the other, and for every way to flip bits in the two.
+
+    With both hashes in the key, rows that agree in one of them only don't meet.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [[_variants(batch.column(h).to_numpy(), o, w, flips) for o, w in _cuts()] for h in (p, d)]
+            for i, x in enumerate(sides[0]):
+                for j, y in enumerate(sides[1]):
+                    key = (((i * SLICES + j) << 32) | (x[:, :, None] << 16) | y[:, None, :]).reshape(len(x), -1)
+                    out = batch.take(pa.array(np.repeat(np.arange(len(key)), key.shape[1])))
+                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(key.ravel())], names=[*batch.schema.names, "_key"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("_key", LongType())]))
 
 
-def _masks(width: int, reach: int) -> list[int]:
-    """All patterns of at most ``reach`` set bits."""
-    return [sum(1 << i for i in bits) for k in range(reach + 1) for bits in combinations(range(width), k)]
+def _best(rows: DataFrame) -> DataFrame:
+    """Per target hash pair the nearest partner: by the worse distance, then by order."""
+    best = F.min(F.struct(F.greatest("p", "d").alias("worst"), "ord", "path", "p", "d"))
+    return rows.groupBy("tp", "td").agg(best.alias("m")).select("tp", "td", "m.*")
 
 
-def within(targets: DataFrame, corpus: DataFrame, radius: int, bands: int) -> DataFrame:
-    """Nearest corpus row per target among those within ``radius`` on both hashes; exact.
+def compared_whole(targets: DataFrame, corpus: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Nearest partner per target by comparing all, in blocks: a grid whose cells hold some ``block`` rows of either side.
 
-    If two hashes differ in at most ``radius`` bits, some slice differs in at
-    most radius/bands bits. Targets probe every such variant of each slice, so
-    an equi-join finds all partners; no pair outside the radius is kept.
+    Every row goes to one line of the grid and meets all of the other side there, so tasks are
+    alike whatever the hashes are.
+    """
+    across, down = (-(-df.count() // block) or 1 for df in (targets, corpus))
+    t = targets.select("tp", "td", F.pmod(F.xxhash64("tp", "td"), F.lit(across)).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("j"))
+    c = corpus.select("cp", "cd", "ord", F.pmod(F.xxhash64("cp", "cd"), F.lit(down)).cast("int").alias("j"), F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("i"))
+
+    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        tp, td = (left.column(k).to_numpy() for k in ("tp", "td"))
+        order = np.argsort(right.column("ord").to_numpy(), kind="stable")
+        cp, cd = (right.column(k).to_numpy()[order] for k in ("cp", "cd"))
+        at = np.zeros(len(tp), np.int64)
+        if len(cp):
+            for k in range(len(tp)):  # the first of the nearest has the least order
+                at[k] = np.maximum(np.bitwise_count(cp ^ tp[k]), np.bitwise_count(cd ^ td[k])).argmin()
+        else:
+            tp, td, at = tp[:0], td[:0], at[:0]
+        return pa.table({"tp": tp, "td": td, "cp": cp[at], "cd": cd[at]})
+
+    near = t.groupBy("i", "j").cogroup(c.groupBy("i", "j")).applyInArrow(cell, "tp long, td long, cp long, cd long")
+    named = near.join(corpus, ["cp", "cd"])
+    return _best(named.select("tp", "td", "ord", "path", hamming("tp", "cp").alias("p"), hamming("td", "cd").alias("d")))
+
+
+def nearest(targets: DataFrame, corpus: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Nearest corpus row per target by the worse of two distances; exact, at any distance.
+
+    The radius widens. If both hashes of a pair differ in less than ``SLICES * (f + 1)`` bits,
+    a slice of each differs in at most ``f``, so probes that flip up to f bits in either find
+    the pair in one index. A target is done once its best is below that bound: whatever is
+    unseen lies farther. What no probe finishes is compared with all, in blocks.
     Inputs: tp, td | cp, cd, ord, path, one row per distinct hash pair.
     """
-    reach = radius // bands
-
-    def probes(offset, width, b):
-        masks = F.split(F.lit(",".join(map(str, _masks(width, reach)))), ",").cast("array<bigint>")
-        return F.transform(masks, lambda m: F.struct(F.lit(b).alias("b"), _slice(F.col("tp"), offset, width).bitwiseXOR(m).alias("v")))
-
-    cuts = _cuts(bands)
-    # a few small rows turn into thousands of probes each: keep every core on them
-    targets = targets.repartition(targets.sparkSession.sparkContext.defaultParallelism, "tp", "td")
-    t = None
-    for b, (o, w) in enumerate(cuts):
-        part = targets.select("tp", "td", F.explode(probes(o, w, b)).alias("k"))
-        t = part if t is None else t.unionByName(part)
-    t = t.select("tp", "td", "k.b", "k.v")
-    own = F.array(*[F.struct(F.lit(b).alias("b"), _slice(F.col("cp"), o, w).alias("v")) for b, (o, w) in enumerate(cuts)])
-    c = corpus.select("*", F.explode(own).alias("k")).select(*corpus.columns, "k.b", "k.v")
-    p, d = hamming("tp", "cp"), hamming("td", "cd")
-    close = t.join(c, ["b", "v"]).select("tp", "td", "ord", "path", p.alias("p"), d.alias("d")).filter(
-        (F.col("p") <= radius) & (F.col("d") <= radius)
-    )
-    best = F.min(F.struct(F.greatest("p", "d").alias("worst"), "ord", "path", "p", "d"))
-    return close.groupBy("tp", "td").agg(best.alias("m")).select("tp", "td", "m.*")
+    index = slice_index(corpus, "cp", "cd")
+    done, rest = None, targets
+    for flips in FLIPS:
+        probes = slice_index(rest, "tp", "td", flips)
+        met = probes.join(index, "_key").select("tp", "td", "ord", "path", hamming("tp", "cp").alias("p"), hamming("td", "cd").alias("d"))
+        bound = SLICES * (flips + 1)
+        found = cut_lineage(_best(met.filter((F.col("p") < bound) & (F.col("d") < bound))))
+        done = found if done is None else done.unionByName(found)
+        rest = cut_lineage(rest.join(found.select("tp", "td"), ["tp", "td"], "left_anti"))
+    return done.unionByName(compared_whole(rest, corpus, block))
 
 
 def consensus_match(
     targets: DataFrame, corpus: DataFrame, accept: int = ACCEPT, review: int = REVIEW
 ) -> DataFrame:
-    """Decision per target: match, review or no_match, by the worse of two distances.
+    """Decision per target: match, review or no_match, by the worse of two distances to its nearest partner.
 
     ``targets``: target, phash, dhash. ``corpus``: path, phash, dhash, ord (first
-    wins ties). Equal hash pairs are matched once. Evidence is given for match
-    and review; beyond the review radius no partner is looked for.
+    wins ties). Equal hash pairs are matched once. ``p`` and ``d`` are evidence for every
+    decision, null only without a corpus; a ``no_match`` names no source.
     """
     c = corpus.groupBy(F.col("phash").alias("cp"), F.col("dhash").alias("cd")).agg(
         F.min("ord").alias("ord"), F.min_by("path", "ord").alias("path")
     )
-    t = targets.select(F.col("phash").alias("tp"), F.col("dhash").alias("td")).distinct()
-    near = within(t, c, accept, 3)
-    rest = t.join(near, ["tp", "td"], "left_anti")
-    found = near.unionByName(within(rest, c, review, 4))
+    c = cut_lineage(c.filter("cp IS NOT NULL AND cd IS NOT NULL"))
+    t = targets.select(F.col("phash").alias("tp"), F.col("dhash").alias("td")).filter("tp IS NOT NULL AND td IS NOT NULL").distinct()
+    found = nearest(cut_lineage(t), c)
     decision = F.when(F.col("worst") <= accept, "match").when(F.col("worst") <= review, "review").otherwise("no_match")
     joined = targets.join(found, (F.col("phash") == F.col("tp")) & (F.col("dhash") == F.col("td")), "left")
-    return joined.select("target", decision.alias("decision"), F.col("path").alias("source"), "p", "d")
+    source = F.when(F.col("worst") <= review, F.col("path"))
+    return joined.select("target", decision.alias("decision"), source.alias("source"), "p", "d")
 
 
 def waterfall(attempts: DataFrame) -> DataFrame:

@@ -24,9 +24,21 @@ def can_reach(token: Column, targets: tuple[str, ...], floor: float) -> Column:
     return some
 
 
+def tokens_of(words: DataFrame) -> DataFrame:
+    """Distinct ``word`` with its ``token``.
+
+    The one-element explode keeps the optimizer from writing the token's expression into
+    every use of it, and filters on it from sinking below the de-duplication.
+    """
+    return words.select("word").distinct().select("word", F.explode(F.array(X.norm_token(F.col("word")))).alias("token"))
+
+
 def _docs_with_token(words: DataFrame, key: str, targets: tuple[str, ...], floor: float) -> DataFrame:
     """Keys holding a word at least ``floor`` similar to one of ``targets``."""
-    vocab = words.select("word").distinct().withColumn("token", X.norm_token(F.col("word"))).filter(can_reach(F.col("token"), targets, floor))
+    n, sizes = F.length("token"), [len(t) for t in targets]
+    # The lengths alone allow it: 2 * min / (a + b) >= floor.
+    near = (n * (2 - floor) >= floor * min(sizes)) & (n * floor <= (2 - floor) * max(sizes))
+    vocab = tokens_of(words).filter(near).filter(can_reach(F.col("token"), targets, floor))
     good = vocab.filter(X.best_ratio(targets, floor)(F.col("token")) >= floor).select("word")
     return words.join(good, "word", "left_semi").select(key).distinct()
 

@@ -16,13 +16,12 @@ def matches(t):
 
 MATCH_SQL = """p AS (SELECT target, vec_id, CAST(bit_count(xor(t.phash, c.phash)) AS BIGINT) AS p, CAST(bit_count(xor(t.dhash, c.dhash)) AS BIGINT) AS d FROM v_hash_targets t, v_hashes c),
     b AS (SELECT *, greatest(p, d) AS w, row_number() OVER (PARTITION BY target ORDER BY greatest(p, d), vec_id) AS r FROM p),
-    m AS (SELECT target, CASE WHEN w <= 8 THEN 'match' WHEN w <= 14 THEN 'review' ELSE 'no_match' END AS decision, CASE WHEN w <= 14 THEN vec_id ELSE -1 END AS source,
-      CASE WHEN w <= 14 THEN p ELSE -1 END AS p, CASE WHEN w <= 14 THEN d ELSE -1 END AS d FROM b WHERE r = 1)"""
+    m AS (SELECT target, CASE WHEN w <= 8 THEN 'match' WHEN w <= 14 THEN 'review' ELSE 'no_match' END AS decision, CASE WHEN w <= 14 THEN vec_id END AS source, p, d FROM b WHERE r = 1)"""
 
 
 @query("j01_consensus_match", f"WITH {MATCH_SQL} SELECT * FROM m")
 def j01(t):
-    return matches(t).fillna(-1, ["source", "p", "d"]).withColumns({c: F.col(c).cast("long") for c in ("p", "d")})
+    return matches(t).withColumns({c: F.col(c).cast("long") for c in ("p", "d")})
 
 
 @query(

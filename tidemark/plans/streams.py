@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import runs as R
+from tidemark.plans import views
 from tidemark.plans.registry import query
 from tidemark.streaming import jobs as J
+from tidemark.streaming import keyed as K
+from tidemark.streaming import mirror as M
 
 
 def events(t):
@@ -25,7 +27,9 @@ def st01(t):
     "SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS start_s, event_type, count(*) AS n FROM events GROUP BY ALL",
 )
 def st02(t):
-    out = J.run_available(J.window_counts(events(t), "at", "event_type", "1 day", delay="1 hour"), J.job_dir(t.spark, "st02"), "update")
+    path = J.job_dir(t.spark, "st02")
+    taken = J.accept(events(t), f"{path}/gate", "at", 3600)
+    out = J.run_available(J.window_counts(taken, "at", "event_type", "1 day", delay="1 hour"), path, "update")
     return J.current(out, ["start_s", "event_type"])
 
 
@@ -34,7 +38,9 @@ def st02(t):
     """SELECT CAST(epoch(time_bucket(INTERVAL 6 HOUR, ts)) AS BIGINT) - 21600 * k AS start_s, event_type, count(*) AS n FROM events, (SELECT unnest(range(4)) AS k) r GROUP BY ALL""",
 )
 def st02_sliding(t):
-    out = J.run_available(J.window_counts(events(t), "at", "event_type", "1 day", "6 hours", delay="1 hour"), J.job_dir(t.spark, "st02s"), "update")
+    path = J.job_dir(t.spark, "st02s")
+    taken = J.accept(events(t), f"{path}/gate", "at", 3600)
+    out = J.run_available(J.window_counts(taken, "at", "event_type", "1 day", "6 hours", delay="1 hour"), path, "update")
     return J.current(out, ["start_s", "event_type"])
 
 
@@ -56,33 +62,44 @@ def st03(t):
 
 @query(
     "st04_stuck_timer",
-    f"""WITH {SESSION_SQL.format(gap=900000000)} SELECT user_id, end_us - 900000000 AS since_us FROM s, w WHERE end_us <= mark AND last_op = 'view'""",
+    """WITH g AS (SELECT user_id, event_type, epoch_us(ts) AS us, lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_type) AS after, max(epoch_us(ts)) OVER () AS top FROM events)
+    SELECT user_id, us AS since_us FROM g WHERE event_type = 'view' AND coalesce(after, top + 900000000) - us > 900000000""",
 )
 def st04(t):
+    """Stalls of the log, and those open at its end: the clock stops one limit after the last event."""
     path = J.job_dir(t.spark, "st04")
     taken = J.accept(events(t), f"{path}/gate", "at", 0)
-    return J.run_available(J.stuck_stream(taken, "user_id", "at", "event_type", "view", delay="0 seconds"), path).drop("batch")
+    raised = K.stalls(taken, "user_id", "at", F.col("event_type"), "view", path, J.STUCK_S)
+    top = t("events").agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()[0] or 0
+    still = K.open_stalls(t.spark, path, "user_id", "view", F.lit(top + J.STUCK_S * 1_000_000), J.STUCK_S)
+    return raised.select("user_id", "since_us").unionByName(still)
 
 
 @query(
     "st05_run_liveness",
-    """WITH s AS (SELECT user_id, max(epoch_us(ts)) AS last_us, bool_or(event_type = 'error' AND value > 100) AS st, bool_or(event_type = 'purchase' AND value > 200) AS fi FROM events GROUP BY user_id)
-    SELECT user_id, CASE WHEN st AND fi THEN 'FINISHED' WHEN st THEN 'STOPPED' WHEN (SELECT max(epoch_us(ts)) FROM events) - last_us < 16200000000 THEN 'LIVE' ELSE 'DEAD' END AS state FROM s""",
+    """WITH s AS (SELECT user_id, max(epoch_us(ts)) AS last_us, max(epoch_us(ts)) FILTER (event_type = 'view') AS lock_us, bool_or(event_type = 'error' AND value > 100) AS st, bool_or(event_type = 'purchase' AND value > 200) AS fi FROM events GROUP BY user_id),
+    n AS (SELECT max(epoch_us(ts)) AS now FROM events)
+    SELECT user_id, CASE WHEN st AND fi THEN 'FINISHED' WHEN st THEN 'STOPPED' WHEN now - last_us < 16200000000 AND coalesce(now - lock_us < 16200000000, false) THEN 'LIVE' ELSE 'DEAD' END AS state FROM s, n""",
 )
 def st05(t):
+    """Views are a run's lock being touched; every event is a write."""
+    path = J.job_dir(t.spark, "st05")
+    taken = J.accept(events(t), f"{path}/gate", "at", 0)
     stop = (F.col("event_type") == "error") & (F.col("value") > 100)
     done = (F.col("event_type") == "purchase") & (F.col("value") > 200)
-    seen = J.last_seen(events(t), "user_id", "at", "event_type", stop, done)
-    state = J.current(J.run_available(seen, J.job_dir(t.spark, "st05"), "update"), ["user_id"])
-    now = state.agg(F.max("last_us").alias("now_us"))  # one row
-    return J.liveness(state.join(now), F.col("now_us")).select("user_id", "state")
+    kinds = F.array_compact(F.array(F.lit("write"), F.when(stop, "stop"), F.when(done, "finish")))
+    locks = taken.filter("event_type = 'view'").select("user_id", "at", F.lit(True).alias("alive"))
+    K.run_liveness(locks, taken.select("user_id", "at", F.explode(kinds).alias("kind")), "user_id", path)
+    top = t("events").agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()[0] or 0
+    return K.liveness_now(t.spark, path, "user_id", F.lit(top))
 
 
 @query("st06_dedup_stream", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
 def st06(t):
     e = events(t).select("event_id", "user_id", "at")
-    twice = e.union(e)
-    once = J.run_available(J.dedup_stream(twice, ["event_id"], "at", "1 hour"), J.job_dir(t.spark, "st06"))
+    path = J.job_dir(t.spark, "st06")
+    twice = J.accept(e.union(e), f"{path}/gate", "at", 3600)
+    once = J.run_available(J.dedup_stream(twice, ["event_id"], "at", "1 hour"), path)
     return once.groupBy("user_id").agg(F.count("*").alias("n"))
 
 
@@ -137,11 +154,11 @@ def st09(t):
             F.max(us).alias("last_event"), F.min(us).alias("start"), F.min("event_id").alias("first_seen"),
         )
 
-    empty = t.spark.createDataFrame([], "user_id long, kind string, events long, output_tokens long, last_event long, start long, first_seen long")
-    merge = lambda old, new: R.merge_monotone(old, new, "user_id", ["kind"])
+    schema = "user_id long, kind string, events long, output_tokens long, last_event long, start long, first_seen long"
+    merge = lambda rows, order: M.fold_monotone(rows, "user_id", ["kind"], order)
     odd = F.col("event_id") % 2 == 1
     for path, stream in landing(t, "st09", [e.filter(~odd), e.filter(odd)]):
-        out = J.mirror_stream(stream, f"{path}/mirror", summarise, merge, empty)
+        out = M.mirror_stream(stream, path, summarise, M.KeyedTable(t.spark, f"{path}/mirror", schema, "user_id", merge))
     return out.select("user_id", "kind", "events", "start", "last_event")
 
 
@@ -154,3 +171,19 @@ def st10(t):
     c = events(t).filter("event_type = 'error'").select("user_id", F.col("at").alias("close_at"), F.col("event_id").alias("close_id"))
     out = J.run_available(J.pair_stream(o, c, "user_id", "1 HOUR"), J.job_dir(t.spark, "st10"))
     return out.select("open_id", "close_id")
+
+
+@query(
+    "st10_next_marker",
+    """WITH m AS (SELECT slug, seq, op, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS "at" FROM v_transitions WHERE op IN ('INTAKE', 'REJECT')),
+    l AS (SELECT *, lag(op) OVER w AS po, lag("at") OVER w AS pa FROM m WINDOW w AS (PARTITION BY slug ORDER BY seq))
+    SELECT slug, pa AS s, "at" AS e FROM l WHERE op = 'REJECT' AND po = 'INTAKE'""",
+)
+def st10_next(t):
+    """The log arrives in three appends; each close meets the marker right before it, also across appends."""
+    rows = views.v_transitions(t).select("slug", "seq", "op", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("at"))
+    top = rows.agg(F.max("seq")).first()[0] or 0
+    third = F.floor(F.col("seq") * 3 / (top + 1))
+    for path, stream in landing(t, "st10n", [rows.filter(third == k) for k in range(3)]):
+        out = K.pair_markers(stream, path, "slug", "seq", F.col("op") == "INTAKE", F.col("op") == "REJECT", "at")
+    return out

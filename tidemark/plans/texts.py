@@ -30,14 +30,59 @@ def p09(t):
     return t("documents").select("doc_id", X.credit_exact(F.split("text", "\n")).alias("credit"))
 
 
-@query("p09_credit_fuzzy")
+def similar_sql(name: str, tokens: str, targets: tuple[str, ...], floor: float) -> str:
+    """Definitions that end in ``name(token)``: tokens at least ``floor`` similar to a target.
+
+    Similarity is twice the matched characters over both lengths; matched are the longest
+    common block (earliest in the token, then in the target) and, again, what lies left and
+    right of it. Lengths and shared letters rule most tokens out first.
+    """
+    words = ", ".join(f"('{w}')" for w in targets)
+    block = (
+        "list_max(flatten(list_transform(range(1, len({a}) + 1), lambda i: list_transform(range(1, len({b}) + 1), lambda j: "
+        "{{'n': list_max(list_filter(range(0, least(len({a}) - i, len({b}) - j) + 2), lambda k: substr({a}, i, k) = substr({b}, j, k))), 'i': -i, 'j': -j}}))))"
+    )
+    shared = "list_sum(list_transform(list_distinct(string_split(target, '')), lambda c: least(len(token) - len(replace(token, c, '')), len(target) - len(replace(target, c, '')))))"
+    return f"""{name}_c AS (SELECT DISTINCT token, target FROM {tokens}, (VALUES {words}) AS w(target)
+      WHERE token <> '' AND 2.0 * least(len(token), len(target)) / (len(token) + len(target)) >= {floor} AND 2.0 * {shared} / (len(token) + len(target)) >= {floor}),
+    {name}_s AS (SELECT token, target, token AS a, target AS b, {block.format(a="token", b="target")} AS m FROM {name}_c
+      UNION ALL SELECT token, target, x.a, x.b, {block.format(a="x.a", b="x.b")}
+      FROM (SELECT token, target, unnest([{{'a': substr(a, 1, -m.i - 1), 'b': substr(b, 1, -m.j - 1)}}, {{'a': substr(a, m.n - m.i), 'b': substr(b, m.n - m.j)}}]) AS x FROM {name}_s WHERE m.n > 0) y
+      WHERE len(x.a) > 0 AND len(x.b) > 0),
+    {name} AS (SELECT DISTINCT token FROM (SELECT token, target, sum(m.n) AS n FROM {name}_s GROUP BY ALL) z WHERE 2.0 * n / (len(token) + len(target)) >= {floor})"""
+
+
+TOKEN_SQL = r"regexp_replace(upper({0}), '[^\p{{L}}\p{{N}}]', '', 'g')"
+PLANTED_SQL = "text || CASE doc_id % 50 WHEN 7 THEN ' devlantarl' WHEN 11 THEN ' art-statlon' WHEN 13 THEN ' behamcee.' WHEN 17 THEN ' LEAGVES' WHEN 19 THEN ' lagends!' WHEN 23 THEN ' legendary' ELSE '' END"
+WORDS_SQL = f"""p AS (SELECT doc_id, {PLANTED_SQL} AS text FROM documents), o AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\\s+')) AS word FROM p),
+    t AS (SELECT DISTINCT word, {TOKEN_SQL.format("word")} AS token FROM (SELECT DISTINCT word FROM o) u)"""
+EXACT_SQL = r"\.com|\.net|\.org|\.io|www|http|://|artstation|deviantart|uhdpaper|patreon|pixiv|instagram|behance|twitter|wallhaven|deviant|@[a-z0-9_][a-z0-9_]"
+
+
+def garbled(t):
+    """Texts with garbled hosts and wordmarks added, some similar enough and some not."""
+    k = F.col("doc_id") % 50
+    word = F.when(k == 7, " devlantarl").when(k == 11, " art-statlon").when(k == 13, " behamcee.").when(k == 17, " LEAGVES").when(k == 19, " lagends!").when(k == 23, " legendary").otherwise("")
+    return t("documents").select("doc_id", F.concat("text", word).alias("text"))
+
+
+@query(
+    "p09_credit_fuzzy",
+    f"""WITH RECURSIVE {WORDS_SQL}, {similar_sql("g", "t", X.CREDIT_HOSTS, 0.7)}
+    SELECT doc_id, regexp_matches(lower(text), '{EXACT_SQL}') OR doc_id IN (SELECT doc_id FROM o JOIN t USING (word) JOIN g USING (token)) AS credit FROM p WHERE text IS NOT NULL""",
+)
 def p09_fuzzy(t):
-    return wording.fuzzy_credit(t("documents").select("doc_id", "text"), "doc_id", "text")
+    return wording.fuzzy_credit(garbled(t).filter("text IS NOT NULL"), "doc_id", "text")
 
 
-@query("p10_keep_wordmark")
+@query(
+    "p10_keep_wordmark",
+    f"""WITH RECURSIVE {WORDS_SQL}, j AS (SELECT doc_id, {TOKEN_SQL.format("text")} AS token FROM p WHERE text IS NOT NULL), {similar_sql("g", "t", X.KEEP_WORDS, 0.7)},
+    {similar_sql("h", f"(SELECT token FROM j WHERE len(token) <= {3 * len(X.KEEP_TARGET)}) s", (X.KEEP_TARGET,), 0.5)}
+    SELECT doc_id, token IN (SELECT token FROM h) OR (contains(token, 'LEAGUE') AND contains(token, 'LEGENDS')) OR doc_id IN (SELECT doc_id FROM o JOIN t USING (word) JOIN g USING (token)) AS keep FROM j""",
+)
 def p10(t):
-    return wording.keep_wordmark(t("documents").select("doc_id", "text"), "doc_id", "text")
+    return wording.keep_wordmark(garbled(t).filter("text IS NOT NULL"), "doc_id", "text")
 
 
 @query(

@@ -73,19 +73,6 @@ def quiet_sessions(stream: DataFrame, key: str, at: str, gap: str, extra: dict[s
     return g.select(key, *cols, "n", *(extra or {}))
 
 
-def stuck_stream(stream: DataFrame, key: str, at: str, op: str, working: str, limit_s: int = STUCK_S, *, delay: str) -> DataFrame:
-    """Raised once per stall: the key went quiet for the limit while its last op was ``working``."""
-    s = quiet_sessions(stream, key, at, f"{limit_s} seconds", {"last_op": F.max_by(op, at)}, delay=delay)
-    return s.filter(F.col("last_op") == working).select(key, (F.col("end_us") - limit_s * 1_000_000).alias("since_us"))
-
-
-def last_seen(stream: DataFrame, key: str, at: str, op: str, stop: Column, finished: Column) -> DataFrame:
-    """Per run: newest write, whether a stop was seen and whether it marked a finish."""
-    return stream.groupBy(key).agg(
-        F.max(F.unix_micros(at)).alias("last_us"), F.bool_or(stop).alias("stopped"), F.bool_or(finished).alias("finished")
-    )
-
-
 def liveness(state: DataFrame, now_us: Column, stale_s: int = STALE_S, lock_us: Column | None = None, lock_stale_s: int = STALE_S) -> DataFrame:
     """A stop outranks all and reads FINISHED on its marker; LIVE needs fresh writes and, where locks are known, a fresh lock.
 
@@ -165,21 +152,3 @@ def spend_ceiling(stream: DataFrame, path: str, amount: Column, seq: str, limit:
 
     feed(stream, path, handle)
     return spark.read.schema("spent double, total double, stop_at long, batch long").parquet(f"{path}/ledger")
-
-
-def mirror_stream(stream: DataFrame, path: str, summarise, merge, empty: DataFrame) -> DataFrame:
-    """Monotone mirror: each batch is summarised and merged into a new version of the table."""
-    spark = stream.sparkSession
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        old = spark.read.schema(empty.schema).parquet(f"{path}/v={batch_id - 1}") if batch_id else empty
-        merge(old, summarise(batch)).select(empty.columns).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-
-    feed(stream, path, handle)
-    return spark.read.schema(empty.schema).parquet(f"{path}/v={_last_batch(spark, path)}")
-
-
-def _last_batch(spark: SparkSession, path: str) -> int:
-    """Number of the last committed batch, from the folders of the table."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
-    return listing.select(F.regexp_extract("path", r"/v=(\d+)/", 1).cast("int").alias("v")).agg(F.max("v")).first()[0]
