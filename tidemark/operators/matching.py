@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.hashing import hamming
+from tidemark.operators.bits import KeyBits
 from tidemark.operators.ordered import numbered
 from tidemark.operators.quantiles import exact_percentiles
 from tidemark.session import cut_lineage
@@ -40,10 +41,11 @@ def _variants(h: np.ndarray, offset: int, width: int, flips: int) -> np.ndarray:
     return part[:, None] ^ np.array(masks, np.int64)
 
 
-def slice_index(rows: DataFrame, p: str, d: str, flips: int = 0) -> DataFrame:
+def slice_index(rows: DataFrame, p: str, d: str, flips: int = 0, known: KeyBits | None = None) -> DataFrame:
     """Rows with ``_key``: one for every slice of one hash with a slice of the other, and for every way to flip bits in the two.
 
-    With both hashes in the key, rows that agree in one of them only don't meet.
+    With both hashes in the key, rows that agree in one of them only don't meet. Keys that
+    ``known`` rules out are not made into rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,8 +54,11 @@ def slice_index(rows: DataFrame, p: str, d: str, flips: int = 0) -> DataFrame:
             for i, x in enumerate(sides[0]):
                 for j, y in enumerate(sides[1]):
                     key = (((i * SLICES + j) << 32) | (x[:, :, None] << 16) | y[:, None, :]).reshape(len(x), -1)
-                    out = batch.take(pa.array(np.repeat(np.arange(len(key)), key.shape[1])))
-                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(key.ravel())], names=[*batch.schema.names, "_key"])
+                    at, key = np.repeat(np.arange(len(key)), key.shape[1]), key.ravel()
+                    if known is not None:
+                        use = known.has(key)
+                        at, key = at[use], key[use]
+                    yield pa.RecordBatch.from_arrays([*batch.take(pa.array(at)).columns, pa.array(key)], names=[*batch.schema.names, "_key"])
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("_key", LongType())]))
 
@@ -101,9 +106,12 @@ def nearest(targets: DataFrame, corpus: DataFrame, block: int = BLOCK) -> DataFr
     Inputs: tp, td | cp, cd, ord, path, one row per distinct hash pair.
     """
     index = slice_index(corpus, "cp", "cd")
+    known = KeyBits(index, "_key")
     done, rest = None, targets
+    spread = targets.sparkSession.sparkContext.defaultParallelism
     for flips in FLIPS:
-        probes = slice_index(rest, "tp", "td", flips)
+        # A few small rows turn into thousands of probes each: keep every core on them.
+        probes = slice_index(rest.repartition(spread, "tp", "td"), "tp", "td", flips, known)
         met = probes.join(index, "_key").select("tp", "td", "ord", "path", hamming("tp", "cp").alias("p"), hamming("td", "cd").alias("d"))
         bound = SLICES * (flips + 1)
         found = cut_lineage(_best(met.filter((F.col("p") < bound) & (F.col("d") < bound))))

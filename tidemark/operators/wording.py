@@ -38,6 +38,7 @@ def _docs_with_token(words: DataFrame, key: str, targets: tuple[str, ...], floor
     n, sizes = F.length("token"), [len(t) for t in targets]
     # The lengths alone allow it: 2 * min / (a + b) >= floor.
     near = (n * (2 - floor) >= floor * min(sizes)) & (n * floor <= (2 - floor) * max(sizes))
+    words = words.filter(F.length("word") * (2 - floor) >= floor * min(sizes))  # a token is no longer than its word
     vocab = tokens_of(words).filter(near).filter(can_reach(F.col("token"), targets, floor))
     good = vocab.filter(X.best_ratio(targets, floor)(F.col("token")) >= floor).select("word")
     return words.join(good, "word", "left_semi").select(key).distinct()
