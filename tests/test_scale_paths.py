@@ -14,7 +14,7 @@ from tidemark.operators import matching as M
 from tidemark.operators import rasters as R
 from tidemark.operators import runs
 from tidemark.operators.ordered import before, latest, numbered, previous
-from tidemark.operators.quantiles import exact_percentiles
+from tidemark.operators.quantiles import exact_percentiles, percentiles
 
 
 @pytest.fixture(scope="module")
@@ -59,13 +59,13 @@ def test_segment_runs_over_blocks(spark):
     assert got == [1, 1, 1, 1, 2, 3, 3]
 
 
-@pytest.mark.parametrize("accuracy", [100, 10_000])
-def test_exact_percentiles(spark, accuracy):
+@pytest.mark.parametrize("digit", [11, 22])
+def test_exact_percentiles(spark, digit):
     rng = np.random.default_rng(3)
     a = np.concatenate([rng.normal(size=4000), np.full(3000, 0.25)])
     pdf = pd.DataFrame({"g": ["hot"] * len(a) + ["tiny"] * 3, "v": [*a, 1.0, 2.0, 9.0]})
     ps = {"p0": 0.0, "p05": 0.05, "p50": 0.5, "p90": 0.9, "p95": 0.95, "p100": 1.0}
-    got = {r.g: r for r in exact_percentiles(spark.createDataFrame(pdf), ["g"], "v", ps, accuracy).collect()}
+    got = {r.g: r for r in exact_percentiles(spark.createDataFrame(pdf), ["g"], "v", ps, digit).collect()}
     for g, vals in (("hot", a), ("tiny", np.array([1.0, 2.0, 9.0]))):
         for n, p in ps.items():
             assert got[g][n] == pytest.approx(np.percentile(vals, p * 100), abs=1e-12), (g, n)
@@ -231,3 +231,57 @@ def test_nested_order_without_session_settings(spark):
     finally:
         spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     assert got == [1, 1, 1, 1, 2, 3, 3]
+
+
+def test_large_groups_merge_and_fill_alike():
+    """Thousands of boxes of one asset, and groups that no straight cut can part."""
+    rng = np.random.default_rng(3)
+    low = rng.integers(0, 3000, (4000, 2))
+    box = np.column_stack([low, low + rng.integers(1, 40, (4000, 2))]).astype(float)
+    pinwheel = np.array([[0, 0, 6, 2], [5, 3, 7, 9], [1, 8, 4, 11], [-3, 1, -1, 10.0], [-9, 4, -4, 20]])
+    group, merged = B.envelopes(np.concatenate([np.zeros(4000, int), np.ones(5, int)]), np.concatenate([box, pinwheel]))
+    for g, want in ((0, box), (1, pinwheel)):
+        done = [list(b) for b in want]
+        again = True
+        while again:
+            again = False
+            out = []
+            for b in done:
+                hit = [m for m in out if b[0] < m[2] and m[0] < b[2] and b[1] < m[3] and m[1] < b[3]]
+                again |= bool(hit)
+                out = [m for m in out if m not in hit] + [[min(b[0], *[m[0] for m in hit]), min(b[1], *[m[1] for m in hit]), max(b[2], *[m[2] for m in hit]), max(b[3], *[m[3] for m in hit])] if hit else b]
+            done = out
+        assert sorted(map(tuple, merged[group == g].tolist())) == sorted(map(tuple, done))
+    x0, y0, x1, y1 = (np.minimum(c, 256).astype(np.int64) for c in box[:300].T)
+    d = np.repeat([1, -1, -1, 1], 300)
+    area = B.covered_cells(np.zeros(1200, int), np.concatenate([x0, x1, x0, x1]), np.concatenate([y0, y0, y1, y1]), d)
+    pixels = np.zeros((256, 256), bool)
+    for a, b, c, e in zip(x0, y0, x1, y1):
+        pixels[b:e, a:c] = True
+    assert area.tolist() == [pixels.sum()]
+
+
+def test_owners_are_counted_once(spark):
+    rows = [("a", 0, 10), ("a", 5, 15), ("b", 12, 20), (None, 13, 14), ("", 13, 14), ("c", 20, 21), ("a", 30, 31)]
+    d = spark.createDataFrame(rows, "who string, s long, e long")
+    got = {r.t: (r.n, r.owners) for r in runs.occupancy(d, "who", block=4).collect()}
+    for t in {x for _, s, e in rows for x in (s, e)}:
+        held = [who for who, s, e in rows if s <= t < e]
+        assert got[t] == (len(held), len({w for w in held if w})), t
+    assert tuple(runs.peak_concurrency(d, "who").first()) == (4, 11, 3, 2)
+
+
+def test_percentiles_of_columns_keys_and_total(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"k": rng.choice(["a", "a", "a", "b", None], 3000), "u": 1.7e9 + rng.random(3000), "w": rng.choice([-0.0, 0.0, -1e-300, -5.5, 3.0, 1e300], 3000)})
+    pdf.loc[::7, "w"] = np.nan
+    d = spark.createDataFrame(pdf).withColumn("w", F.nanvl("w", F.lit(None).cast("double")))
+    wanted = {"u": {"u50": 0.5, "u05": 0.05}, "w": {"w50": 0.5, "w95": 0.95}}
+    got = {(r._all, r.k): r for r in percentiles(d, ["k"], wanted, total=True).collect()}
+    assert set(got) == {(True, None), (False, None), (False, "a"), (False, "b")}
+    for (every, k), r in got.items():
+        some = pdf if every else pdf[pdf["k"].isna()] if k is None else pdf[pdf["k"] == k]
+        for c, n, p in (("u", "u50", 50), ("u", "u05", 5), ("w", "w50", 50), ("w", "w95", 95)):
+            assert r[n] == pytest.approx(np.percentile(some[c].dropna(), p), rel=1e-15), (every, k, n)
+    plan = percentiles(d, ["k"], wanted)._jdf.queryExecution().toString()
+    assert "percentile_approx" not in plan

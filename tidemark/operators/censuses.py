@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.quantiles import exact_percentiles
+from tidemark.operators.quantiles import exact_percentiles, percentiles
 
 # Regression tolerances, metric direction, band fallback.
 EPSILON = {"msssim": 0.01, "lpips": 0.02, "halo_pct": 0.02}
@@ -76,13 +76,11 @@ def regress(baseline: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
 
 def build_bands(df: DataFrame, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Median and band of level and ratio per key, plus a ``_default`` row over all keys."""
-    both = df.select("key", "level", "ratio").unionByName(df.select(F.lit("_default").alias("key"), "level", "ratio"))
-    n = both.groupBy("key").agg(F.count("*").alias("n"))
-    out = n
-    for col in ("level", "ratio"):
-        ps = {f"{col}_median": 0.5, f"{col}_lo": low, f"{col}_hi": high}
-        out = out.join(exact_percentiles(both, ["key"], col, ps), "key", "left")
-    return out
+    wanted = {c: {f"{c}_median": 0.5, f"{c}_lo": low, f"{c}_hi": high} for c in ("level", "ratio")}
+    marks = percentiles(df, ["key"], wanted, total=True).withColumn("_key", F.when(F.col("_all"), "_default").otherwise(F.col("key"))).drop("key", "_all")
+    per = df.groupBy("key").agg(F.count("*").alias("n"))
+    n = per.unionByName(per.agg(F.sum("n").alias("n")).filter("n IS NOT NULL").withColumn("key", F.lit("_default")))
+    return n.join(marks, F.col("key").eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def band_for(requests: DataFrame, bands: DataFrame, min_n: int = 5) -> DataFrame:

@@ -160,17 +160,33 @@ def overlap_summary(a: DataFrame, b: DataFrame, block: int = 1 << 20) -> DataFra
     )
 
 
-def occupancy(intervals: DataFrame, block: int = 1 << 20) -> DataFrame:
-    """Number of open intervals after each moment something changed."""
-    ev = intervals.select(F.explode(F.array(F.struct(F.col("s").alias("t"), F.lit(1).alias("d")), F.struct(F.col("e").alias("t"), F.lit(-1).alias("d")))).alias("x"))
-    pts = ev.groupBy(F.col("x.t").alias("t")).agg(F.sum("x.d").alias("d"))
-    return before(pts, [], "t", sums={"n": F.col("d")}, block=block).select("t", (F.col("n") + F.col("d")).alias("n"))
+def occupancy(intervals: DataFrame, owner: str | None = None, block: int = 1 << 20) -> DataFrame:
+    """Number of open intervals after each moment something changed; with ``owner`` also how many owners hold one.
 
-
-def peak_concurrency(intervals: DataFrame, owners: DataFrame | None = None) -> DataFrame:
-    """Peak number of open intervals; and moments at which several owners hold one."""
-    peak = occupancy(intervals).agg(F.max("n").alias("peak"), F.count("*").alias("samples"))
-    return peak
+    Owners are folded in two levels: an owner's own intervals first become its steps from
+    holding none to holding some and back, then the steps of all owners are added up. A null
+    or empty owner holds its slots, but is nobody.
+    """
+    ends = F.array(F.struct(F.col("s").alias("t"), F.lit(1).alias("d")), F.struct(F.col("e").alias("t"), F.lit(-1).alias("d")))
+    ev = intervals.select(*([owner] if owner else []), F.explode(ends).alias("x"))
+    if owner is None:
+        pts = ev.groupBy(F.col("x.t").alias("t")).agg(F.sum("x.d").alias("d"), F.lit(0).alias("step"))
+    else:
+        own = before(ev.groupBy(owner, F.col("x.t").alias("t")).agg(F.sum("x.d").alias("d")), [owner], "t", sums={"held": F.col("d")}, block=block)
+        step = (F.col("held") + F.col("d") > 0).cast("int") - (F.col("held") > 0).cast("int")
+        somebody = F.coalesce(F.col(owner).cast("string") != "", F.lit(False))
+        pts = own.groupBy("t").agg(F.sum("d").alias("d"), F.sum(F.when(somebody, step).otherwise(0)).alias("step"))
+    out = before(pts, [], "t", sums={"n": F.col("d"), "owners": F.col("step")}, block=block)
+    return out.select("t", (F.col("n") + F.col("d")).alias("n"), *([(F.col("owners") + F.col("step")).alias("owners")] if owner else []))
+
+
+def peak_concurrency(intervals: DataFrame, owner: str | None = None) -> DataFrame:
+    """Peak number of open intervals over the moments at which something changed.
+
+    With ``owner``: also the moments at which several owners hold one (``shared``) and the most owners at once.
+    """
+    more = [F.count_if(F.col("owners") > 1).alias("shared"), F.max("owners").alias("most_owners")] if owner else []
+    return occupancy(intervals, owner).agg(F.max("n").alias("peak"), F.count("*").alias("samples"), *more)
 
 
 def merge_monotone(old: DataFrame, new: DataFrame, key: str, static: list[str]) -> DataFrame:

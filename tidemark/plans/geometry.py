@@ -144,7 +144,17 @@ def p45(t):
     )
 
 
-@query("a32_connected_boxes")
+@query(
+    "a32_connected_boxes",
+    """WITH RECURSIVE b AS (SELECT DISTINCT asset, CAST(x0 AS DOUBLE) AS x0, y0, CAST(x1 AS DOUBLE) AS x1, y1 FROM v_boxes WHERE x0 < x1 AND y0 < y1),
+    n AS (SELECT asset, row_number() OVER (PARTITION BY asset ORDER BY x0, y0, x1, y1) AS id, x0, y0, x1, y1, true AS moved, 0 AS step FROM b),
+    r AS (SELECT * FROM n UNION ALL
+      SELECT asset, id, x0, y0, x1, y1, bool_or(grown) OVER (PARTITION BY asset) AS moved, step + 1 FROM
+        (SELECT a.asset, a.id, min(c.x0) AS x0, min(c.y0) AS y0, max(c.x1) AS x1, max(c.y1) AS y1, min(c.x0) < a.x0 OR min(c.y0) < a.y0 OR max(c.x1) > a.x1 OR max(c.y1) > a.y1 AS grown, a.step
+         FROM r a JOIN r c ON a.asset = c.asset AND a.x0 < c.x1 AND c.x0 < a.x1 AND a.y0 < c.y1 AND c.y0 < a.y1 WHERE a.moved
+         GROUP BY a.asset, a.id, a.x0, a.y0, a.x1, a.y1, a.step) g)
+    SELECT DISTINCT asset, x0, y0, x1, y1 FROM (SELECT *, max(step) OVER (PARTITION BY asset) AS last FROM r) f WHERE step = last""",
+)
 def a32(t):
     return B.merge_components(views.v_boxes(t), "asset")
 

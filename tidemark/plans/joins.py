@@ -27,10 +27,13 @@ def j13(t):
 @query(
     "a26_peak_concurrency",
     """WITH p AS (SELECT t, sum(d) AS d FROM (SELECT s AS t, 1 AS d FROM v_intervals UNION ALL SELECT e, -1 FROM v_intervals) x GROUP BY t),
-    r AS (SELECT sum(d) OVER (ORDER BY t) AS n FROM p) SELECT CAST(max(n) AS BIGINT) AS peak, count(*) AS samples FROM r""",
+    r AS (SELECT t, sum(d) OVER (ORDER BY t) AS n FROM p), w AS (SELECT id, s, e, CASE WHEN owner LIKE '5%' THEN NULL ELSE owner || '-' || id % 40 END AS owner FROM v_intervals),
+    o AS (SELECT p.t, count(DISTINCT owner) AS k FROM p LEFT JOIN w ON s <= p.t AND p.t < e GROUP BY p.t)
+    SELECT CAST(max(n) AS BIGINT) AS peak, count(*) AS samples, count(*) FILTER (k > 1) AS shared, max(k) AS most_owners FROM r JOIN o USING (t)""",
 )
 def a26(t):
-    return R.peak_concurrency(views.v_intervals(t))
+    who = F.when(~F.col("owner").startswith("5"), F.concat_ws("-", "owner", (F.col("id") % 40).cast("string")))
+    return R.peak_concurrency(views.v_intervals(t).withColumn("owner", who), "owner")
 
 
 HELD_SQL = """p AS (SELECT page_id, CASE WHEN path = '' THEN NULL ELSE rtrim(path, '/') END AS key, 'a' || page_id % 7 AS agent, page_id % 40 AS request FROM v_paths),

@@ -48,6 +48,6 @@ def expand(sql: str) -> str:
         return sql
     heads = ",\n".join(f"{v} AS ({views.SQL[v]})" for v in needed)
     body = sql.strip()
-    if re.match(r"(?i)with\b", body):
-        return f"WITH {heads},\n{body[4:].lstrip()}"
+    if start := re.match(r"(?i)with(\s+recursive)?\b", body):
+        return f"{start.group(0)} {heads},\n{body[start.end():].lstrip()}"
     return f"WITH {heads}\n{body}"
