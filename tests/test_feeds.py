@@ -160,3 +160,38 @@ def test_triage_round_trip_takes_the_last_row(spark, tmp_path):
     for half in (rows.filter("seq = 2"), rows.filter("seq = 1")):
         manifests.write_triage(half, str(tmp_path / "t"))
     assert {r.slug: r.verdict for r in manifests.read_triage(spark, str(tmp_path / "t")).collect()} == {"a": "auto", "b": "clean"}
+
+
+def test_only_changed_files_are_opened(spark, tmp_path):
+    import hashlib
+
+    folder, seen = tmp_path / "in", tmp_path / "seen"
+    folder.mkdir(), seen.mkdir()
+    for name in ("a", "b", "c d%20", "e"):
+        (folder / f"{name}.png").write_bytes(name.encode() * 700_000)
+
+    def opener(path, log=str(seen)):
+        import os
+        import uuid
+
+        with open(os.path.join(log, uuid.uuid4().hex), "w") as out:
+            out.write(path)
+        if path.endswith("e.png"):
+            raise OSError("unreadable")
+        return manifests.open_file(path)
+
+    def scan(cache):
+        rows = manifests.scan_changed(manifests.list_assets(spark, str(folder)), cache, lambda d: manifests.hash_files(d, opener)).collect()
+        opened = sorted(p.read_text().rsplit("/", 1)[1] for p in seen.iterdir())
+        for p in seen.iterdir():
+            p.write_text("/")
+        return rows, [o for o in opened if o]
+
+    none = spark.createDataFrame([], "path string, mtime long, size long, sha string")
+    rows, opened = scan(none)
+    assert len(opened) == 4 and {r.sha for r in rows} == {hashlib.sha256(n.encode() * 700_000).hexdigest() for n in ("a", "b", "c d%20")}
+    cache = spark.createDataFrame([(r.path, r.mtime, r.size, r.sha) for r in rows], none.schema)
+    (folder / "b.png").write_text("longer")
+    rows, opened = scan(cache)
+    assert opened == ["b.png", "e.png"]
+    assert sorted((r.path.rsplit("/", 1)[1][:1], r.cached) for r in rows) == [("a", True), ("b", False), ("c", True)]

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import sign_hash
@@ -138,10 +138,15 @@ def v_intervals(t: Tables) -> DataFrame:
     )
 
 
+def file_path() -> Column:
+    """Where a document lies as a file."""
+    return F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+
+
 def v_files(t: Tables) -> DataFrame:
     return t("documents").select(
         "doc_id",
-        F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"),
+        file_path().alias("path"),
         "source",
         "lang",
         F.col("n_chars").alias("size"),
