@@ -125,9 +125,18 @@ def test_leaks(spark):
         ITEMS[0][:60],
         f"{FILL}.\n{ITEMS[2]} {FILL} {ITEMS[0]}",
         f"{FILL}. {ITEMS[0]} " * 400,
+        " ".join(ITEMS[0].split()[:12]),
+        f"{FILL} only FOUR words, here. {FILL}",
+        f"{FILL} only four new words here {FILL}",
     ]
-    assert found(spark, texts) >= {(0, 0), (1, 0), (4, 1), (9, 0), (9, 2), (10, 0)}
-    assert found(spark, texts) <= {(0, 0), (1, 0), (2, 0), (4, 1), (9, 0), (9, 2), (10, 0)}
+    # A passage of 13 tokens (8) is a leak and one of 12 (11) is not; short items are found inside texts.
+    assert found(spark, texts) == {(0, 0), (1, 0), (2, 0), (4, 1), (5, 1), (8, 0), (9, 0), (9, 2), (10, 0), (12, 1)}
+
+
+def test_short_items_need_their_very_words(spark):
+    items = ["in 1990", "Paris", "12 km away", "two words"]
+    texts = ["It was in 1990, they say", "It was in 1991", "PARIS!", "He lives in Rome", "Just 12 km away from here", "13 km away", "two", "words two", ""]
+    assert found(spark, texts, items) == {(0, 0), (2, 1), (4, 2)}
 
 
 def test_slots_must_agree(spark):

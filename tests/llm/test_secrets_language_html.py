@@ -151,3 +151,16 @@ def test_nothing_but_the_element_is_cut():
     assert said("<p>a</p><script>no <p>no") == ["a"]
     assert said("<p>a<iframe src=x>no</iframe> b</p><textarea>no<p>no</textarea ><p>c") == ["a b", "c"]
     assert said("<p>a <svg><p>no") == ["a"]
+
+
+def test_stored_ledger_grows_by_what_is_new(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    first = docs(spark, plain(SECRETS))
+    n = secret_scan.update_ledger(first, path).count()
+    assert n == 3 * len({t or "" for t in SECRETS})
+    assert secret_scan.update_ledger(first.union(first), path).count() == n
+    more = docs(spark, plain([*SECRETS, "token = zzzzzzzz9 at last"]))
+    book = secret_scan.update_ledger(more, path)
+    assert book.count() == n + 3
+    assert rows(secret_scan.digest_spans(secret_scan.located(more, book)), "doc_id", "spans") == rows(secret_scan.digest_spans(secret_scan.find_secrets(more)), "doc_id", "spans")
+    assert secret_scan.update_ledger(docs(spark, []), str(tmp_path / "none")).count() == 0

@@ -50,6 +50,22 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return df.mapInArrow(run, schema)
 
 
+#: Holds the columns that an operator only passes on, so that none of its own names can clash with them.
+REST = "_tidemark_rest"
+
+
+def sheltered(df: DataFrame, needs: tuple[str, ...], new: tuple[str, ...], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``operator`` over the columns it ``needs``; all others are out of its sight and come back as they were.
+
+    Columns of ``df`` named like ``new`` ones are replaced.
+    """
+    others = [c for c in df.columns if c not in (*needs, *new)]
+    packed = df.select(*needs, F.struct(*[F.col(f"`{c}`") for c in others]).alias(REST)) if others else df.select(*needs)
+    out = operator(packed)
+    back = [F.col(REST)[c].alias(c) if c in others else F.col(c) for c in df.columns if c not in new]
+    return out.select(*back, *new)
+
+
 def on_disk(df: DataFrame) -> DataFrame:
     """Keep a result that several branches read; lost parts are computed anew from their lineage."""
     return df.persist(StorageLevel.DISK_ONLY)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import on_disk, table
+from tidemark.llm.common import bit_map, on_disk, sheltered, table
 
 WINDOW = 5
 COVER = 0.8
@@ -29,8 +29,6 @@ COVER = 0.8
 RUN = 13
 #: Alignments at most so many tokens apart are also judged as one occurrence.
 GAP = 4
-#: Bits of the prefilter that travels with the tasks: a fixed size, however large the benchmark.
-FILTER_BITS = 22
 #: Words a task remembers; beyond that it starts anew, with the same results.
 REMEMBERED = 1 << 20
 
@@ -109,48 +107,55 @@ class Templates:
             self.folded, self.counted = self.code, self.slot.copy()
             self.code = np.where(hit, _SLOT[kind], self.code)
             self.slot |= hit
+        self.plain = words.code[ids]
         self.ids, self.bare = ids, words.bare
         self.sizes = np.bincount(self.text, minlength=len(split))
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Start, length, hash and kind of every window; a text of fewer tokens is one window of its own kind.
+    def windows(self, short: tuple[int, ...] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Start, length, hash and kind of every window.
 
-        Kind 0 has names as slots; kind 1 has them as lower-case words, for windows that hold any.
+        Kind 0 has names as slots; kind 1 has them as lower-case words, for windows that hold
+        any. Kind 2 has no slots and fewer than ``WINDOW`` tokens: at the lengths given, or
+        else every text that is no longer.
         """
-        at, size, value = self._hashed(self.code)
-        other = self._hashed(self.folded)[2]
+        at, value = self._hashed(self.code, WINDOW)
+        other = self._hashed(self.folded, WINDOW)[1]
         named = np.flatnonzero(other != value)
-        kind = np.repeat([0, 1], [len(at), len(named)])
-        return np.append(at, at[named]), np.append(size, size[named]), np.append(value, other[named]), kind
-
-    def _hashed(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        n = len(code)
-        whole = np.zeros(max(0, n - WINDOW + 1), np.uint64)
-        for j in range(WINDOW):
-            whole = _mix(whole * np.uint64(0x9E3779B97F4A7C15) + code[j : n - WINDOW + 1 + j]) if len(whole) else whole
-        at = np.flatnonzero(self.text[: len(whole)] == self.text[WINDOW - 1 :]) if len(whole) else np.zeros(0, np.int64)
-        size, value = np.full(len(at), WINDOW), whole[at]
-        for t in np.flatnonzero((self.sizes > 0) & (self.sizes < WINDOW)):
-            h = np.uint64(self.sizes[t])
-            for c in code[self.starts[t] : self.starts[t] + self.sizes[t]]:
-                h = _mix(np.array([h], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + c)[0]
-            at, size, value = np.append(at, self.starts[t]), np.append(size, self.sizes[t]), np.append(value, h)
-        return at, size, value
+        out = [(at, WINDOW, value, 0), (at[named], WINDOW, other[named], 1)]
+        for n in range(1, WINDOW) if short is None else short:
+            at, value = self._hashed(self.plain, n)
+            if short is None:
+                whole = self.sizes[self.text[at]] == n
+                at, value = at[whole], value[whole]
+            out.append((at, n, value, 2))
+        return tuple(np.concatenate([np.full(len(o[0]), o[k]) if np.isscalar(o[k]) else o[k] for o in out]) for k in range(4))
+
+    def _hashed(self, code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        n = len(code) - size + 1
+        if n < 1:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        whole = np.full(n, 0 if size == WINDOW else size, np.uint64)
+        for j in range(size):
+            whole = _mix(whole * np.uint64(0x9E3779B97F4A7C15) + code[j : n + j])
+        at = np.flatnonzero(self.text[:n] == self.text[size - 1 :])
+        return at, whole[at]
 
     def filled(self, at: int, size: int, kind: int) -> list[str]:
+        if kind == 2:
+            return []
         slot = self.counted if kind else self.slot
         return [self.bare[self.ids[i]].decode("utf-8", "replace") for i in range(at, at + size) if slot[i]]
 
 
-ROWS = "id long, mark long, n int, pos int, hash long, slots array<string>"
+ROWS = "id long, mark long, n int, pos int, size int, hash long, slots array<string>"
 
 
-def windows(rows: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
-    """Windows ``(id, mark, n, pos, hash, slots)`` of ``rows(id, mark, text)``, those the filter lets through.
+def windows(rows: DataFrame, wanted: np.ndarray | None = None, short: tuple[int, ...] | None = None) -> DataFrame:
+    """Windows ``(id, mark, n, pos, size, hash, slots)`` of ``rows(id, mark, text)``, those the filter lets through.
 
     ``n`` is how many windows the text has, ``pos`` the window's place among them. A window
-    that holds names has two rows, with and without names as slots.
+    that holds names has two rows, with and without names as slots. ``short``: see ``Templates.windows``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,16 +164,16 @@ def windows(rows: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
             if len(words) > REMEMBERED:
                 words = Words()
             made = Templates(batch.column(2).to_pylist(), words)
-            at, size, value, kind = made.windows()
-            count = np.bincount(made.text[at[kind == 0]], minlength=batch.num_rows) if len(at) else np.zeros(batch.num_rows, np.int64)
+            at, size, value, kind = made.windows(short)
+            count = np.bincount(made.text[at[kind != 1]], minlength=batch.num_rows) if len(at) else np.zeros(batch.num_rows, np.int64)
             hit = np.arange(len(at)) if wanted is None else np.flatnonzero(wanted[(value & np.uint64(len(wanted) - 1)).astype(np.int64)])
             where = made.text[at[hit]] if len(hit) else np.zeros(0, np.int64)
             take = pa.array(where, pa.int64())
             marked = np.concatenate([[0], np.cumsum(made.slot)])
             slots = [made.filled(a, s, k) if marked[a + s] > marked[a] else [] for a, s, k in zip(at[hit], size[hit], kind[hit])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(count[where], pa.int32()), pa.array(at[hit] - made.starts[where], pa.int32()), pa.array(value[hit].view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
-                names=["id", "mark", "n", "pos", "hash", "slots"],
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(count[where], pa.int32()), pa.array(at[hit] - made.starts[where], pa.int32()), pa.array(size[hit], pa.int32()), pa.array(value[hit].view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
+                names=["id", "mark", "n", "pos", "size", "hash", "slots"],
             )
 
     return rows.select("id", "mark", F.col("text").cast("binary").alias("text")).mapInArrow(run, ROWS)
@@ -182,8 +187,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, doc_id: s
     """``(doc_id, doc_mark, item_id, n_windows, n_matched, coverage)`` of every document that holds an item.
 
     Null and empty texts hold nothing and are held by nothing. An item of fewer than
-    ``WINDOW`` tokens is held only by a text that is nothing else (such texts say too
-    little to be found inside others). Repeated documents and items, and those without
+    ``WINDOW`` tokens is held by every text with these very tokens in a row, in any letter
+    case. Very long texts are read whole. Repeated documents and items, and those without
     id, are told apart by their text (``doc_mark``); equal ones give one row. Fillings are
     judged occurrence by occurrence, where a value filled in several ways counts by its
     most frequent filling, ties to the least; unchanged values always fit. A passage of
@@ -191,11 +196,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, doc_id: s
     An empty table on either side gives no rows.
     """
     items = on_disk(windows(_keyed(benchmark, item_id).distinct()))
-    bits = items.select((F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))).alias("bit")).distinct()
-    wanted = np.zeros(1 << FILTER_BITS, bool)
-    wanted[[r.bit for r in bits.collect()]] = True
+    wanted = bit_map(items, "hash")
+    short = tuple(sorted(r.size for r in items.filter(F.col("size") < WINDOW).select("size").distinct().collect()))  # lengths below WINDOW
     mine = items.select(F.col("id").alias("item"), F.col("mark").alias("item_mark"), F.col("n").alias("n_windows"), F.col("pos").alias("item_pos"), F.col("hash").alias("h"), F.col("slots").alias("old"))
-    found = windows(_keyed(docs, doc_id), wanted).select(F.col("id").alias("doc"), F.col("mark").alias("doc_mark"), "pos", "hash", F.col("slots").alias("new")).distinct()
+    found = windows(_keyed(docs, doc_id), wanted, short).select(F.col("id").alias("doc"), F.col("mark").alias("doc_mark"), "pos", "hash", F.col("slots").alias("new")).distinct()
     hits = found.join(mine, F.col("hash") == F.col("h")).drop("hash", "h")
     pairs = hits.groupBy("doc", "doc_mark", "item", "item_mark").agg(F.max("n_windows").alias("n_windows"), F.collect_list(F.struct("pos", "item_pos", "old", "new")).alias("hits"))
     # The most that can come out, before anything is judged.
@@ -279,9 +283,13 @@ def passage(hits: list[Hit]) -> int:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """``docs`` without those that hold an item; rows with a null text stay."""
-    bad = leaks(docs, benchmark, cover).select(F.col("doc_id").alias("_doc"), "doc_mark").distinct()
-    rows = docs.withColumn("_mark", F.xxhash64("text"))
-    return rows.join(bad, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_mark") == F.col("doc_mark")), "left_anti").drop("_mark")
+    bad = leaks(docs, benchmark, cover).select(F.col("doc_id").alias("_doc"), F.col("doc_mark").alias("_of")).distinct()
+
+    def clean(rows: DataFrame) -> DataFrame:
+        marked = rows.withColumn("_mark", F.xxhash64("text"))
+        return marked.join(bad, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_mark") == F.col("_of")), "left_anti")
+
+    return sheltered(docs, ("doc_id", "text"), (), clean)
 
 
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import ascii_lower, on_disk, table
+from tidemark.llm.common import ascii_lower, on_disk, sheltered, table
 
 MIN_LENGTH = 40
 MIN_DOCS = 5
@@ -141,13 +141,17 @@ def dedup_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = M
     Null and empty texts are one empty line and keep it (``kept`` stays null for null).
     Rows that share a ``doc_id`` are one document; rows equal in both are decided alike.
     A null ``doc_id`` counts as one document below all others. Ties cannot arise: the
-    largest document keeps all its lines of a key. Columns named like results are replaced.
+    largest document keeps all its lines of a key. Very long texts are split and joined whole;
+    an empty table gives no rows. Columns named like results are replaced.
     """
-    docs = docs.drop("kept", "n_lines", "n_dropped")
-    maps = keep_bitmaps(docs, min_length, min_docs)
-    rows = keyed(docs).join(maps, F.expr("_doc = doc AND _mark = mark"), "left").drop("doc", "mark", "_doc", "_mark")
+    maps = keep_bitmaps(docs, min_length, min_docs).select(F.col("doc").alias("_of"), F.col("mark").alias("_of_mark"), F.col("keep").alias("_keep"), F.col("n_dropped").alias("_gone"))
     lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"))) + 1
-    return rows.withColumns({"kept": _kept("text", "keep"), "n_lines": F.coalesce(lines, F.lit(1)).cast("long"), "n_dropped": F.coalesce("n_dropped", F.lit(0).cast("long"))}).drop("keep")
+
+    def deduped(rows: DataFrame) -> DataFrame:
+        met = keyed(rows).join(maps, F.expr("_doc = _of AND _mark = _of_mark"), "left")
+        return met.withColumns({"kept": _kept("text", "_keep"), "n_lines": F.coalesce(lines, F.lit(1)).cast("long"), "n_dropped": F.coalesce("_gone", F.lit(0).cast("long"))})
+
+    return sheltered(docs, ("doc_id", "text"), ("kept", "n_lines", "n_dropped"), deduped)
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

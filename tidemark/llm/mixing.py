@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import on_disk, table, word_count
+from tidemark.llm.common import on_disk, sheltered, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -86,7 +86,12 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_rows: int = SHARD_ROWS, seed:
     same as a multiset on every run. Rows without ``doc_id`` are drawn by their size. An
     empty table gives no rows. Other columns stay; those named like results are replaced.
     """
-    rows = docs.drop("source_size", "target", "taken")
+    new = ("source_size", "target", "taken")
+    return sheltered(docs, ("doc_id", "source", "size"), new, lambda rows: _mixed(rows, block, shard_rows, seed, weights, share, repeat))
+
+
+def _mixed(rows: DataFrame, block: int, shard_rows: int, seed: str, weights, share: float, repeat: int) -> DataFrame:
+    """All columns of ``rows``, working ones too, with the results."""
     who = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.col("size").cast("string"))))
     rows = on_disk(rows.withColumn("_draw", F.md5(who.cast("binary"))))  # sizes are counted once, not once a branch
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
@@ -109,7 +114,7 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_rows: int = SHARD_ROWS, seed:
         CASE WHEN pmod(b * {STEP} + place * 7919 + shard * 104729, _n) < _some
              THEN greatest(0L, least(_end, (b + 1) * shard_size div _n) - greatest(_start, b * shard_size div _n)) ELSE 0L END)""")
     taken = F.when(F.col("size") == 0, 0).otherwise(F.col("size") * F.col("_pass") + F.when(F.col("_some") > 0, some).otherwise(0)).cast("long")
-    return rows.withColumn("taken", taken).select(*[c for c in docs.columns if c not in ("source_size", "target", "taken")], "source_size", "target", "taken")
+    return rows.withColumn("taken", taken)
 
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:

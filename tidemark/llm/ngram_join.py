@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bit_map, components, kept, on_disk, table
+from tidemark.llm.common import bit_map, components, kept, on_disk, sheltered, table
 
 #: Bits of a word (only those set are kept). Words with fewer than ``LOW_WORD`` set are
 #: drawn out, by at most ``DEPTH`` halves of the words after them, until a half has a bit set.
@@ -284,9 +284,13 @@ def keep_one(docs: DataFrame, size: int = 5, p: int = 4, q: int = 5) -> DataFram
     rows = groups(keyed(docs), size, p, q).filter("n > 0")
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best"))
     best = best.select(F.col("best.id").alias("_id"), F.col("best.mark").alias("_m"))
-    marked = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_mark": F.xxhash64("text"), "_bare": ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))})
-    full = marked.filter("NOT _bare").join(best, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")), "left_semi").dropDuplicates(["_key", "_mark"])
-    return full.union(marked.filter("_bare")).drop("_key", "_mark", "_bare")
+
+    def kept_rows(docs: DataFrame) -> DataFrame:
+        marked = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_mark": F.xxhash64("text"), "_bare": ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))})
+        full = marked.filter("NOT _bare").join(best, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")), "left_semi").dropDuplicates(["_key", "_mark"])
+        return full.union(marked.filter("_bare"))
+
+    return sheltered(docs, ("doc_id", "text"), (), kept_rows)
 
 
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,13 +9,16 @@ appended per run and never changed.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import sheltered, table
+from tidemark.session import shared_dir
 
 #: kind -> (version, pattern, group whose length counts, least length). In the order that ties are listed.
 RULES = {
@@ -98,17 +101,42 @@ def find_secrets(docs: DataFrame, ledger: DataFrame | None = None, text: str = "
 
     Null and empty texts have no spans. ``blob`` and ``spans`` columns of the input are replaced.
     """
-    docs = docs.drop("blob", "spans")
     fresh = scan(docs, ledger, text)
-    book = fresh if ledger is None else ledger.select("blob", "rule", "spans").unionByName(fresh)
-    found = current(book).select(F.col("blob").alias("_blob"), "spans")
-    # Only addresses and findings travel to the paths.
-    return address(docs, text).join(found, F.col("blob") == F.col("_blob"), "left").drop("_blob").withColumn("spans", F.coalesce(F.col("spans"), F.array().cast(SPANS)))
+    return located(docs, fresh if ledger is None else ledger.select("blob", "rule", "spans").unionByName(fresh), text)
+
+
+def located(docs: DataFrame, ledger: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``blob`` and the ``spans`` that the ledger has of it: only addresses and findings travel to the paths."""
+    found = current(ledger).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+
+    def joined(rows: DataFrame) -> DataFrame:
+        met = address(rows, text).join(found, F.col("blob") == F.col("_blob"), "left")
+        return met.withColumn("spans", F.coalesce(F.col("_spans"), F.array().cast(SPANS)))
+
+    return sheltered(docs, tuple(c for c in docs.columns if c in ("doc_id", text)), ("blob", "spans"), joined)
+
+
+def update_ledger(docs: DataFrame, path: str, text: str = "text", kinds: tuple[str, ...] = tuple(RULES)) -> DataFrame:
+    """Append to the ledger stored at ``path`` what ``docs`` holds that it hasn't seen, and return the whole ledger.
+
+    Call it for each delivery of versions. An append that is lost half-way leaves no rows, and
+    one that is made twice only repeats rows, which ``current`` folds.
+    """
+    spark = docs.sparkSession
+    book = lambda: spark.read.schema(f"blob binary, rule string, spans {SPANS}").parquet(path)
+    try:
+        seen = book()
+    except AnalysisException:  # nothing is stored yet
+        seen = None
+    scan(docs, seen, text, kinds).write.mode("append").parquet(path)
+    return book()
 
 
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Findings of all documents from a ledger in the shared folder, which the query fills."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return digest_spans(find_secrets(docs))
+    ledger = update_ledger(docs, f"{shared_dir(spark).rstrip('/')}/secrets-{uuid.uuid4().hex}")
+    return digest_spans(located(docs, ledger))
 
 
 def digest_spans(rows: DataFrame) -> DataFrame:

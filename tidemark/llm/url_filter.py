@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, table
+from tidemark.llm.common import ascii_lower, sheltered, table
 
 RULES = (
     ("allow", "org", "/"),
@@ -69,11 +69,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     terms = terms.withColumn("full", F.sha2(F.col("term").cast("binary"), 256)).withColumn("short", F.substr("full", F.lit(1), F.lit(8)))
     hits = terms.join(known, "short").filter("full = digest")
     order = F.struct(F.length("term"), F.length("rule_host"), F.col("action") == "block")
-    best = hits.groupBy("u").agg(F.max_by(F.struct("term", "action"), order).alias("best"))
-    left = pages.drop("host", "path", "rule", "verdict")
+    best = hits.groupBy("u").agg(F.max_by(F.struct("term", "action"), order).alias("_best")).withColumnRenamed("u", "_url")
     host, path = split_url(F.col(url))
-    out = left.withColumns({"host": host, "path": path}).join(best, F.col(url) == F.col("u"), "left")
-    return out.withColumns({"rule": F.col("best.term"), "verdict": F.coalesce("best.action", F.lit(default))}).drop("u", "best")
+
+    def judged(rows: DataFrame) -> DataFrame:
+        out = rows.withColumns({"host": host, "path": path}).join(best, F.col(url) == F.col("_url"), "left")
+        return out.withColumns({"rule": F.col("_best.term"), "verdict": F.coalesce("_best.action", F.lit(default))})
+
+    return sheltered(pages, (url,), ("host", "path", "rule", "verdict"), judged)
 
 
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
