@@ -188,3 +188,15 @@ def test_similarity_of_null_is_null(spark):
 
     d = spark.createDataFrame([("a", None), ("ab", "ab")], "x string, y string")
     assert [r.r for r in d.select(fuzzy_ratio(F.col("x"), F.col("y")).alias("r")).collect()] == [None, 1.0]
+
+
+def test_commit_bypass_reads_commands(spark):
+    from tidemark.functions import text as X
+    from tidemark.operators import runs
+
+    cases = {"git commit -m x": False, "git commit --no-verify -m x": True, "git push -n": False, "HUSKY=0 git commit": True, "git commit -m 'a -n b'": False, 'git commit -m "a -n" -n': True, "git commit -m 'open -n": True, "git -C x commit -n": False, "GIT COMMIT -N": True, "git": False, "": False, None: False, "SKIP=lint git push": True}
+    d = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "seq long, command string")
+    assert {r.command: r.b for r in d.select("command", X.commit_bypass(F.col("command")).alias("b")).collect()} == cases
+    rows = [("a", 1, "git commit -n", None), ("a", 2, "git commit", "husky failed"), ("a", 3, "git commit -n", "ok"), ("b", 1, "git commit -n", "hook  rejected"), (None, 1, "x", "pre-commit"), ("c", 2, None, None)]
+    e = spark.createDataFrame(rows, "k string, seq long, command string, output string")
+    assert [(r.k, r.seq) for r in runs.hook_bypasses(e, "k").collect()] == [("a", 3)]

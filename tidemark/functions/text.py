@@ -77,6 +77,30 @@ def credit_exact(texts: Column) -> Column:
     return F.exists(F.array(low), found)  # as a lambda's argument the lowered text is made once
 
 
+# Settings that turn hooks off, and what a hook says when it rejects.
+BYPASS_ENV = r"(?i)\b(HUSKY=0|HUSKY_SKIP_HOOKS=1|NO_VERIFY=1|SKIP=)"
+HOOK_REJECTION = r"(?i)(precommit_gate\s+BLOCKED|pre-commit|pre-push|commit-msg|husky|lint-staged|hook\s+(failed|rejected|blocked))"
+
+
+def command_tokens(command: Column) -> Column:
+    """Words of a command line; quoted blanks don't part a word, unless a quote is left open."""
+    quotes = F.length(command) - F.length(F.translate(command, "\"'", ""))
+    whole = F.regexp_extract_all(command, F.lit(r"((?:\"[^\"]*\"|'[^']*'|[^\s\"'])+)"), F.lit(1))
+    return F.when(quotes % 2 == 0, whole).otherwise(F.filter(F.split(command, r"\s+"), lambda w: w != ""))
+
+
+def commit_bypass(command: Column) -> Column:
+    """A commit with hooks off, by setting or by flag. The word after ``git`` must be ``commit``: a dry run of a push is none."""
+    words = command_tokens(F.lower(command))
+    verb = F.get(words, F.array_position(words, "git").cast("int"))
+    flags = F.arrays_overlap(words, F.array(F.lit("--no-verify"), F.lit("-n")))
+    return F.coalesce(command.rlike(BYPASS_ENV), F.lit(False)) | F.coalesce(F.array_contains(words, "git") & (verb == "commit") & flags, F.lit(False))
+
+
+def hook_rejected(output: Column) -> Column:
+    return F.coalesce(output.rlike(HOOK_REJECTION), F.lit(False))
+
+
 def norm_token(s: Column) -> Column:
     """Upper case, letters and digits only."""
     return F.regexp_replace(F.upper(s), r"[^\p{L}\p{N}]", "")

@@ -122,6 +122,14 @@ def retry_compare(versions: DataFrame) -> DataFrame:
     )
 
 
+def phrase_counts(blocks: DataFrame, group: Column, item: str, text: Column, patterns: dict[str, str]) -> DataFrame:
+    """Per ``group``: hits of every pattern, the latest item (largest) that holds it, and the blocks read; one pass."""
+    hits = {n: F.regexp_count(text, F.lit(p)) for n, p in patterns.items()}
+    counts = [F.coalesce(F.sum(h), F.lit(0)).cast("long").alias(n) for n, h in hits.items()]
+    last = [F.max(F.when(h > 0, F.col(item))).alias(f"latest_{n}") for n, h in hits.items()]
+    return blocks.groupBy(group).agg(*counts, *last, F.max(item).alias("latest_item"), F.count("*").alias("blocks"))
+
+
 def profile(df: DataFrame, value: str) -> DataFrame:
     """Exact distribution of one column in one row."""
     ps = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95}

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import text as X
 from tidemark.operators.ordered import before, join_on
 
 # Patterns that mark a claim, a report of failure, a hedge, a waiver and a run.
@@ -90,6 +91,14 @@ def claim_rate(audited: DataFrame, transcripts: DataFrame) -> DataFrame:
     return transcripts.agg(F.count_distinct("transcript").alias("transcripts")).join(a)
 
 
+def hook_bypasses(entries: DataFrame, key: str) -> DataFrame:
+    """Commits with hooks off after a hook had rejected one, by the rules for commands and their output.
+
+    ``entries``: key, seq, command, output; either may be null.
+    """
+    return bypass_after_reject(entries, key, X.commit_bypass(F.col("command")), X.hook_rejected(F.col("output")))
+
+
 def bypass_after_reject(df: DataFrame, key: str, bypass: Column, rejected: Column) -> DataFrame:
     """Bypass actions with any earlier rejection that did not provably succeed."""
     first = df.groupBy(key).agg(F.min(F.when(rejected, F.col("seq"))).alias("_first"))
@@ -104,10 +113,11 @@ def suite_trajectory(commits: DataFrame, observations: DataFrame) -> DataFrame:
     rank = F.struct(F.col("at").isNotNull().alias("s"), "at", "passed")
     o = observations.groupBy(F.lower(F.trim("sha")).alias("osha")).agg(F.max(rank).alias("best"), F.count("*").alias("n")).filter("length(osha) >= 6")
     c = commits.select(F.lower(F.trim("sha")).alias("csha")).distinct().filter("length(csha) >= 6")
-    # Every abbreviation is spelled out on the longer side, so that all matches are equalities.
-    heads = lambda s, to: F.explode(F.transform(F.sequence(F.lit(6), to), lambda n: F.left(F.col(s), n))).alias("head")
-    shorter = c.select("csha", heads("csha", F.length("csha"))).join(o, F.col("head") == F.col("osha"))
-    longer = o.filter("length(osha) > 6").select("best", "n", heads("osha", F.length("osha") - 1)).join(c, F.col("head") == F.col("csha"))
+    # An abbreviation is spelled out on the longer side, at lengths the other side has, so that all matches are equalities.
+    used = lambda rows, s: rows.agg(F.collect_set(F.length(s)).alias("_lengths"))  # noqa: E731 - one row
+    heads = lambda s, longest: F.explode(F.transform(F.filter("_lengths", lambda n: n <= longest), lambda n: F.left(F.col(s), n))).alias("head")
+    shorter = c.join(used(o, "osha")).select("csha", heads("csha", F.length("csha"))).join(o, F.col("head") == F.col("osha"))
+    longer = o.join(used(c, "csha")).select("best", "n", heads("osha", F.length("osha") - 1)).join(c, F.col("head") == F.col("csha"))
     hits = shorter.select("csha", "best", "n").union(longer.select("csha", "best", "n"))
     told = hits.groupBy("csha").agg(F.max("best").alias("b"), F.sum("n").alias("observation_count"))
     j = commits.join(told, F.lower(F.trim("sha")) == F.col("csha"), "left")
@@ -125,6 +135,21 @@ def run_identity(cycles: DataFrame) -> DataFrame:
     ).withColumn("ambiguous", F.col("n_manifests") > 1)
 
 
+def runs_by(cycles: DataFrame, other: str) -> DataFrame:
+    """Every run that a record names together with an id of another namespace: ``other, run_id, cycle_count, first_ts``.
+
+    One row a pair, not a list per id, so an id that a third of all runs share is no one task's work.
+    """
+    named = cycles.filter(F.col("run_id").isNotNull() & F.col(other).isNotNull())
+    return named.groupBy(other, "run_id").agg(F.count("*").alias("cycle_count"), F.min("ts").alias("first_ts"))
+
+
+def join_summary(cycles: DataFrame) -> DataFrame:
+    """One row: runs that name themselves, those with several partner ids, and cycles that name no run and are joined to none."""
+    runs = run_identity(cycles).agg(F.count("*").alias("joined_runs"), F.count_if("ambiguous").alias("ambiguous_runs"))
+    return runs.join(cycles.agg(F.count_if(F.col("run_id").isNull()).alias("unjoined_cycles")))
+
+
 def resolve_identity(cycles: DataFrame, callers: DataFrame) -> DataFrame:
     """Callers' id pairs checked against recorded pairs: joined, conflict or unknown; nothing is guessed."""
     pairs = cycles.filter("run_id is not null and manifest_run_id is not null").select("run_id", "manifest_run_id").distinct()

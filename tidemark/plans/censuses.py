@@ -34,15 +34,12 @@ def a03(t):
 
 @query(
     "a16_phrase_counts",
-    """WITH d AS (SELECT lower(text) AS s, source < 'src5' AS in_window FROM documents)
-    SELECT in_window, CAST(sum(len(regexp_extract_all(s, 'the of|of the|en la'))) AS BIGINT) AS stale_state, CAST(sum(len(regexp_extract_all(s, 'und [a-z]+ der'))) AS BIGINT) AS premise, CAST(sum(len(regexp_extract_all(s, 'la [a-zé]+ que|que la'))) AS BIGINT) AS noop, count(*) AS blocks FROM d GROUP BY in_window""",
+    """WITH d AS (SELECT doc_id, lower(text) AS s, source < 'src5' AS in_window FROM documents)
+    SELECT in_window, CAST(sum(len(regexp_extract_all(s, 'the of|of the|en la'))) AS BIGINT) AS stale_state, CAST(sum(len(regexp_extract_all(s, 'und [a-z]+ der'))) AS BIGINT) AS premise, CAST(sum(len(regexp_extract_all(s, 'la [a-zé]+ que|que la'))) AS BIGINT) AS noop, max(doc_id) FILTER (regexp_matches(s, 'the of|of the|en la')) AS latest_stale_state, max(doc_id) FILTER (regexp_matches(s, 'und [a-z]+ der')) AS latest_premise, max(doc_id) FILTER (regexp_matches(s, 'la [a-zé]+ que|que la')) AS latest_noop, max(doc_id) AS latest_item, count(*) AS blocks FROM d GROUP BY in_window""",
 )
 def a16(t):
-    s = F.lower("text")
     phrases = {"stale_state": "the of|of the|en la", "premise": "und [a-z]+ der", "noop": "la [a-zé]+ que|que la"}
-    return t("documents").groupBy(F.expr("source < 'src5'").alias("in_window")).agg(
-        *[F.sum(F.regexp_count(s, F.lit(p))).cast("long").alias(n) for n, p in phrases.items()], F.count("*").alias("blocks")
-    )
+    return C.phrase_counts(t("documents"), F.expr("source < 'src5'").alias("in_window"), "doc_id", F.lower("text"), phrases)
 
 
 @query(

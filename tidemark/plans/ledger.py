@@ -437,15 +437,13 @@ def a28(t):
 
 @query(
     "a29_fingerprint",
-    """SELECT n_nationkey, sha256('{"key":"' || n_nationkey || '","name":"' || n_name || '","region":"' || n_regionkey || '"}') AS pipeline_version FROM nation""",
+    """SELECT p_partkey, sha256('{"brand":"' || p_brand || '","key":"' || p_partkey || '","name":"' || p_name || '"}') AS pipeline_version FROM part""",
 )
 def a29(t):
     from tidemark.sources.golden import fingerprint
 
-    pinned = F.create_map(
-        F.lit("region"), F.col("n_regionkey").cast("string"), F.lit("name"), F.col("n_name"), F.lit("key"), F.col("n_nationkey").cast("string")
-    )
-    return t("nation").select("n_nationkey", fingerprint(pinned).alias("pipeline_version"))
+    pinned = F.create_map(F.lit("name"), F.col("p_name"), F.lit("key"), F.col("p_partkey").cast("string"), F.lit("brand"), F.col("p_brand"))
+    return t("part").select("p_partkey", fingerprint(pinned).alias("pipeline_version"))
 
 
 INVENTORY_SQL = rf"""i AS (SELECT 's' || slug AS slug, CASE WHEN e.seq % 10 < 5 THEN 2 * (slug % 4) + 1 ELSE 2 * (slug % 4) + 2 END + CASE WHEN e.seq % 97 = 0 AND slug % 4 < 3 THEN 2 ELSE 0 END AS ord, e.seq,

@@ -82,6 +82,25 @@ def j10(t):
     return out.select("slug", "seq")
 
 
+COMMANDS = (
+    'git commit -m "x"', "git commit --no-verify -m x", "git push -n", "HUSKY=0 git commit -m x", "git commit -m 'a -n b'", "git -C x commit -n", "cd a && git commit -n", "GIT Commit -N", "git commit -m 'open -n",
+)
+BYPASSES = (1, 3, 6, 7, 8)
+
+
+@query(
+    "j10_hook_bypass",
+    f"""WITH e AS (SELECT conv_id, turn, (conv_id + turn) % {len(COMMANDS) + 1} AS k, CASE WHEN (conv_id + 2 * turn) % 5 = 1 THEN 'precommit_gate  BLOCKED: ' ELSE 'done: ' END || text AS output FROM conversations),
+    r AS (SELECT conv_id, min(turn) AS first FROM e WHERE regexp_matches(output, '(?i)(precommit_gate\\s+BLOCKED|pre-commit|pre-push|commit-msg|husky|lint-staged|hook\\s+(failed|rejected|blocked))') GROUP BY conv_id)
+    SELECT conv_id, turn FROM e JOIN r USING (conv_id) WHERE k IN {BYPASSES} AND turn > first""",
+)
+def j10_hooks(t):
+    k = (F.col("conv_id") + F.col("turn")) % (len(COMMANDS) + 1)
+    said = F.when((F.col("conv_id") + 2 * F.col("turn")) % 5 == 1, "precommit_gate  BLOCKED: ").otherwise("done: ")
+    e = t("conversations").select("conv_id", F.col("turn").alias("seq"), F.get(F.array(*map(F.lit, COMMANDS)), k.cast("int")).alias("command"), F.concat(said, "text").alias("output"))
+    return R.hook_bypasses(e, "conv_id").select("conv_id", F.col("seq").alias("turn"))
+
+
 @query(
     "j11_suite_trajectory",
     """WITH c AS (SELECT o_orderkey, md5(o_orderkey::VARCHAR) AS sha FROM orders),
@@ -121,6 +140,23 @@ def j12(t):
     return R.run_identity(_cycles(t))
 
 
+@query(
+    "j12_runs_by_session",
+    f"""WITH {CYCLES_SQL} SELECT session_id, run_id, count(*) AS cycle_count, min(ts) AS first_ts FROM c WHERE run_id IS NOT NULL AND session_id IS NOT NULL GROUP BY ALL""",
+)
+def j12_sessions(t):
+    return R.runs_by(_cycles(t), "session_id")
+
+
+@query(
+    "j12_join_summary",
+    f"""WITH {CYCLES_SQL}, r AS (SELECT run_id, count(DISTINCT manifest_run_id) > 1 AS ambiguous FROM c WHERE run_id IS NOT NULL GROUP BY run_id)
+    SELECT count(*) AS joined_runs, count(*) FILTER (ambiguous) AS ambiguous_runs, (SELECT count(*) FROM c WHERE run_id IS NULL) AS unjoined_cycles FROM r""",
+)
+def j12_summary(t):
+    return R.join_summary(_cycles(t))
+
+
 @query(
     "j12_resolve_identity",
     f"""WITH {CYCLES_SQL}, p AS (SELECT DISTINCT run_id, manifest_run_id FROM c WHERE run_id IS NOT NULL AND manifest_run_id IS NOT NULL),

@@ -54,18 +54,14 @@ def put_if_absent(incoming: DataFrame, path: str) -> int:
             raise
         present = incoming.select("name", "sha").limit(0)
     new = plan_put(incoming, present).filter("action <> 'noop'").select("seq", "name", "sha", "target")
-    before = _rows(spark, path)
-    new.write.mode("append").parquet(path)
-    return _rows(spark, path) - before
-
-
-def _rows(spark: SparkSession, path: str) -> int:
+    new = new.persist()  # counted and written from one plan; what is lost is computed again
     try:
-        return spark.read.parquet(path).count()
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
-        return 0
+        n = new.count()
+        new.write.mode("append").parquet(path)
+    finally:
+        new.unpersist()
+    return n
+
 
 
 def write_snapshot(df: DataFrame, path: str, version: int) -> None:
