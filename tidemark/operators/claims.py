@@ -92,16 +92,18 @@ def attribute(slices: DataFrame, agents: DataFrame) -> DataFrame:
     """The agent whose text names a slice as a whole token; preferred agents win. A hint, not a record.
 
     Texts are cut into letter-digit runs, so naming is an equi-join on the
-    slice's first run, confirmed by the full token test.
+    slice's first run; only pairs that meet there take the text along again, for
+    the full token test. ``agent`` is an id; rows that share one are read alike.
     """
     from tidemark.functions.text import mentions
 
     lead = F.regexp_extract(F.lower("slice"), "[0-9a-z]+", 0)
     s = slices.select("slice", lead.alias("run"))
     runs = agents.select(
-        "agent", "preferred", "text", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[0-9a-z]+"), F.lit(0)))).alias("run")
+        "agent", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[0-9a-z]+"), F.lit(0)))).alias("run")
     )
-    hit = runs.join(s, "run").filter(mentions(F.col("text"), F.col("slice")))
+    pairs = runs.join(s, "run").select("agent", "slice").distinct()
+    hit = pairs.join(agents, "agent").filter(mentions(F.col("text"), F.col("slice")))
     best = F.min(F.struct((~F.col("preferred")).alias("rest"), F.col("agent").alias("agent")))
     return hit.groupBy("slice").agg(best.alias("b")).select("slice", F.col("b.agent").alias("agent"), F.lit(True).alias("hint"))
 

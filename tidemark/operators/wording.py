@@ -33,6 +33,16 @@ def tokens_of(words: DataFrame) -> DataFrame:
     return words.select("word").distinct().select("word", F.explode(F.array(X.norm_token(F.col("word")))).alias("token"))
 
 
+def similar_tokens(words: DataFrame, targets: tuple[str, ...], floor: float) -> DataFrame:
+    """``token, target, ratio`` of every distinct token that is at least ``floor`` similar to a target."""
+    pairs = tokens_of(words).select("token").distinct().select("token", F.explode(F.array(*map(F.lit, targets))).alias("target"))
+    reach = F.lit(False)
+    for t in targets:
+        reach = reach | ((F.col("target") == t) & can_reach(F.col("token"), (t,), floor))
+    rated = pairs.filter((F.col("token") != "") & reach).withColumn("ratio", X.fuzzy_ratio(F.col("token"), F.col("target")))
+    return rated.filter(F.col("ratio") >= floor)
+
+
 def _docs_with_token(words: DataFrame, key: str, targets: tuple[str, ...], floor: float) -> DataFrame:
     """Keys holding a word at least ``floor`` similar to one of ``targets``."""
     n, sizes = F.length("token"), [len(t) for t in targets]

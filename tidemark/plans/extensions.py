@@ -7,7 +7,6 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.functions import naming
-from tidemark.functions import text as X
 from tidemark.operators import extensions as E
 from tidemark.plans import views
 from tidemark.plans.registry import query
@@ -48,12 +47,6 @@ def u03(t):
     return t("documents").select("doc_id", F.length(folded).cast("long").alias("ascii_chars"))
 
 
-@query("u04_fuzzy_ratio")
-def u04(t):
-    n = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return n.select("n_name", "r_name", F.round(X.fuzzy_ratio(F.col("n_name"), F.col("r_name")), 6).alias("ratio"))
-
-
 @query(
     "u05_provenance_chain",
     """SELECT slug, 'f' || seq AS file, coalesce('f' || lag(seq) OVER w, '') AS prior, row_number() OVER w AS depth FROM v_transitions WINDOW w AS (PARTITION BY slug ORDER BY seq)""",

@@ -57,7 +57,27 @@ def a35(t):
     return frames(t).select("vec_id", R.halo_pct(F.col("src"), F.col("sharp"), W, H).alias("halo_pct"))
 
 
-@query("a36_banding_delta")
+NINE = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
+
+
+def banding_sql(of: str) -> str:
+    """Definitions that end in ``d_<of>(vec_id, d)``: plateau edges in or beside smooth cells, over smooth cells."""
+    mean = f"(({' + '.join(at(dy, dx, of) for dy, dx in NINE)}) / 9)"
+    squares = f"(({' + '.join(f'{at(dy, dx, of)} * {at(dy, dx, of)}' for dy, dx in NINE)}) / 9)"
+    turned = lambda v, k: f"(({v} + {k} + 8) % 8)"  # noqa: E731 - neighbours wrap around, steps stop at the edge
+    step = lambda y, x, y1, x1: f"abs({of}[{y1} * 8 + {x1} + 1] - {of}[{y} * 8 + {x} + 1])"
+    right = {k: step("y", turned("x", k), "y", f"least(7, {turned('x', k)} + 1)") for k in (-1, 0, 1)}
+    down = {k: step(turned("y", k), "x", f"least(7, {turned('y', k)} + 1)", "x") for k in (-1, 0, 1)}
+    edge = lambda d: f"({d[0]} > {R.FLAT} AND {d[-1]} <= {R.FLAT} AND {d[1]} <= {R.FLAT})"
+    return f"""m_{of} AS (SELECT vec_id, y, x, {squares} - {mean} * {mean} < {R.SMOOTH_VAR} AS smooth, {edge(right)} OR {edge(down)} AS edge FROM c),
+    n_{of} AS (SELECT a.vec_id, a.y, a.x, any_value(a.smooth) AS smooth, any_value(a.edge) AND bool_or(b.smooth) AS hit FROM m_{of} a JOIN m_{of} b ON a.vec_id = b.vec_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY a.vec_id, a.y, a.x),
+    d_{of} AS (SELECT vec_id, CASE WHEN count(*) FILTER (smooth) = 0 THEN 0.0::DOUBLE ELSE count(*) FILTER (hit)::DOUBLE / count(*) FILTER (smooth) END AS d FROM n_{of} GROUP BY vec_id)"""
+
+
+@query(
+    "a36_banding_delta",
+    f"""WITH {FRAME_SQL}, {banding_sql('post')}, {banding_sql('src')} SELECT p.vec_id, round(p.d - s.d, 6) AS band_delta FROM d_post p JOIN d_src s USING (vec_id)""",
+)
 def a36(t):
     return frames(t).select("vec_id", F.round(R.banding_delta(F.col("src"), F.col("post"), W, H), 6).alias("band_delta"))
 

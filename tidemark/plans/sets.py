@@ -21,13 +21,14 @@ def x01(t):
 
 @query(
     "x02_live_over_mirror",
-    """WITH l AS (SELECT slug, max(seq) AS last FROM v_transitions WHERE op = 'SUBMIT' AND ver > 90 GROUP BY slug), m AS (SELECT slug, max(seq) AS last FROM v_transitions WHERE op = 'INTAKE' GROUP BY slug)
+    """WITH t AS (SELECT slug, seq, coalesce(ver % 40 = slug % 40, false) AS live FROM v_transitions), l AS (SELECT slug, max(seq) AS last FROM t WHERE live GROUP BY slug), m AS (SELECT slug, max(seq) AS last FROM t WHERE NOT live GROUP BY slug)
     SELECT slug, last, 'live' AS source FROM l UNION ALL SELECT slug, last, 'mirror' FROM m WHERE slug NOT IN (SELECT slug FROM l)""",
 )
 def x02(t):
-    tr = views.v_transitions(t)
+    """Every transition is either live or mirrored."""
+    tr = views.v_transitions(t).withColumn("live", F.coalesce(F.col("ver") % 40 == F.col("slug") % 40, F.lit(False)))
     last = F.max("seq").alias("last")
-    return S.prefer_live(tr.filter("op = 'SUBMIT' and ver > 90").groupBy("slug").agg(last), tr.filter("op = 'INTAKE'").groupBy("slug").agg(last), "slug")
+    return S.prefer_live(tr.filter("live").groupBy("slug").agg(last), tr.filter("NOT live").groupBy("slug").agg(last), "slug")
 
 
 EXTS = ("/a.txt", "/logs/x", ".png", "/run.LOG.2", "/b.jsonl", "/deep/.git/c", "")

@@ -49,10 +49,11 @@ def similar_sql(name: str, tokens: str, targets: tuple[str, ...], floor: float)
       UNION ALL SELECT token, target, x.a, x.b, {block.format(a="x.a", b="x.b")}
       FROM (SELECT token, target, unnest([{{'a': substr(a, 1, -m.i - 1), 'b': substr(b, 1, -m.j - 1)}}, {{'a': substr(a, m.n - m.i), 'b': substr(b, m.n - m.j)}}]) AS x FROM {name}_s WHERE m.n > 0) y
       WHERE len(x.a) > 0 AND len(x.b) > 0),
-    {name} AS (SELECT DISTINCT token FROM (SELECT token, target, sum(m.n) AS n FROM {name}_s GROUP BY ALL) z WHERE 2.0 * n / (len(token) + len(target)) >= {floor})"""
+    {name}_r AS (SELECT token, target, 2.0::DOUBLE * n / (len(token) + len(target)) AS ratio FROM (SELECT token, target, CAST(sum(m.n) AS DOUBLE) AS n FROM {name}_s GROUP BY ALL) z),
+    {name} AS (SELECT DISTINCT token FROM {name}_r WHERE ratio >= {floor})"""
 
 
-TOKEN_SQL = r"regexp_replace(upper({0}), '[^\p{{L}}\p{{N}}]', '', 'g')"
+TOKEN_SQL = r"regexp_replace(upper(replace({0}, 'ß', 'ss')), '[^\p{{L}}\p{{N}}]', '', 'g')"
 PLANTED_SQL = "text || CASE doc_id % 50 WHEN 7 THEN ' devlantarl' WHEN 11 THEN ' art-statlon' WHEN 13 THEN ' behamcee.' WHEN 17 THEN ' LEAGVES' WHEN 19 THEN ' lagends!' WHEN 23 THEN ' legendary' ELSE '' END"
 WORDS_SQL = f"""p AS (SELECT doc_id, {PLANTED_SQL} AS text FROM documents), o AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\\s+')) AS word FROM p),
     t AS (SELECT DISTINCT word, {TOKEN_SQL.format("word")} AS token FROM (SELECT DISTINCT word FROM o) u)"""
@@ -85,6 +86,16 @@ def p10(t):
     return wording.keep_wordmark(garbled(t).filter("text IS NOT NULL"), "doc_id", "text")
 
 
+@query(
+    "u04_fuzzy_ratio",
+    f"""WITH RECURSIVE {WORDS_SQL}, {similar_sql("g", "t", (*X.CREDIT_HOSTS, *X.KEEP_WORDS), 0.6)} SELECT token, target, round(ratio, 6) AS ratio FROM g_r WHERE ratio >= 0.6""",
+)
+def u04(t):
+    """Every distinct word of the documents against the hosts and wordmarks."""
+    words = garbled(t).filter("text IS NOT NULL").select(F.explode(F.split("text", r"\s+")).alias("word"))
+    return wording.similar_tokens(words, (*X.CREDIT_HOSTS, *X.KEEP_WORDS), 0.6).withColumn("ratio", F.round("ratio", 6))
+
+
 @query(
     "p27_test_summary",
     r"""WITH c AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN text || chr(10) || turn || ' failed, 99 passed in 1s' || chr(10) || '== ' || conv_id || ' passed, 2 skipped, 1 error, 3 errors in 2.5s =='
