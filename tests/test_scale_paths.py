@@ -285,3 +285,33 @@ def test_percentiles_of_columns_keys_and_total(spark):
             assert r[n] == pytest.approx(np.percentile(some[c].dropna(), p), rel=1e-15), (every, k, n)
     plan = percentiles(d, ["k"], wanted)._jdf.queryExecution().toString()
     assert "percentile_approx" not in plan
+
+
+def test_raster_windows_against_loops(spark):
+    """Frames that aren't square, rows without a whole frame, and windows that reach beyond the edge."""
+    rng = np.random.default_rng(12)
+    w, h = 7, 5
+    frames = [rng.normal(100, 40, (h, w)) for _ in range(4)] + [np.full((h, w), 3.0)]
+    sharp = [f + rng.normal(0, 30, (h, w)) for f in frames]
+    rows = [(i, f.ravel().tolist(), s.ravel().tolist()) for i, (f, s) in enumerate(zip(frames, sharp))] + [(9, None, [1.0] * (w * h)), (10, [1.0], [1.0] * (w * h))]
+    d = spark.createDataFrame(rows, "id long, s array<double>, o array<double>")
+    s, o = F.col("s"), F.col("o")
+    got = {r.id: r for r in d.select("id", R.laplacian_var(s, w, h).alias("lap"), R.halo_pct(s, o, w, h, pct=0.8, r=1).alias("halo"), R.highpass(s, w, h, 5).alias("hp")).collect()}
+    at = lambda f, y, x: f[min(max(y, 0), h - 1), min(max(x, 0), w - 1)]
+    square = lambda y, x, r: [(y + dy, x + dx) for dy in range(-r, r + 1) for dx in range(-r, r + 1)]
+    for i, (f, out) in enumerate(zip(frames, sharp)):
+        lap = [at(f, y - 1, x) + at(f, y + 1, x) + at(f, y, x - 1) + at(f, y, x + 1) - 4 * f[y, x] for y in range(h) for x in range(w)]
+        assert got[i].lap == pytest.approx(np.var(lap), abs=1e-9)
+        hp = [f[y, x] - np.mean([at(f, *c) for c in square(y, x, 2)]) for y in range(h) for x in range(w)]
+        assert np.allclose(got[i].hp, hp)
+        conv = lambda y, x, k: sum(c * at(f, y + dy, x + dx) for (dy, dx), c in k.items())
+        grad = np.array([[np.hypot(conv(y, x, R.SOBEL_X), conv(y, x, R.SOBEL_Y)) for x in range(w)] for y in range(h)])
+        strong = grad >= max(np.percentile(grad, 80), 1e-6)
+        near = [(y, x) for y in range(h) for x in range(w) if any(at(strong, *c) for c in square(y, x, 1))]
+        rings = [out[y, x] > max(at(f, *c) for c in square(y, x, 1)) + 8 or out[y, x] < min(at(f, *c) for c in square(y, x, 1)) - 8 for y, x in near]
+        assert got[i].halo == pytest.approx(sum(rings) / len(rings) if rings else 0.0, abs=6e-5)
+    assert {got[i].lap for i in (9, 10)} == {got[i].halo for i in (9, 10)} == {None} and got[9].hp is None
+    template = spark.createDataFrame([(i, float(v), bool(v > 100)) for i, v in enumerate(frames[0].ravel())], "i int, med double, support boolean")
+    centred = spark.createDataFrame([(0, ((np.roll(frames[0], (1, -1), axis=(0, 1)) - 100) / 20).ravel().tolist()), (1, [0.0] * (w * h)), (2, None)], "id long, p array<double>")
+    score = {r.id: (r.score, r.dy, r.dx) for r in R.template_scores(centred, "id", "p", template, w, h, shift=1).collect()}
+    assert score[0][1:] == (1, -1) and score[0][0] > 0.9 and score[1] == (0.0, 0, 0) and score[2][0] is None

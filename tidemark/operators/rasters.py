@@ -1,14 +1,21 @@
-"""Small rasters as one array per asset: every metric stays in its row, without a shuffle.
+"""Rasters as one array per asset: every metric stays in its row, without a shuffle.
 
-Only the median template looks across assets; it groups by cell.
+Windows over a frame are array operations on all frames of an Arrow batch at once; sums and
+extrema run along rows and then along columns. Only the median template looks across
+assets; it groups by cell.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.quantiles import exact_percentiles
 
@@ -35,18 +42,6 @@ def _clamped(i: Column, w: int, h: int, dy: int, dx: int) -> Column:
     return (y * w + x + 1).cast("int")
 
 
-def _conv(p: Column, w: int, h: int, kernel: dict) -> Column:
-    """3x3 kernel with replicated edges."""
-
-    def cell(_, i):
-        total = F.lit(0.0)
-        for (dy, dx), k in kernel.items():
-            total = total + F.element_at(p, _clamped(i, w, h, dy, dx)) * k
-        return total
-
-    return F.transform(p, cell)
-
-
 def _window(p: Column, w: int, h: int, r: int, fold) -> Column:
     """Square window of radius r; replicated edges add no new values to max or min."""
     offsets = [(dy, dx) for dy in range(-r, r + 1) for dx in range(-r, r + 1)]
@@ -74,9 +69,46 @@ def _count(a: Column) -> Column:
     return F.size(F.filter(a, lambda x: x))
 
 
+def _frames(pixels: pd.Series, w: int, h: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows hold a whole frame, and those frames as one array (rows, h, w)."""
+    whole = np.array([p is not None and len(p) == w * h for p in pixels], bool)
+    some = [np.asarray(p, float) for p, use in zip(pixels, whole) if use]
+    return whole, np.stack(some).reshape(-1, h, w) if some else np.zeros((0, h, w))
+
+
+def _moved(a: np.ndarray, dy: int, dx: int) -> np.ndarray:
+    """Each cell's neighbour at an offset; beyond the frame its edge goes on."""
+    h, w = a.shape[1:]
+    return a[:, np.clip(np.arange(h) + dy, 0, h - 1)][:, :, np.clip(np.arange(w) + dx, 0, w - 1)]
+
+
+def _around(a: np.ndarray, r: int, fold: np.ufunc) -> np.ndarray:
+    """Fold over the square of radius ``r`` about each cell, along rows and then along columns."""
+    for axis in (2, 1):
+        a = functools.reduce(fold, [_moved(a, *((0, d) if axis == 2 else (d, 0))) for d in range(-r, r + 1)])
+    return a
+
+
+def _kernel(a: np.ndarray, weights: dict) -> np.ndarray:
+    return sum(c * _moved(a, dy, dx) for (dy, dx), c in weights.items())
+
+
+def _scattered(whole: np.ndarray, values: np.ndarray) -> pd.Series:
+    """Values of the rows that hold a frame; null elsewhere."""
+    out = np.full(len(whole), np.nan)
+    out[whole] = values
+    return pd.Series(out).where(whole, None)
+
+
 def laplacian_var(p: Column, w: int, h: int) -> Column:
     """Population variance of the 4-neighbour Laplacian."""
-    return let(_conv(p, w, h, LAPLACIAN), lambda a: let(_mean(a), lambda m: _mean(F.transform(a, lambda x: (x - m) * (x - m)))))
+
+    @F.pandas_udf(T.DoubleType())
+    def var(pixels: pd.Series) -> pd.Series:
+        whole, a = _frames(pixels, w, h)
+        return _scattered(whole, _kernel(a, LAPLACIAN).var(axis=(1, 2)))
+
+    return var(p)
 
 
 def laplacian_ratio(src: Column, out: Column, w: int, h: int) -> Column:
@@ -93,41 +125,26 @@ def mad_outside(a: Column, b: Column, mask: Column) -> Column:
     return let(d, lambda v: F.when(F.size(v) == 0, 0.0).otherwise(_mean(v)))
 
 
-def _percentile(a: Column, q: float) -> Column:
-    """Interpolated percentile of one array."""
-    rank = F.lit(q) * (F.size(a) - 1)
-    lo = F.floor(rank).cast("int")
-
-    def pick(s):
-        x = F.element_at(s, lo + 1)
-        y = F.element_at(s, F.least(lo + 2, F.size(s)))
-        return x + (y - x) * (rank - lo)
-
-    return let(F.array_sort(a), pick)
-
-
 def halo_pct(src: Column, out: Column, w: int, h: int, pct: float = 0.95, limit: float = HALO_T, r: int = 2) -> Column:
     """Share of near-edge cells outside the source's local range by more than ``limit``; 4 places."""
 
-    def ringing(s):
-        grad = F.transform(
-            F.arrays_zip(_conv(s, w, h, SOBEL_X).alias("x"), _conv(s, w, h, SOBEL_Y).alias("y")), lambda z: F.hypot(z["x"], z["y"])
-        )
-
-        def judged(g):
-            edge = F.greatest(_percentile(g, pct), F.lit(1e-6))
-            strong = let(edge, lambda e: F.transform(g, lambda v: v >= e))
-            band = let(strong, lambda b: _box(b, w, h, r, lambda a: F.exists(a, lambda x: x)))
-            cells = F.arrays_zip(
-                band.alias("near"), out.alias("o"), _box(s, w, h, r, F.array_max).alias("hi"), _box(s, w, h, r, F.array_min).alias("lo")
-            )
-            near = F.filter(cells, lambda z: z["near"])
-            rings = lambda z: (z["o"] > z["hi"] + limit) | (z["o"] < z["lo"] - limit)
-            return let(near, lambda n: F.when(F.size(n) == 0, 0.0).otherwise(F.round(F.size(F.filter(n, rings)) / F.size(n), 4)))
-
-        return let(grad, judged)
-
-    return let(src, ringing)
+    @F.pandas_udf(T.DoubleType())
+    def ringing(source: pd.Series, output: pd.Series) -> pd.Series:
+        whole = _frames(source, w, h)[0] & _frames(output, w, h)[0]
+        s, o = (_frames(x[whole], w, h)[1] for x in (source, output))
+        if not len(s):
+            return _scattered(whole, np.zeros(0))
+        grad = np.hypot(_kernel(s, SOBEL_X), _kernel(s, SOBEL_Y))
+        order = np.sort(grad.reshape(len(s), w * h), axis=1)
+        rank = pct * (w * h - 1)
+        low, high = (order[:, min(int(rank) + k, w * h - 1)] for k in (0, 1))
+        edge = np.maximum(low + (high - low) * (rank - int(rank)), 1e-6)
+        near = _around(grad >= edge[:, None, None], r, np.logical_or)
+        rings = near & ((o > _around(s, r, np.maximum) + limit) | (o < _around(s, r, np.minimum) - limit))
+        n = near.sum(axis=(1, 2))
+        return _scattered(whole, np.where(n == 0, 0.0, rings.sum(axis=(1, 2)) / np.maximum(n, 1)))
+
+    return F.round(ringing(src, out), 4)
 
 
 def _band_density(p: Column, w: int, h: int) -> Column:
@@ -168,20 +185,15 @@ def banding_delta(src: Column, out: Column, w: int, h: int) -> Column:
 
 def highpass(p: Column, w: int, h: int, win: int = HP_WIN) -> Column:
     """Value minus its local mean, edges replicated."""
-    r = win // 2
-
-    def centred(a):
-        offsets = [(dy, dx) for dy in range(-r, r + 1) for dx in range(-r, r + 1)]
-
-        def cell(v, i):
-            total = F.aggregate(
-                F.array(*[F.element_at(a, _clamped(i, w, h, dy, dx)) for dy, dx in offsets]), F.lit(0.0), lambda acc, x: acc + x
-            )
-            return v - total / (win * win)
 
-        return F.transform(a, cell)
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def centred(pixels: pd.Series) -> pd.Series:
+        whole, a = _frames(pixels, w, h)
+        rest = (a - _around(a, win // 2, np.add) / (win * win)).reshape(len(a), w * h)
+        some = iter(rest)
+        return pd.Series([next(some) if use else None for use in whole], dtype=object)
 
-    return let(p, centred)
+    return centred(p)
 
 
 def density_keep(mark: Column, w: int, h: int, win: int, least: int) -> Column:
@@ -213,32 +225,38 @@ def median_template(df: DataFrame, pixels: str) -> DataFrame:
 
 
 def template_scores(df: DataFrame, key: str, pixels: str, template: DataFrame, w: int, h: int, shift: int = 0) -> DataFrame:
-    """Best masked correlation with the template over whole-cell shifts: (key, score, dy, dx)."""
-    one = template.agg(F.array_sort(F.collect_list(F.struct("i", "med", "support"))).alias("t")).select(
-        F.transform("t", lambda z: z["med"]).alias("tm"), F.transform("t", lambda z: F.when(z["support"], 1.0).otherwise(0.0)).alias("ms")
-    )
-    clipped = F.transform(pixels, lambda v: F.greatest(F.lit(-CLIP_LEVELS), F.least(F.lit(CLIP_LEVELS), v)))
-    j = df.select(key, clipped.alias("x")).join(one)
+    """Best masked correlation with the template over whole-cell shifts: (key, score, dy, dx).
+
+    Frames stay whole: one array product per shift scores all frames of a batch. The template,
+    the cells of one frame, travels with the tasks. Rows without a whole frame have no score.
+    """
+    cells = template.select("i", "med", "support").collect()  # one frame
+    med, mask = np.zeros(w * h), np.zeros(w * h)
+    for c in cells:
+        med[c.i], mask[c.i] = c.med, float(c.support)
     grid = [(dy, dx) for dy in range(-shift, shift + 1) for dx in range(-shift, shift + 1)]
     # equal scores go to the smallest shift
     grid.sort(key=lambda s: (abs(s[0]) + abs(s[1]), s))
-    shifts = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(-n).alias("o")) for n, (dy, dx) in enumerate(grid)])
-    moved = j.select(key, "x", "tm", "ms", F.explode(shifts).alias("s"))
-    idx = (
-        lambda i: F.pmod(F.floor(i / w).cast("int") + F.col("s.dy"), F.lit(h)) * w + F.pmod((i % w).cast("int") + F.col("s.dx"), F.lit(w)) + 1
-    )
-    cells = moved.select(key, "s", F.posexplode(F.arrays_zip("tm", "ms")).alias("i", "z"), "x").select(
-        key, "s", F.element_at("x", idx(F.col("i")).cast("int")).alias("v"), (F.col("z.tm") * F.col("z.ms")).alias("t"), F.col("z.ms").alias("m"), F.col("z.tm").alias("traw")
-    )
-    g = cells.groupBy(key, "s").agg(
-        F.sum("m").alias("n"), F.sum("t").alias("st"), F.sum(F.col("traw") * F.col("t")).alias("stt"), F.sum(F.col("v") * F.col("m")).alias("s1"),
-        F.sum(F.col("v") * F.col("v") * F.col("m")).alias("s2"), F.sum(F.col("v") * F.col("t")).alias("sxt"), F.max(F.abs("v")).alias("top"),
-    )
-    tiny = F.lit(1e-9)
-    n = F.col("n")
-    ncc = (F.col("sxt") - F.col("s1") * F.col("st") / n) / F.sqrt(
-        F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / n, tiny) * F.greatest(F.col("stt") - F.col("st") * F.col("st") / n, tiny)
-    )
-    score = F.when((n <= 0) | (F.col("top") <= 1e-9), 0.0).otherwise(ncc)
-    best = F.max(F.struct(score.alias("score"), F.col("s.o").alias("o"), F.col("s.dy").alias("dy"), F.col("s.dx").alias("dx")))
-    return g.groupBy(key).agg(best.alias("b")).select(key, "b.score", "b.dy", "b.dx")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, st, stt = mask.sum(), (med * mask).sum(), (med * med * mask).sum()
+        for batch in batches:
+            whole, x = _frames(batch.column(1).to_pandas(), w, h)
+            x = np.clip(x, -CLIP_LEVELS, CLIP_LEVELS)
+            score, at = np.full(len(x), -np.inf), np.zeros((len(x), 2), np.int32)
+            for dy, dx in grid:
+                v = np.roll(x, (-dy, -dx), axis=(1, 2)).reshape(len(x), w * h)
+                s1, s2, sxt = v @ mask, (v * v) @ mask, v @ (med * mask)
+                with np.errstate(all="ignore"):
+                    ncc = (sxt - s1 * st / n) / np.sqrt(np.maximum(s2 - s1 * s1 / n, 1e-9) * max(stt - st * st / n, 1e-9)) if n > 0 else np.zeros(len(x))
+                ncc = np.where(np.abs(v).max(axis=1, initial=0.0) <= 1e-9, 0.0, ncc)
+                better = ncc > score
+                score[better], at[better] = ncc[better], (dy, dx)
+            shifts = [pd.Series(0, index=range(len(whole)), dtype="int32") for _ in range(2)]
+            for k in range(2):
+                shifts[k][whole] = at[:, k]
+            columns = [batch.column(0), pa.array(_scattered(whole, score), pa.float64(), from_pandas=True), *[pa.array(s, pa.int32()) for s in shifts]]
+            yield pa.RecordBatch.from_arrays(columns, names=[key, "score", "dy", "dx"])
+
+    schema = T.StructType([df.schema[key], T.StructField("score", T.DoubleType()), T.StructField("dy", T.IntegerType()), T.StructField("dx", T.IntegerType())])
+    return df.select(key, pixels).mapInArrow(run, schema)
