@@ -109,13 +109,15 @@ def test_clustered_hashes_make_few_candidates(spark):
 
 def test_blocks_compare_everything(spark):
     rng = random.Random(9)
-    corpus = [(rng.getrandbits(63), rng.getrandbits(63), i, str(i)) for i in range(300)]
-    targets = [(rng.getrandbits(63), rng.getrandbits(63)) for _ in range(90)]
+    signed = lambda: rng.getrandbits(64) - (1 << 63)
+    corpus = [(signed(), signed(), i, str(i)) for i in range(300)]
+    targets = [(signed(), signed()) for _ in range(90)]
     c, t = spark.createDataFrame(corpus, "cp long, cd long, ord long, path string"), spark.createDataFrame(targets, "tp long, td long")
+    bits = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
     for block in (40, 4096):
         got = {(r.tp, r.td): (r.worst, r.ord, r.p, r.d) for r in M.compared_whole(t, c, block).collect()}
         for p, d in targets:
-            assert got[(p, d)] == min((max((p ^ cp).bit_count(), (d ^ cd).bit_count()), i, (p ^ cp).bit_count(), (d ^ cd).bit_count()) for cp, cd, i, _ in corpus)
+            assert got[(p, d)] == min((max(bits(p, cp), bits(d, cd)), i, bits(p, cp), bits(d, cd)) for cp, cd, i, _ in corpus)
 
 
 def boxes(spark, n=120, seed=5):

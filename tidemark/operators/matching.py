@@ -80,16 +80,16 @@ def compared_whole(targets: DataFrame, corpus: DataFrame, block: int = BLOCK) ->
     c = corpus.select("cp", "cd", "ord", F.pmod(F.xxhash64("cp", "cd"), F.lit(down)).cast("int").alias("j"), F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("i"))
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        tp, td = (left.column(k).to_numpy() for k in ("tp", "td"))
+        tp, td = (left.column(k).to_numpy().view(np.uint64) for k in ("tp", "td"))  # counting bits of a negative number would count those of its size
         order = np.argsort(right.column("ord").to_numpy(), kind="stable")
-        cp, cd = (right.column(k).to_numpy()[order] for k in ("cp", "cd"))
+        cp, cd = (right.column(k).to_numpy()[order].view(np.uint64) for k in ("cp", "cd"))
         at = np.zeros(len(tp), np.int64)
         if len(cp):
             for k in range(len(tp)):  # the first of the nearest has the least order
                 at[k] = np.maximum(np.bitwise_count(cp ^ tp[k]), np.bitwise_count(cd ^ td[k])).argmin()
         else:
             tp, td, at = tp[:0], td[:0], at[:0]
-        return pa.table({"tp": tp, "td": td, "cp": cp[at], "cd": cd[at]})
+        return pa.table({k: v.view(np.int64) for k, v in (("tp", tp), ("td", td), ("cp", cp[at]), ("cd", cd[at]))})
 
     near = t.groupBy("i", "j").cogroup(c.groupBy("i", "j")).applyInArrow(cell, "tp long, td long, cp long, cd long")
     named = near.join(corpus, ["cp", "cd"])
