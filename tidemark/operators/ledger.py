@@ -33,7 +33,7 @@ LEGAL = legal_ops()
 EXEMPT_TOOLS = ("operator-select", "clean-scan", "manual", "qa")
 STALE_LOCK_S = 3600.0
 STALE_PART_S = 86400.0
-SIDECARS = ("manifest.json", ".lw.lock", ".gitkeep")
+SIDECARS = ("manifest.json", ".gitkeep")
 EDITOR_EXTS = (".psd", ".kra", ".xcf", ".bak", ".autosave")
 LABEL_RANK = {"needs_none": 3, "wrong_edit": 2, "engine_swap": 1, "other": 0}
 
@@ -206,15 +206,16 @@ def engines_used(df: DataFrame, key: str) -> DataFrame:
     return g.select(key, F.transform("e", lambda x: x["tool"]).alias("engines"), (F.size("e") > 1).alias("ladder_refused"))
 
 
-def inventory_anomalies(files: DataFrame, now: float) -> DataFrame:
+def inventory_anomalies(files: DataFrame, now: float, lock_name: str = ".lock") -> DataFrame:
     """Quality findings of a folder tree: (slug, class, resumable, n).
 
-    ``files``: slug, ord, kind (scratch | done), stage, name, is_dir, mtime.
+    ``files``: slug, ord, kind (scratch | done), stage, name, is_dir, mtime. ``lock_name``
+    is the file that marks a folder in use.
     """
     m = naming.parse_milestone(F.col("name"))
     age = F.lit(now) - F.col("mtime")
     ext = F.lower(F.regexp_extract("name", r"(\.[^.]*)$", 1))
-    side = F.col("name").isin(*SIDECARS)
+    side = F.col("name").isin(*SIDECARS, lock_name)
     part = F.col("name").endswith(".part")
     plain = ~F.col("is_dir") & ~side & ~part
     loose = (F.col("kind") == "scratch") | ext.isin(*EDITOR_EXTS)
@@ -223,7 +224,7 @@ def inventory_anomalies(files: DataFrame, now: float) -> DataFrame:
         "_mine", plain & F.col("m").isNotNull() & (F.col("m.slug") == F.col("slug"))
     )
     unparsed = F.col("is_dir") | (plain & ((F.col("m").isNull() & ~loose) | (F.col("m").isNotNull() & ~F.col("_mine"))))
-    lock = ~F.col("is_dir") & (F.col("name") == ".lw.lock") & (age > STALE_LOCK_S)
+    lock = ~F.col("is_dir") & (F.col("name") == lock_name) & (age > STALE_LOCK_S)
     stale_part = ~F.col("is_dir") & ~side & part & (age > STALE_PART_S)
     own = F.when(F.col("_mine"), F.struct("m.stage", "m.phase", "m.ver"))
 

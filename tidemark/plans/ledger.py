@@ -447,16 +447,16 @@ def a29(t):
 
 
 INVENTORY_SQL = rf"""i AS (SELECT 's' || slug AS slug, CASE WHEN e.seq % 10 < 5 THEN 2 * (slug % 4) + 1 ELSE 2 * (slug % 4) + 2 END + CASE WHEN e.seq % 97 = 0 AND slug % 4 < 3 THEN 2 ELSE 0 END AS ord, e.seq,
-      CASE WHEN ver = 50 THEN '.lw.lock' WHEN ver = 51 THEN 'x.part' WHEN ver = 52 THEN 'notes.psd' WHEN ver = 53 THEN 'readme.txt' WHEN ver = 54 THEN 'manifest.json' ELSE n.name END AS name,
+      CASE WHEN ver = 50 THEN '.lock' WHEN ver = 51 THEN 'x.part' WHEN ver = 52 THEN 'notes.psd' WHEN ver = 53 THEN 'readme.txt' WHEN ver = 54 THEN 'manifest.json' ELSE n.name END AS name,
       ver = 55 AS is_dir, CAST(floor(epoch_us(ts) / 1000000) AS DOUBLE) AS mtime FROM v_transitions e JOIN ({NAMES_SQL}) n USING (seq)),
     f AS (SELECT *, CASE WHEN ord % 2 = 1 THEN 'scratch' ELSE 'done' END AS kind, ['first', 'clean', 'final', 'last'][(ord - 1) // 2 + 1] AS stage,
-      name IN ('manifest.json', '.lw.lock', '.gitkeep') AS side, name LIKE '%.part' AS part, regexp_matches(name, '^[a-z0-9][a-z0-9-]*_(first|clean|final|last)(initial|needauth|done|working_[0-9][0-9]+)\.(png|jpg|webp|jpeg|JPG)$') AS ok FROM i),
+      name IN ('manifest.json', '.lock', '.gitkeep') AS side, name LIKE '%.part' AS part, regexp_matches(name, '^[a-z0-9][a-z0-9-]*_(first|clean|final|last)(initial|needauth|done|working_[0-9][0-9]+)\.(png|jpg|webp|jpeg|JPG)$') AS ok FROM i),
     p AS (SELECT *, NOT is_dir AND NOT side AND NOT part AND ok AND regexp_extract(name, '^([^_]*)_', 1) = slug AS mine, regexp_extract(name, '_(first|clean|final|last)', 1) AS ms,
       CASE WHEN name LIKE '%working%' THEN 'working' ELSE regexp_extract(name, '(initial|needauth|done)', 1) END AS ph, regexp_extract(name, 'working_([0-9]+)', 1) AS mv FROM f),
     d AS (SELECT slug, ord, kind, bool_or(mine AND ms = stage AND ph = 'done') AS done, bool_or(mine AND ms = stage AND ph = 'needauth') AS na, bool_or(mine AND ms = stage AND ph = 'initial') AS ini, bool_or(mine) AS anym, bool_or(NOT side) AS res FROM p GROUP BY ALL),
     s AS (SELECT slug, count(*) FILTER (kind = 'scratch') AS sc, count(*) FILTER (kind = 'done') AS dn FROM d GROUP BY slug),
     u AS (SELECT slug, 'UNPARSED_FILE' AS class, false AS resumable, 1 AS n FROM p WHERE is_dir OR (NOT side AND NOT part AND ((NOT ok AND kind = 'done' AND name NOT LIKE '%.psd') OR (ok AND NOT mine)))
-      UNION ALL SELECT slug, 'STALE_LOCK', true, 1 FROM p WHERE NOT is_dir AND name = '.lw.lock' AND 1706745600 - mtime > 3600
+      UNION ALL SELECT slug, 'STALE_LOCK', true, 1 FROM p WHERE NOT is_dir AND name = '.lock' AND 1706745600 - mtime > 3600
       UNION ALL SELECT slug, 'STALE_PART', true, 1 FROM p WHERE NOT is_dir AND part AND 1706745600 - mtime > 86400
       UNION ALL SELECT slug, 'DUPLICATE_KEY', false, count(*) - 1 FROM p WHERE mine GROUP BY slug, ord, ms, ph, mv HAVING count(*) > 1
       UNION ALL SELECT slug, CASE WHEN done THEN 'APPROVED_PENDING_MOVE' WHEN anym THEN 'MISSING_INITIAL' ELSE 'SCRATCH_RESIDUE' END, done OR (NOT anym AND NOT res), 1 FROM d WHERE kind = 'scratch' AND (done OR (NOT na AND ((anym AND NOT ini) OR NOT anym)))
@@ -469,7 +469,7 @@ def a30(t):
     four = (F.col("slug") % 4).cast("int")
     ord_ = 2 * four + F.when(F.col("seq") % 10 < 5, 1).otherwise(2) + F.when((F.col("seq") % 97 == 0) & (four < 3), 2).otherwise(0)
     name = (
-        F.when(F.col("ver") == 50, ".lw.lock").when(F.col("ver") == 51, "x.part").when(F.col("ver") == 52, "notes.psd")
+        F.when(F.col("ver") == 50, ".lock").when(F.col("ver") == 51, "x.part").when(F.col("ver") == 52, "notes.psd")
         .when(F.col("ver") == 53, "readme.txt").when(F.col("ver") == 54, "manifest.json").otherwise(F.col("name"))
     )
     files = m.select(
